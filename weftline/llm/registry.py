@@ -3,10 +3,16 @@
 from __future__ import annotations
 
 from weftline.llm.minhash import op9_minhash
+from weftline.llm.packing import op2_packing
+from weftline.llm.substrings import op4_suffix_dedup
 
 
 def queries() -> dict:
-    return {"op9_minhash": op9_minhash}
+    return {
+        "op2_packing": op2_packing,
+        "op4_suffix_dedup": op4_suffix_dedup,
+        "op9_minhash": op9_minhash,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
