@@ -5,10 +5,12 @@ from __future__ import annotations
 from weftline.llm.minhash import op9_minhash
 from weftline.llm.packing import op2_packing
 from weftline.llm.substrings import op4_suffix_dedup
+from weftline.llm.toxicity import op1_toxicity
 
 
 def queries() -> dict:
     return {
+        "op1_toxicity": op1_toxicity,
         "op2_packing": op2_packing,
         "op4_suffix_dedup": op4_suffix_dedup,
         "op9_minhash": op9_minhash,
