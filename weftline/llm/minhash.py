@@ -6,12 +6,14 @@
    share at least `least_shared` retained values (all but surely, see there), so the
    inverted lists need only a rarest-first prefix of each sketch: a value that very
    many sketches retain stands last and is left out unless the sketch has little else.
-3. Each list proposes links to its hub, the member with the most frequent values, and
-   the links that hold join components. Only lists that still hold more than one
-   component are compared member by member, in blocks of bounded size, and only
-   across components. So a group of n copies costs about n proposals.
-4. The union-sketch estimate of the Jaccard similarity drops hopeless proposals; the
-   others are confirmed on full sets.
+3. Each list proposes links to its hub, the member with the most frequent values. The
+   union-sketch estimate of the Jaccard similarity says which members are near their hub;
+   for those the full sets are compared. Links that hold join components, so a group of
+   n copies costs about n comparisons.
+4. What is left lies across components. Members near one hub are compared by their
+   differences from it, which give their exact similarity, in blocks of bounded size that
+   return only links that hold. A member far from the hub of a list meets the list's other
+   members by estimate, and on full sets where the estimate leaves hope.
 """
 
 from __future__ import annotations
@@ -131,51 +133,135 @@ def _floor(k: int, percent: int) -> float:
     return t - 5 * math.sqrt(t * (1 - t) / k)
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those pairs (a, b) whose full sets reach the wanted similarity."""
+def _both_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     left = sets.select(F.col("sig").alias("a"), F.col("members").alias("set_a"))
     right = sets.select(F.col("sig").alias("b"), F.col("members").alias("set_b"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b")
+
+
+def _members(value) -> np.ndarray:
+    return np.frombuffer(value.as_buffer(), np.uint64)
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those pairs (a, b) whose full sets reach the wanted similarity."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in batches:
             ok = []
             for x, y in zip(t.column("set_a"), t.column("set_b"), strict=True):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                both = np.sort(np.concatenate([x, y]))
+                both = np.sort(np.concatenate([_members(x), _members(y)]))
                 inter = int((both[1:] == both[:-1]).sum())
                 ok.append(100 * inter >= percent * (len(both) - inter))
             yield t.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b").mapInArrow(run, "a binary, b binary")
+    return _both_sets(pairs, sets).mapInArrow(run, "a binary, b binary")
+
+
+def _differences(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, hub b) with the size of a's set, what the two sets do not share, and whether they link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in batches:
+            size, differ, link = [], [], []
+            for x, y in zip(t.column("set_a"), t.column("set_b"), strict=True):
+                x, y = _members(x), _members(y)
+                d = np.setxor1d(x, y, assume_unique=True)
+                size.append(len(x)), differ.append(d.tobytes())
+                inter = (len(x) + len(y) - len(d)) // 2
+                link.append(100 * inter >= percent * (inter + len(d)))
+            yield pa.RecordBatch.from_arrays([t.column("a"), t.column("b"), pa.array(size, pa.int64()), pa.array(differ, pa.binary()), pa.array(link, pa.bool_())], names=["a", "b", "n", "differ", "link"])
 
+    return _both_sets(pairs, sets).mapInArrow(run, "a binary, b binary, n long, differ binary, link boolean")
 
-def _across(batches: Iterator[pa.RecordBatch], k: int, percent: int, floor: float) -> Iterator[pa.RecordBatch]:
-    """Hopeful pairs of one group (value, p, q) and of different components, from rows sorted by group."""
+
+def _grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Whole groups, as tables with the first row of each group, from rows sorted by the keys."""
     held: list[pa.Table] = []
     for last, b in _with_last(batches):
         t = pa.concat_tables([*held, pa.Table.from_batches([b])]).combine_chunks()
-        key = np.stack([t.column(c).to_numpy() for c in ("value", "p", "q")])
-        new = np.flatnonzero(np.concatenate([[True], (key[:, 1:] != key[:, :-1]).any(0)])) if t.num_rows else np.zeros(0, np.int64)
-        end = t.num_rows if last or not len(new) else int(new[-1])
-        held = [t.slice(end)]
-        if not end:
+        if not t.num_rows:
             continue
-        t, new = t.slice(0, end), new[new < end]
+        new = np.ones(t.num_rows, bool)
+        same = np.ones(t.num_rows - 1, bool)
+        for k in keys:
+            c = t.column(k).to_numpy()
+            same &= c[1:] == c[:-1]
+        new[1:] = ~same
+        new = np.flatnonzero(new)
+        end = t.num_rows if last else int(new[-1])
+        held = [t.slice(end)]
+        if end:
+            yield t.slice(0, end), new[new < end]
+
+
+def _near_links(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Links across components between members near one hub, from rows sorted by (hub, p, q, sig).
+
+    |x ^ y| = |dx| + |dy| - 2 |dx & dy| for the differences dx and dy from the hub, and the
+    overlaps of all pairs of a block are one matrix product. Of the links of a block, a
+    spanning forest over its components is returned.
+    """
+    for t, first in _grouped(batches, ["hub", "p", "q"]):
+        sig, n = t.column("sig").combine_chunks(), t.column("n").to_numpy()
+        root, _ = pd.factorize(t.column("root").to_pandas())
+        differ = [_members(v) for v in t.column("differ").combine_chunks()]
+        a, b = [], []
+        for lo, hi in zip(first.tolist(), [*first[1:].tolist(), t.num_rows], strict=True):
+            size = np.array([len(d) for d in differ[lo:hi]])
+            values = np.concatenate(differ[lo:hi])
+            owner = np.repeat(np.arange(hi - lo), size)
+            _, value, often = np.unique(values, return_inverse=True, return_counts=True)
+            twice = often[value] > 1
+            _, value = np.unique(value[twice], return_inverse=True)
+            owner, shared = owner[twice], np.zeros((hi - lo, hi - lo), np.float32)
+            columns = int(value.max()) + 1 if len(value) else 0
+            for c in range(0, columns, 2048):
+                now = (value >= c) & (value < c + 2048)
+                has = np.zeros((hi - lo, 2048), np.float32)
+                has[owner[now], value[now] - c] = 1
+                shared += has @ has.T
+            apart = size[:, None] + size - 2 * np.rint(shared).astype(np.int64)
+            total = n[lo:hi, None] + n[lo:hi]
+            linked = 100 * (total - apart) >= percent * (total + apart)
+            own = root[lo:hi]
+            i, j = np.nonzero(np.triu(linked & (own[:, None] != own), 1))
+            joined: dict[int, int] = {}
+
+            def top(x: int, joined: dict[int, int] = joined) -> int:
+                while joined.get(x, x) != x:
+                    x = joined[x]
+                return x
+
+            for x, y in zip(i.tolist(), j.tolist(), strict=True):
+                u, v = top(int(own[x])), top(int(own[y]))
+                if u != v:
+                    joined[max(u, v)] = min(u, v)
+                    a.append(lo + x), b.append(lo + y)
+        yield pa.RecordBatch.from_arrays([sig.take(pa.array(a, pa.int64())), sig.take(pa.array(b, pa.int64()))], names=["a", "b"])
+
+
+def _far_pairs(batches: Iterator[pa.RecordBatch], k: int, percent: int, floor: float) -> Iterator[pa.RecordBatch]:
+    """Hopeful pairs across components with a member far from the hub, from rows sorted by (value, p, q, sig)."""
+    for t, new in _grouped(batches, ["value", "p", "q"]):
+        end = t.num_rows
         sk, n, root = _matrix(t.column("sketch").to_pandas(), k), t.column("n").to_numpy(), pd.factorize(t.column("root").to_pandas())[0]
+        far = t.column("far").to_numpy()
         first = np.repeat(new, np.diff(np.append(new, end)))
         before = np.arange(end) - first
         done = np.concatenate([[0], np.cumsum(before)])
-        lo, found = 0, []
+        lo, found = 0, [np.zeros((2, 0), np.int64)]
         while lo < end:
             hi = max(lo + 1, int(np.searchsorted(done, done[lo] + 100_000, side="right")) - 1)
             j = np.repeat(np.arange(lo, hi), before[lo:hi])
             i = np.repeat(first[lo:hi], before[lo:hi]) + V.ragged(before[lo:hi])
-            ok = (root[i] != root[j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
+            ok = (far[i] | far[j]) & (root[i] != root[j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
             i, j = i[ok], j[ok]
-            good = _estimates(sk[i], sk[j]) >= floor if len(i) else np.zeros(0, bool)
-            found.append(np.stack([i[good], j[good]]))
+            if len(i):
+                good = _estimates(sk[i], sk[j]) >= floor
+                found.append(np.stack([i[good], j[good]]))
             lo = hi
-        i, j = np.concatenate(found, 1)
+        i, j = np.unique(np.concatenate(found, 1), axis=1)
         sig = t.column("sig").combine_chunks()
         yield pa.RecordBatch.from_arrays([sig.take(pa.array(i)), sig.take(pa.array(j))], names=["a", "b"])
 
@@ -237,30 +323,39 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, k: int =
     sets = checkpointed(sets.dropDuplicates(["sig"]))
 
     lists = postings.select("sig", "n", "weight", F.explode("prefix").alias("value"))
-    hubs = lists.groupBy("value").agg(F.max(F.struct("weight", "sig")).alias("hub"), F.count("*").alias("size")).where("size > 1")
-    to_hub = lists.join(hubs, "value").select(F.least("sig", "hub.sig").alias("a"), F.greatest("sig", "hub.sig").alias("b")).where("a != b").distinct()
+    hubs = lists.groupBy("value").agg(F.max(F.struct("weight", "sig")).alias("hub"), F.count("*").alias("size")).where("size > 1").select("value", F.col("hub.sig").alias("hub"))
+    to_hub = checkpointed(lists.join(hubs, "value").select("sig", "value", "hub"))
 
-    def hopeful(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x, y = (_matrix(b.column(c).to_pandas(), k) for c in ("sk_a", "sk_b"))
             yield b.select(["a", "b"]).filter(pa.array(_estimates(x, y) >= floor))
 
-    by_a, by_b = (postings.select(F.col("sig").alias(c), F.col("sketch").alias(f"sk_{c}"), F.col("n").alias(f"n_{c}")) for c in "ab")
-    sized = F.expr(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
-    proposed = to_hub.join(by_a, "a").join(by_b, "b").where(sized).select("a", "b", "sk_a", "sk_b").mapInArrow(hopeful, "a binary, b binary")
-    stars = checkpointed(_confirmed(proposed, sets, percent))
+    by_a, by_b = (postings.select(F.col("sig").alias(c), F.col("sketch").alias(f"sk_{c}")) for c in "ab")
+    proposed = to_hub.select(F.col("sig").alias("a"), F.col("hub").alias("b")).distinct().join(by_a, "a").join(by_b, "b").select("a", "b", "sk_a", "sk_b")
+    close = checkpointed(_differences(proposed.mapInArrow(near, "a binary, b binary"), sets, percent))
+    stars = close.where("link and a != b").select("a", "b")
     roots = checkpointed(components(stars))
 
-    labelled = lists.join(roots, F.col("sig") == F.col("node"), "left").select("sig", "value", F.coalesce("root", "sig").alias("root"))
-    still_open = labelled.groupBy("value").agg(F.count("*").alias("size"), F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 != r2").select("value", F.ceil(F.col("size") / BLOCK).cast("int").alias("parts"))
-    placed = labelled.join(still_open, "value").withColumn("part", F.pmod(F.xxhash64("sig"), F.col("parts")).cast("int"))
-    # A member of part p meets part q in the group (min(p, q), max(p, q)).
-    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("value", "sig", "root", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"))
-    placed = placed.join(postings.select("sig", "n", "sketch"), "sig")
-
-    keyed = placed.repartition("value", "p", "q").sortWithinPartitions("value", "p", "q", "sig").select("value", "p", "q", "sig", "root", "n", "sketch")
-    more = keyed.mapInArrow(lambda batches: _across(batches, k, percent, floor), "a binary, b binary").distinct()
-    links = stars.unionByName(_confirmed(more, sets, percent))
+    def in_blocks(rows: DataFrame, key: str, is_open: str) -> DataFrame:
+        """Rows of open groups with their blocks: a member of part p meets part q in block (min(p, q), max(p, q))."""
+        rows = rows.join(roots, F.col("sig") == F.col("node"), "left").withColumn("root", F.coalesce("root", "sig")).drop("node")
+        groups = rows.groupBy(key).agg(F.count("*").alias("size"), F.min("root").alias("r1"), F.max("root").alias("r2"), F.max("far").alias("any_far"))
+        groups = groups.where(is_open).select(key, F.ceil(F.col("size") / BLOCK).cast("int").alias("parts"))
+        placed = rows.join(groups, key).withColumn("part", F.pmod(F.xxhash64("sig"), F.col("parts")).cast("int"))
+        placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        return placed.withColumn("p", F.least("part", "other")).withColumn("q", F.greatest("part", "other"))
+
+    def dealt(rows: DataFrame, key: str, *more: str) -> DataFrame:
+        return rows.repartition(key, "p", "q").sortWithinPartitions(key, "p", "q", "sig").select(key, "p", "q", "sig", "root", *more)
+
+    by_hub = in_blocks(close.select(F.col("a").alias("sig"), F.col("b").alias("hub"), "n", "differ", F.lit(False).alias("far")), "hub", "r1 != r2")
+    near_links = dealt(by_hub, "hub", "n", "differ").mapInArrow(lambda batches: _near_links(batches, percent), "a binary, b binary")
+
+    marked = to_hub.join(close.select(F.col("a").alias("sig"), F.col("b").alias("hub"), F.lit(False).alias("far")), ["sig", "hub"], "left").select("sig", "value", F.coalesce("far", F.lit(True)).alias("far"))
+    by_value = in_blocks(marked, "value", "r1 != r2 and any_far").join(postings.select("sig", "n", "sketch"), "sig")
+    hopeful = dealt(by_value, "value", "far", "n", "sketch").mapInArrow(lambda batches: _far_pairs(batches, k, percent, floor), "a binary, b binary").distinct()
+    links = stars.unionByName(near_links).unionByName(_confirmed(hopeful, sets, percent))
     final = components(links)
 
     reps = classes.select("sig", "rep").join(final, F.col("sig") == F.col("node"), "left").select("sig", "rep", F.coalesce("root", "sig").alias("root"))
