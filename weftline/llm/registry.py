@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from weftline.llm.fuzzyhash import op3_fingerprints
 from weftline.llm.language import op8_language_id
 from weftline.llm.minhash import op9_minhash
 from weftline.llm.packing import op2_packing
@@ -13,6 +14,7 @@ def queries() -> dict:
     return {
         "op1_toxicity": op1_toxicity,
         "op2_packing": op2_packing,
+        "op3_fingerprints": op3_fingerprints,
         "op4_suffix_dedup": op4_suffix_dedup,
         "op8_language_id": op8_language_id,
         "op9_minhash": op9_minhash,
