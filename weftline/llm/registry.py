@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from weftline.llm.fuzzyhash import op3_fingerprints
 from weftline.llm.language import op8_language_id
+from weftline.llm.media import op10_media
 from weftline.llm.minhash import op9_minhash
 from weftline.llm.packing import op2_packing
 from weftline.llm.substrings import op4_suffix_dedup
@@ -18,6 +19,7 @@ def queries() -> dict:
         "op4_suffix_dedup": op4_suffix_dedup,
         "op8_language_id": op8_language_id,
         "op9_minhash": op9_minhash,
+        "op10_media": op10_media,
     }
 
 
