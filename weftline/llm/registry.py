@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from weftline.llm.backoff import op6_backoff
 from weftline.llm.fuzzyhash import op3_fingerprints
 from weftline.llm.language import op8_language_id
 from weftline.llm.media import op10_media
@@ -17,6 +18,7 @@ def queries() -> dict:
         "op2_packing": op2_packing,
         "op3_fingerprints": op3_fingerprints,
         "op4_suffix_dedup": op4_suffix_dedup,
+        "op6_backoff": op6_backoff,
         "op8_language_id": op8_language_id,
         "op9_minhash": op9_minhash,
         "op10_media": op10_media,
