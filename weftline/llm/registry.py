@@ -6,6 +6,7 @@ from weftline.llm.backoff import op6_backoff
 from weftline.llm.fuzzyhash import op3_fingerprints
 from weftline.llm.language import op8_language_id
 from weftline.llm.media import op10_media
+from weftline.llm.mergedrop import op7_merge_dropout
 from weftline.llm.minhash import op9_minhash
 from weftline.llm.packing import op2_packing
 from weftline.llm.substrings import op4_suffix_dedup
@@ -19,6 +20,7 @@ def queries() -> dict:
         "op3_fingerprints": op3_fingerprints,
         "op4_suffix_dedup": op4_suffix_dedup,
         "op6_backoff": op6_backoff,
+        "op7_merge_dropout": op7_merge_dropout,
         "op8_language_id": op8_language_id,
         "op9_minhash": op9_minhash,
         "op10_media": op10_media,
