@@ -10,6 +10,7 @@ from weftline.llm.mergedrop import op7_merge_dropout
 from weftline.llm.minhash import op9_minhash
 from weftline.llm.packing import op2_packing
 from weftline.llm.substrings import op4_suffix_dedup
+from weftline.llm.templates import op5_line_templates
 from weftline.llm.toxicity import op1_toxicity
 
 
@@ -19,6 +20,7 @@ def queries() -> dict:
         "op2_packing": op2_packing,
         "op3_fingerprints": op3_fingerprints,
         "op4_suffix_dedup": op4_suffix_dedup,
+        "op5_line_templates": op5_line_templates,
         "op6_backoff": op6_backoff,
         "op7_merge_dropout": op7_merge_dropout,
         "op8_language_id": op8_language_id,

@@ -31,3 +31,17 @@ def checkpointed(df: DataFrame) -> DataFrame:
 def buckets(spark: SparkSession) -> int:
     """As many buckets as the session has shuffle partitions, so that both grow with the input."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def ordered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(order_key, doc_id, text) with a distinct order_key for every row; null text is empty.
+
+    Where ids are distinct, the key is the id. Otherwise rows are numbered by id, then text,
+    a null id last.
+    """
+    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    most, rows, named = base.groupBy("doc_id").count().agg(F.max("count"), F.count("*"), F.count("doc_id")).first()
+    if (most or 0) <= 1 and rows == named:
+        return base.select(F.col("doc_id").alias("order_key"), "doc_id", "text")
+    placed = base.orderBy(F.col("doc_id").asc_nulls_last(), "text").rdd.zipWithIndex().map(lambda x: (x[1], *x[0]))
+    return checkpointed(docs.sparkSession.createDataFrame(placed, "order_key long, doc_id long, text string"))
