@@ -33,15 +33,16 @@ def buckets(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def ordered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(order_key, doc_id, text) with a distinct order_key for every row; null text is empty.
+def ordered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """(order_key, doc_id, text, carry) with a distinct order_key for every row; null text is empty.
 
     Where ids are distinct, the key is the id. Otherwise rows are numbered by id, then text,
-    a null id last.
+    a null id last. carry names columns that go along.
     """
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    most, rows, named = base.groupBy("doc_id").count().agg(F.max("count"), F.count("*"), F.count("doc_id")).first()
+    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), *carry)
+    most, rows, named = base.groupBy("doc_id").count().agg(F.max("count"), F.sum("count"), F.sum(F.when(F.col("doc_id").isNotNull(), F.col("count")))).first()
     if (most or 0) <= 1 and rows == named:
-        return base.select(F.col("doc_id").alias("order_key"), "doc_id", "text")
+        return base.select(F.col("doc_id").alias("order_key"), "*")
     placed = base.orderBy(F.col("doc_id").asc_nulls_last(), "text").rdd.zipWithIndex().map(lambda x: (x[1], *x[0]))
-    return checkpointed(docs.sparkSession.createDataFrame(placed, "order_key long, doc_id long, text string"))
+    kinds = "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in carry)
+    return checkpointed(docs.sparkSession.createDataFrame(placed, f"order_key long, doc_id long, text string{kinds}"))

@@ -109,7 +109,7 @@ def _cluster(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column("leaf"), b.column("line"), b.column("n"), b.column("first_key"), b.column("first_no"), pa.array(number, pa.int64())], names=["leaf", "line", "n", "first_key", "first_no", "template"])
 
 
-def _rebuild(docs: pa.Table, drops: pa.Table) -> pa.Table:
+def _rebuild(docs: pa.Table, drops: pa.Table, carry: tuple[str, ...]) -> pa.Table:
     gone: dict[int, set[int]] = {}
     for key, no in zip(drops.column("order_key").to_pylist(), drops.column("line_no").to_pylist(), strict=True) if drops.num_rows else ():
         gone.setdefault(key, set()).add(no)
@@ -118,11 +118,11 @@ def _rebuild(docs: pa.Table, drops: pa.Table) -> pa.Table:
         lines, out = t.as_py().split("\n"), gone.get(key, ())
         n_lines.append(len(lines)), dropped.append(len(out))
         text.append("\n".join([x for i, x in enumerate(lines) if i not in out]) if out else t.as_py())
-    return pa.table([docs.column("doc_id"), pa.array(n_lines, pa.int64()), pa.array(dropped, pa.int64()), pa.array(text, pa.string())], names=["doc_id", "n_lines", "n_dropped", "text"])
+    return pa.table([docs.column("doc_id"), pa.array(n_lines, pa.int64()), pa.array(dropped, pa.int64()), pa.array(text, pa.string()), *(docs.column(c) for c in carry)], names=["doc_id", "n_lines", "n_dropped", "text", *carry])
 
 
-def deduplicate_lines(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of docs: doc_id, n_lines, n_dropped, text (the lines that stay).
+def deduplicate_lines(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per row of docs: doc_id, n_lines, n_dropped, text (the lines that stay), and columns to carry.
 
     Lines are separated by newlines; blank lines always stay. A template's support is the
     number of (document, distinct line) pairs of its lines. The first line of a recurring
@@ -130,7 +130,7 @@ def deduplicate_lines(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS, i
     are documents of their own, in the order of their text, a null id last. An empty table
     gives an empty result; other columns play no part.
     """
-    base = ordered(docs, id_col, text_col)
+    base = ordered(docs, id_col, text_col, carry)
     parts = buckets(docs.sparkSession)
 
     def part(column: str):
@@ -152,7 +152,8 @@ def deduplicate_lines(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS, i
     recurring = formed.groupBy("leaf", "template").agg(F.sum("n").alias("support"), F.min(F.struct("first_key", "first_no")).alias("stays")).where(F.col("support") >= least_documents)
     decided = formed.select("leaf", "line", "template").join(recurring, ["leaf", "template"]).select("leaf", "line", "stays")
     drops = keys.join(decided, ["leaf", "line"]).where("order_key != stays.first_key or line_no != stays.first_no").select("order_key", "line_no", part("order_key"))
-    return by_document.cogroup(drops.groupBy("part")).applyInArrow(_rebuild, "doc_id long, n_lines long, n_dropped long, text string")
+    kinds = "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in carry)
+    return by_document.cogroup(drops.groupBy("part")).applyInArrow(lambda d, x: _rebuild(d, x, carry), f"doc_id long, n_lines long, n_dropped long, text string{kinds}")
 
 
 def op5_line_templates(spark, sf_dir: str) -> DataFrame:

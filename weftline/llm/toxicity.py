@@ -244,6 +244,24 @@ def toxic_passages(docs: DataFrame, model: Model, id_col: str = "doc_id", text_c
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, score double, predicted int, n_passages int, passages array<struct<start: long, end: long, score: double, expected: double>>")
 
 
+def without_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of docs that the model does not reject, as they are."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        for b in batches:
+            keep = []
+            for lo, hi, buf, offs in V.slices(b.column(at)):
+                _, _, doc, word, opening = tokens(buf, offs)
+                s = m.weights(word, opening)
+                keep += [m.score(m.evidence(maximal_passages(s[a:z]), z - a)) < 0.5 for a, z in _cuts(doc, hi - lo)]
+            yield b.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op1_toxicity(spark, sf_dir: str) -> DataFrame:
     from weftline.llm.shared import documents
 
