@@ -32,13 +32,15 @@ from pyspark.sql import functions as F
 
 from weftline.llm import textvec as V
 from weftline.llm.runindex import RunLengthIndex
-from weftline.llm.shared import buckets, checkpointed
+from weftline.llm.shared import buckets, checkpointed, documents, ordered
 
 GRAM = 32
 _PLACE_BITS = 20
 #: Windows of one long text that are looked at in one go.
 _PIECE = 1 << 19
 _SPREAD = 1_000_003
+#: Bytes of text whose anchors are put in order together, and of pieces that one index holds.
+_TOGETHER, _INDEXED = 8 << 20, 1 << 20
 
 
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -143,8 +145,8 @@ def _blocks(kind: list[int], part: list[int], *more: list) -> pa.RecordBatch:
 
 
 def _map_anchors(batches: Iterator[pa.RecordBatch], length: int, parts: int) -> Iterator[pa.RecordBatch]:
-    """Anchors of whole batches by hash bucket (kind 0); repeats within a batch become spans (kind 1)."""
-    for b in batches:
+    """Anchors by hash bucket (kind 0); repeats among the same rows become spans (kind 1)."""
+    for b in (x.slice(lo, hi - lo) for x in batches for lo, hi, _, _ in V.slices(x.column(1), _TOGETHER)):
         ids = b.column(0).to_numpy()
         found = [x for x in _anchors(b.column(1), length) if len(x[0])]
         if not found:
@@ -296,43 +298,58 @@ def _match_texts(table: pa.Table, length: int, parts: int) -> pa.Table:
             seen.add((k, p))
         spans = [(order[x[copy]], s[x[copy]], s[x[copy]] + np.array([len(p) for p, c in zip(chosen, copy, strict=True) if c], np.int64))]
         x, chosen = x[~copy], [p for p, c in zip(chosen, copy, strict=True) if not c]
-        for i, marks in zip(x.tolist(), repeated_windows(inverse[x], chosen, length), strict=True):
-            a, b = V.runs(marks, np.array([0, len(marks)]))
-            spans.append((np.full(len(a), order[i]), s[i] + a, s[i] + b - 1 + length))
+        # Whole groups, a bounded number of bytes at a time.
+        by = np.argsort(inverse[x], kind="stable")
+        group = inverse[x][by]
+        bytes_to = np.cumsum([len(chosen[i]) for i in by.tolist()])
+        lo = 0
+        while lo < len(by):
+            hi = int(np.searchsorted(bytes_to, (bytes_to[lo - 1] if lo else 0) + _INDEXED, side="right"))
+            hi = int(np.searchsorted(group, group[max(hi, lo + 1) - 1], side="right"))
+            now = by[lo:hi].tolist()
+            for i, marks in zip(x[now].tolist(), repeated_windows(group[lo:hi], [chosen[j] for j in now], length), strict=True):
+                a, b = V.runs(marks, np.array([0, len(marks)]))
+                spans.append((np.full(len(a), order[i]), s[i] + a, s[i] + b - 1 + length))
+            lo = hi
         o, a, b = (np.concatenate(c) for c in zip(*spans, strict=True))
         if len(o):
             out = [(1, q, b"", block) for q, block in _span_rows(o, a, b, parts)]
     return pa.Table.from_batches([_blocks(*map(list, zip(*out, strict=True)))] if out else [], schema=_blocks([], [], [], []).schema)
 
 
-_KEPT = pa.schema([("order_key", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.binary())])
-
-
-def _cut(docs: pa.Table, spans: pa.Table, with_bytes: bool) -> pa.Table:
+def _cut(docs: pa.Table, spans: pa.Table, with_bytes: bool, carry: tuple[str, ...]) -> pa.Table:
     """The result rows of one document bucket."""
-    n = docs.num_rows
-    buf, offs = V.utf8(docs.column("text"))
-    cover = np.zeros(len(buf) + 1, np.int32)
-    if spans.num_rows and n:
+    ids, whole = docs.column("order_key").to_numpy(), V.utf8(docs.column("text"))[1]
+    first, last = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    if spans.num_rows and docs.num_rows:
         order, s, e = (np.concatenate(c) for c in zip(*(_unpacked(p, *_SPANS) for p in spans.column("places").to_pylist()), strict=True))
-        ids = docs.column("order_key").to_numpy()
         by = np.argsort(ids, kind="stable")
-        base = offs[by[np.searchsorted(ids[by], order)]]
-        np.add.at(cover, base + s, 1)
-        np.add.at(cover, base + e, -1)
-    gone = np.cumsum(cover[:-1], dtype=np.int32) > 0
-    total = np.concatenate([[0], np.cumsum(gone)])
-    start, _ = V.runs(gone, offs)
-    per_doc = np.bincount(np.searchsorted(offs, start, side="right") - 1, minlength=n)
-    removed = total[offs[1:]] - total[offs[:-1]]
-    left, at = buf[~gone].tobytes(), offs - total[offs]
-    kept = [left[at[i] : at[i + 1]] for i in range(n)]
-    columns = [docs.column("order_key"), np.diff(offs), removed, per_doc, pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string()), pa.array(kept if with_bytes else [None] * n, pa.binary())]
-    return pa.table([pa.array(c) if isinstance(c, np.ndarray) else c for c in columns], schema=_KEPT)
-
-
-def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text", with_bytes: bool = True) -> DataFrame:
-    """One row per row of docs: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept (the bytes left).
+        base = whole[by[np.searchsorted(ids[by], order)]]
+        o = np.argsort(base + s)
+        first, last = (base + s)[o], (base + e)[o]
+    columns: list[list] = [[], [], [], []]
+    kept: list[bytes] = []
+    for lo, hi, buf, offs in V.slices(docs.column("text").combine_chunks()):
+        x = slice(*np.searchsorted(first, [whole[lo], whole[hi]]).tolist())
+        cover = np.zeros(len(buf) + 1, np.int32)
+        np.add.at(cover, first[x] - whole[lo], 1)
+        np.add.at(cover, last[x] - whole[lo], -1)
+        gone = np.cumsum(cover[:-1], dtype=np.int32) > 0
+        total = np.concatenate([[0], np.cumsum(gone)])
+        start, _ = V.runs(gone, offs)
+        per_doc = np.bincount(np.searchsorted(offs, start, side="right") - 1, minlength=hi - lo)
+        left, at = buf[~gone].tobytes(), offs - total[offs]
+        parts = [left[at[i] : at[i + 1]] for i in range(hi - lo)]
+        digests = [hashlib.sha256(k).hexdigest() for k in parts]
+        for c, more in zip(columns, (np.diff(offs).tolist(), (total[offs[1:]] - total[offs[:-1]]).tolist(), per_doc.tolist(), digests), strict=True):
+            c += more
+        kept += parts if with_bytes else [None] * (hi - lo)
+    made = [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.string()), strict=True)]
+    return pa.table([docs.column("doc_id"), *made, pa.array(kept, pa.binary()), *(docs.column(c) for c in carry)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", *carry])
+
+
+def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text", with_bytes: bool = True, carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per row of docs: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the bytes left), carry.
 
     Every byte under a `length`-byte string that also starts earlier (a smaller doc_id, or
     the same document further left) is removed, judged on the input. Null text is empty.
@@ -343,14 +360,8 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
     """
     if not 2 * GRAM < length < 127:
         raise ValueError("length must be between 65 and 126")
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    ids = base.groupBy("doc_id").count().agg(F.max("count"), F.count("*"), F.count("doc_id"), F.sum("count")).first()
-    if (ids[0] or 0) > 1 or ids[1] != ids[2]:
-        placed = base.orderBy(F.col("doc_id").asc_nulls_last(), "text").rdd.zipWithIndex().map(lambda x: (x[1], *x[0]))
-        base = checkpointed(docs.sparkSession.createDataFrame(placed, "order_key long, doc_id long, text string"))
-    else:
-        base = base.withColumn("order_key", F.col("doc_id"))
-    parts = max(buckets(docs.sparkSession), -(-(ids[3] or 0) // 50_000))
+    base = ordered(docs, id_col, text_col, carry)
+    parts = max(buckets(docs.sparkSession), -(-docs.count() // 50_000))
     row, block = "kind int, part int, hashes binary, places binary", ["kind", "part", "hashes", "places"]
     dealt = base.withColumn("part", F.pmod(F.pmod("order_key", F.lit(_SPREAD)), F.lit(parts)).cast("int"))
     by_document = dealt.groupBy("part")
@@ -361,15 +372,22 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
     texts = by_document.cogroup(found.where("kind = 2").groupBy("part")).applyInArrow(lambda d, w: _fetch_texts(d, w, length, parts), row)
     matched = texts.groupBy("part").applyInArrow(lambda t: _match_texts(t, length, parts), row)
     spans = found.where("kind = 1").select(block).unionByName(matched)
-    out = by_document.cogroup(spans.groupBy("part")).applyInArrow(lambda d, s: _cut(d, s, with_bytes), "order_key long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
-    if "order_key" in base.columns and ((ids[0] or 0) > 1 or ids[1] != ids[2]):
-        out = out.join(base.select("order_key", "doc_id"), "order_key")
-    else:
-        out = out.withColumn("doc_id", F.col("order_key"))
-    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
+    kinds = "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in carry)
+    return by_document.cogroup(spans.groupBy("part")).applyInArrow(lambda d, s: _cut(d, s, with_bytes, carry), f"doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary{kinds}")
 
 
-def op4_suffix_dedup(spark, sf_dir: str) -> DataFrame:
-    from weftline.llm.shared import documents
+def as_text(cut: DataFrame) -> DataFrame:
+    """Rows of remove_repeats with kept as a column text; bytes of characters that were cut apart are left out."""
+    columns = cut.columns
+    names = ["text" if c == "kept" else c for c in columns]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            text = pa.array([(k or b"").decode("utf-8", "ignore") for k in b.column("kept").to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([text if c == "kept" else b.column(c) for c in columns], names=names)
+
+    return cut.mapInArrow(run, ", ".join(f"{n} {'string' if n == 'text' else f.dataType.simpleString()}" for n, f in zip(names, cut.schema.fields, strict=True)))
+
+
+def op4_suffix_dedup(spark, sf_dir: str) -> DataFrame:
     return remove_repeats(documents(spark, sf_dir), with_bytes=False).drop("kept")
