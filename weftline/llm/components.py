@@ -34,4 +34,6 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         if now == before:
             break
         before = now
+    else:
+        raise RuntimeError(f"components did not settle in {rounds} rounds")
     return links.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(links.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()
