@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from weftline.llm import textvec as V
 from weftline.llm.shared import held_out
 
-SAMPLE = 12_000
+SAMPLE = 7_000
 OPENING = 5
 DRIFT = 0.5
 PRIOR_WORD, PRIOR_OPENING = 4.0, 8.0
@@ -66,7 +66,7 @@ class Model:
         """toxic: label of each text; fit: weights come from these, the curve from the others."""
         if not len(toxic):
             return
-        parts = [(doc + lo, word, opening) for lo, _, buf, offs in V.slices(column) for _, _, doc, word, opening in [tokens(buf, offs)]]
+        parts = [((doc + lo).astype(np.int32), word, opening) for lo, _, buf, offs in V.slices(column) for _, _, doc, word, opening in [tokens(buf, offs)]]
         doc, word, opening = (np.concatenate(c) for c in zip(*parts, strict=True))
         base = (toxic[fit].sum() + 1) / (fit.sum() + 2)
         of = fit[doc]
