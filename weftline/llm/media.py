@@ -24,16 +24,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.llm import textvec as V
-from weftline.llm.shared import checkpointed
-
 UNIT = 64
 RATE = 8000
 LEAST_CHUNK, MOST_CHUNK = 1024, 16_384
-CUT_MASK = np.uint64(((1 << 11) - 1) << 53)
+CUT_MASK = np.uint64(((1 << 12) - 1) << 52)
 GEAR = V.keyed_table(256, 0x6EA2)
 SAMPLE = 2_000
 DICTIONARY_BYTES = 65_536
-LEVEL = 6
+LEVEL = 9
 
 
 def payload_of(text: bytes) -> bytes:
@@ -186,7 +184,6 @@ def media_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     table gives an empty result; other columns play no part.
     """
     rows, store, trained = store_media(docs, id_col, text_col)
-    rows = checkpointed(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -196,17 +193,18 @@ def media_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 [
                     b.column(0),
                     pa.array([len(p) for p in payload], pa.int64()),
-                    pa.array([hashlib.sha256(p).hexdigest() for p in payload], pa.string()),
+                    pa.array([hashlib.sha256(p).digest() for p in payload], pa.binary()),
                     pa.array([zlib.crc32(p[-UNIT:]) for p in payload], pa.int64()),
                     pa.array([len(m) for m in media], pa.int64()),
-                    pa.array([hashlib.sha256(m).hexdigest() for m in media], pa.string()),
+                    pa.array([hashlib.sha256(m).digest() for m in media], pa.binary()),
                     pa.array([feature_of(p) for p in payload], pa.string()),
                 ],
                 names=["media_id", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"],
             )
 
-    read = read_media(rows, store, trained).mapInArrow(run, "media_id binary, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    read = read_media(rows, store, trained).mapInArrow(run, "media_id binary, payload_bytes long, payload_sha256 binary, tail_crc32 long, media_bytes long, media_sha256 binary, feature string")
     out = rows.select("doc_id", "n_bytes", "media_id", F.size("digests").alias("n_chunks")).join(read, "media_id")
+    out = out.withColumns({c: F.lower(F.hex(c)) for c in ("payload_sha256", "media_sha256")})
     return out.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "n_chunks")
 
 
