@@ -65,3 +65,18 @@ def test_neighbours(spark):
     assert sorted(map(str, got)) == sorted(map(str, want))
     assert fingerprint_documents(df.limit(0)).count() == 0
     assert [tuple(r)[:2] for r in fingerprint_documents(df.where("doc_id = 7")).collect()] == [(7, len(rows[[r[0] for r in rows].index(7)][1]))]
+
+
+def test_letters_cover_a_text_with_a_repetitive_stretch():
+    rnd = random.Random(11)
+    words = lambda n: " ".join("".join(rnd.choices("abcdefghijk", k=rnd.randrange(2, 9))) for _ in range(n))
+    for stretch in ["spam ", "a", "one line that comes again\n", "abcdefg"]:
+        for times in (300, 1000):
+            for _ in range(5):
+                run, back = stretch * times, words(600)
+                text, end_edited, other = run + back, run + back[: len(back) // 2] + words(300), run + words(600)
+                a, b, c = fingerprints([t.encode() for t in (text, end_edited, other)])
+                assert 16 <= len(a.split(":")[1]) <= 64 and 8 <= len(a.split(":")[2]) <= 32
+                assert likeness(a, b) > 0.5
+                # A changed part takes its share of the letters, wherever it stands.
+                assert likeness(a, c) < 1 - len(back) / len(text) / 2

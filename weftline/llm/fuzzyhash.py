@@ -1,8 +1,11 @@
 """Document fingerprints by context-triggered piecewise hashing.
 
 A rolling hash over 7 bytes cuts a text where its low k bits are zero, about every 2**k
-bytes; each chunk gives one of 64 letters. k is the least with at most about 64 chunks,
-lowered while there are fewer than 32. A fingerprint is `k:letters at k:letters at k + 1`,
+bytes; each chunk gives one of 64 letters. k comes from the length, is lowered while there
+are fewer than 32 cuts, and then raised while there are over 63, or over 31 at k + 1, so
+letters cover the whole text. From its fifth place in a text on, a window of 7 bytes is
+hashed with the number of the place, so that a repetitive stretch is cut as often as any
+other. A fingerprint is `k:letters at k:letters at k + 1`,
 so texts of somewhat different size still share a block size. Two fingerprints are
 compared at the block sizes they share by the edit distance (insertions and deletions)
 of their letters, and only if these have a run in common.
@@ -25,6 +28,8 @@ ROLL = 7
 LEAST_K = 2
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 LONGEST = 64
+#: Places of one window in a text that are hashed without their number.
+PLAIN_PLACES = 4
 COMMON_RUN = 7
 _ALPHABET = np.frombuffer(LETTERS.encode(), np.uint8)
 
@@ -43,6 +48,24 @@ def fingerprints(texts: list[bytes]) -> list[str]:
     return out
 
 
+def _tell_repeats_apart(roll: np.ndarray) -> None:
+    """Changes the hashes of one text, in place, where a window has stood PLAIN_PLACES times before."""
+    n = len(roll)
+    if n <= PLAIN_PLACES:
+        return
+    bits = np.uint64(n.bit_length())
+    key = (roll >> bits << bits) | np.arange(n, dtype=np.uint64)
+    key.sort()
+    window = key >> bits
+    # Windows that stand more often than that are equal to the one so many before them.
+    late = np.flatnonzero(window[PLAIN_PLACES:] == window[:-PLAIN_PLACES]) + PLAIN_PLACES
+    if len(late):
+        number = late - np.searchsorted(window, window[late])
+        place = (key[late] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+        with np.errstate(over="ignore"):
+            roll[place] = V.mix64(roll[place] + number.astype(np.uint64) * np.uint64(V.BASE))
+
+
 def _batch(texts: list[bytes]) -> list[str]:
     gap = bytes(ROLL)
     buf = np.frombuffer(gap + gap.join(texts), np.uint8)
@@ -52,6 +75,8 @@ def _batch(texts: list[bytes]) -> list[str]:
     place = np.arange(len(buf) - ROLL + 1)
     roll = np.zeros(len(buf), np.uint64)
     roll[ROLL - 1 :] = V.substring_hash(prefix, place, place + ROLL)
+    for s, e in zip(start.tolist(), (start + lens).tolist(), strict=True):
+        _tell_repeats_apart(roll[s:e])
     k = np.maximum(LEAST_K, np.ceil(np.log2(np.maximum(lens, 1) / LONGEST)).astype(np.int64))
     k += (np.int64(LONGEST) << k) < lens
     low = np.maximum(LEAST_K, k - 3)
@@ -74,8 +99,11 @@ def _batch(texts: list[bytes]) -> list[str]:
         if level < lowest:
             own = np.flatnonzero((roll[s:e] & np.uint64((1 << level) - 1)) == 0) + s + 1
             hashes = roll[own - 1]
-        one = own[(hashes & np.uint64((1 << level) - 1)) == 0][: LONGEST - 1]
-        two = own[(hashes & np.uint64((2 << level) - 1)) == 0][: LONGEST // 2 - 1]
+        one = own[(hashes & np.uint64((1 << level) - 1)) == 0]
+        two = own[(hashes & np.uint64((2 << level) - 1)) == 0]
+        while len(one) >= LONGEST or len(two) >= LONGEST // 2:
+            level += 1
+            one, two = two, own[(hashes & np.uint64((2 << level) - 1)) == 0]
         signs.append((level, *(np.concatenate([[s], c, [e] if not len(c) or c[-1] < e else []]).astype(np.int64) if e > s else np.array([s]) for c in (one, two))))
     bounds = [b for _, x, y in signs for b in (x, y)]
     begin, end = np.concatenate([b[:-1] for b in bounds]), np.concatenate([b[1:] for b in bounds])
