@@ -61,3 +61,31 @@ def test_tables(spark):
     back = decode_documents(encode_documents(df, seed=4))
     assert sorted(map(str, back.collect())) == sorted(map(str, df.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).collect()))
     assert round_trips(df.limit(0)).count() == 0
+
+
+def test_each_occurrence_is_segmented_by_itself():
+    enc, plain = (DropoutEncoder(default_path(), 20, d) for d in (0.1, 0.0))
+    word, times = " international", 3000
+    whole = plain.encode("x" + word, 1)[1:].tolist()
+    seen, kept = {}, 0
+    for key in range(20):
+        text = "x" + word * (times // 20)
+        pieces = [enc.vocabulary.bytes_of[i] for i in enc.encode(text, key).tolist()]
+        cut, at = [], -1 - len("x")
+        for p in pieces:  # the first space is not in the text
+            cut.append((at, p))
+            at += len(p)
+        for i in range(times // 20):
+            lo, hi = i * len(word), (i + 1) * len(word)
+            got = tuple(p for a, p in cut if lo - 1 < a < hi)
+            assert b"".join(got).decode() == word
+            seen[got] = seen.get(got, 0) + 1
+            kept += len(got) == len(whole)
+    assert len(seen) > 20
+    # In the plain way where no merge of it was skipped, about 0.9 for each.
+    assert 0.15 < kept / times < 0.9
+    # What is remembered, and the order of batches, play no part.
+    texts = ["a strange word " * 30, "international word " * 50, "", "x" * 100]
+    again = DropoutEncoder(default_path(), 20, 0.1)
+    for _ in range(3):
+        assert [x.tolist() for x in enc.encode_batch(texts, [1, 2, 3, 4])] == [again.encode(t, k).tolist() for k, t in reversed(list(enumerate(texts, 1)))][::-1]

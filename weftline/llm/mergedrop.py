@@ -2,13 +2,14 @@
 
 Text is cut before runs of the space mark, which no piece of such a model crosses. Each
 unit's characters wait on an agenda of candidate merges, best score first, then leftmost;
-a candidate that comes up is skipped when a keyed hash of the seed, the unit, one of
-VARIANTS variants and its span says so, and otherwise merged if both sides still stand.
-The variant of an occurrence is a keyed hash of the seed, the document and its place, so
-a word is segmented in varied ways, while equal (unit, variant) pairs are worked out once
-a worker. New pairs of a batch are worked out side by side in numpy: in each step every
-unit takes up its best open candidate. Very long units go one by one. Characters without a piece are written as byte pieces. With dropout 0 the ids
-are the library's.
+a candidate that comes up is skipped when a keyed hash of the seed, the unit, its
+occurrence and the span says so, and otherwise merged if both sides still stand. The key
+of an occurrence is a keyed hash of the seed, the document and its place, so each is
+segmented by itself. What is remembered of a unit that comes again is its segmentation
+without skips and those after one skip, each with the spans that it merges: an occurrence
+that skips none of these has it. All others are worked out side by side in numpy: in each
+step every unit takes up its best open candidate. Very long units go one by one. Characters without a piece are written as byte pieces. With
+dropout 0 the ids are the library's.
 """
 
 from __future__ import annotations
@@ -30,8 +31,7 @@ MARK = "▁"
 #: Stands for a space mark that was in the text; no valid text holds it.
 _LITERAL_MARK = "\udc81"
 _UNITS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-VARIANTS = 4
-#: Remembered units at which a worker starts anew; length of a unit from which it goes alone.
+#: Remembered segmentations and units at which a worker starts anew; length of a unit from which it goes alone.
 MEMORY = 1_000_000
 LONG = 48
 _NEVER = np.int32(2**31 - 1)
@@ -63,17 +63,34 @@ class Vocabulary:
             for k in range(1, len(piece))
             if (left := self.pieces.get(piece[:k])) and (right := self.pieces.get(piece[k:]))
         ]
-        merges.sort()
-        self.merge_key = np.array([m[0] for m in merges], np.int64)
-        self.merge_rank = np.array([m[1] for m in merges], np.int32)
-        self.merge_id = np.array([m[2] for m in merges], np.int32)
-        self.char_id = {c: i for c, (_, i) in self.pieces.items() if len(c) == 1}
+        # A hash table with linear probing, at most a fourth full; key 0 is free.
+        self.shift = np.uint64(64 - max(8, (4 * len(merges)).bit_length()))
+        size = 1 << 64 - int(self.shift)
+        self.merge_key, self.merge_rank, self.merge_id = np.zeros(size, np.int64), np.full(size, _NEVER, np.int32), np.zeros(size, np.int32)
+        for key, rank, i in sorted(merges):
+            slot = (key * _K1 & _ALL) >> int(self.shift)
+            while self.merge_key[slot]:
+                slot = (slot + 1) % size
+            self.merge_key[slot], self.merge_rank[slot], self.merge_id[slot] = key, rank, i
+        self.char_id = np.zeros(0x110000, np.int32)
+        for c, (_, i) in self.pieces.items():
+            if len(c) == 1:
+                self.char_id[ord(c)] = i
 
     def merges(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and id of what each pair of pieces merges to."""
         key = (left.astype(np.int64) << np.int64(32)) | right
-        at = np.minimum(np.searchsorted(self.merge_key, key), len(self.merge_key) - 1)
-        return np.where(self.merge_key[at] == key, self.merge_rank[at], _NEVER), self.merge_id[at]
+        with np.errstate(over="ignore"):
+            at = ((key.astype(np.uint64) * np.uint64(_K1)) >> self.shift).astype(np.int64)
+        found = self.merge_key[at]
+        on = np.nonzero((found != key) & (found != 0))
+        while len(on[0]):
+            at[on] = (at[on] + 1) % len(self.merge_key)
+            found = self.merge_key[at[on]]
+            on = tuple(x[(found != key[on]) & (found != 0)] for x in on)
+        rank = self.merge_rank[at]
+        rank[self.merge_key[at] != key] = _NEVER
+        return rank, self.merge_id[at]
 
 
 class DropoutEncoder:
@@ -82,18 +99,43 @@ class DropoutEncoder:
     def __init__(self, path: str, seed: int, dropout: float) -> None:
         self.vocabulary, self.seed = Vocabulary(path), seed
         self.limit = round(dropout * 65536)
-        self.memory: list[dict[str, bytes]] = [{} for _ in range(VARIANTS)]
-        self.remembered = 0
-
-    def _bases(self, units: list[str], variants: np.ndarray) -> np.ndarray:
-        """Keyed hashes of (seed, unit, variant)."""
+        self._forget()
+
+    def _forget(self) -> None:
+        #: Numbers of remembered units, and units met once.
+        self.memory: dict[str, int] = {}
+        self.once: set[str] = set()
+        #: By number of a segmentation: its ids and, in flat arrays, the spans that it merges and the
+        #: segmentations that skip one of them, -1 where not known. Only those without skips have these.
+        self.ids: list[bytes] = []
+        self.content = np.zeros(0, np.uint64)
+        self.first_span = np.zeros(1, np.int64)
+        self.spans = np.zeros(0, np.uint64)
+        self.after = np.zeros(0, np.int64)
+
+    def _contents(self, units: list[str]) -> np.ndarray:
+        """Hashes of units."""
         points = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-        lens = np.array([len(u) for u in units])
+        lens = np.array([len(u) for u in units], np.int64)
         end = np.cumsum(lens)
         with np.errstate(over="ignore"):
             prefix = np.zeros(len(points) + 1, np.uint64)
             np.cumsum(V.mix64(points * np.uint64(_K2) + np.uint64(1)) * V.powers(len(points) + 1)[0][:-1], out=prefix[1:])
-            return V.mix64(V.substring_hash(prefix, end - lens, end) + np.uint64(self.seed * _K1 & _ALL) + variants.astype(np.uint64) * np.uint64(_K3))
+            return V.substring_hash(prefix, end - lens, end)
+
+    def _keyed(self, contents: np.ndarray, variants: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return V.mix64(contents + np.uint64(self.seed * _K1 & _ALL) + variants.astype(np.uint64) * np.uint64(_K3))
+
+    def _bases(self, units: list[str], variants: np.ndarray) -> np.ndarray:
+        """Keyed hashes of (seed, unit, variant); a variant is the key of an occurrence."""
+        return self._keyed(self._contents(units), variants)
+
+    def _skipped(self, bases: np.ndarray, spans: np.ndarray) -> np.ndarray:
+        """Whether each span, as start * _K1 + end * _K2, is skipped."""
+        with np.errstate(over="ignore"):
+            h = (bases ^ spans) * np.uint64(_K3)
+        return (((h ^ (h >> np.uint64(29))) >> np.uint64(13)) & np.uint64(0xFFFF)) < np.uint64(self.limit)
 
     def _skips(self, unit: str, variant: int):
         base, limit = int(self._bases([unit], np.array([variant]))[0]), self.limit
@@ -104,8 +146,8 @@ class DropoutEncoder:
 
         return skip
 
-    def segment(self, unit: str, variant: int) -> list[str]:
-        """Pieces of one unit."""
+    def segment(self, unit: str, variant: int | None) -> list[str]:
+        """Pieces of one unit; without a variant none is skipped."""
         known, n = self.vocabulary.pieces, len(unit)
         end, before = list(range(1, n + 1)), list(range(-1, n))  # of the symbol that starts here; 0 once merged away
         agenda = []
@@ -113,7 +155,7 @@ class DropoutEncoder:
             if got := known.get(unit[i : i + 2]):
                 agenda.append((got[0], i, i + 1, i + 2))
         heapq.heapify(agenda)
-        skip = self._skips(unit, variant) if self.limit else None
+        skip = self._skips(unit, variant) if self.limit and variant is not None else None
         while agenda:
             _, a, b, e = heapq.heappop(agenda)
             if end[a] != b or b >= n or end[b] != e or (skip and skip(a, e)):
@@ -143,20 +185,23 @@ class DropoutEncoder:
                 ids += [self.vocabulary.byte_ids[b] for b in (MARK if s == _LITERAL_MARK else s).encode("utf-8", "surrogatepass")]
         return np.array(ids, "<u4").tobytes()
 
-    def _side_by_side(self, units: list[str], variants: np.ndarray) -> list[bytes]:
-        """Ids of many units, all shorter than LONG, one candidate of each a step."""
+    def _side_by_side(self, units: list[str], variants: np.ndarray | None, skips: np.ndarray | None = None, merges: list | None = None) -> list[bytes]:
+        """Ids of many units, all shorter than LONG, one candidate of each a step; merges takes (units, spans) of each step.
+
+        Without variants only the span of each that skips names is skipped.
+        """
         vocabulary, n = self.vocabulary, len(units)
         lens = np.array([len(u) for u in units])
         wide = int(lens.max()) + 1
         inside = np.arange(wide) < lens[:, None]
-        get = vocabulary.char_id.get
         symbol = np.zeros((n, wide), np.int32)
-        symbol[inside] = [get(c, 0) for c in "".join(units)]
+        symbol[inside] = vocabulary.char_id[np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32)]
         start = np.minimum(np.arange(wide, dtype=np.int64), lens[:, None])
         start = np.concatenate([start, lens[:, None]], 1)
         rank, _ = vocabulary.merges(symbol[:, :-1], symbol[:, 1:])
         rank[np.arange(wide - 1) >= lens[:, None] - 1] = _NEVER
-        base = self._bases(units, variants)
+        dropping = bool(self.limit) and variants is not None
+        base = self._bases(units, variants) if dropping else skips if skips is not None else np.zeros(n, np.uint64)
         place = np.arange(wide)
         live = np.arange(n)
         sy, st, rk, ba = symbol, start, rank, base
@@ -171,12 +216,14 @@ class DropoutEncoder:
                 rows = np.arange(len(live))
                 if not len(live):
                     break
-            if self.limit:
+            if dropping or merges is not None:
                 with np.errstate(over="ignore"):
-                    h = (ba ^ (st[rows, at].astype(np.uint64) * np.uint64(_K1) + st[rows, at + 2].astype(np.uint64) * np.uint64(_K2))) * np.uint64(_K3)
-                skip = (((h ^ (h >> np.uint64(29))) >> np.uint64(13)) & np.uint64(0xFFFF)) < np.uint64(self.limit)
+                    spans = st[rows, at].astype(np.uint64) * np.uint64(_K1) + st[rows, at + 2].astype(np.uint64) * np.uint64(_K2)
+                skip = self._skipped(ba, spans) if dropping else spans == ba
                 rk[rows[skip], at[skip]] = _NEVER
                 r, j = rows[~skip], at[~skip]
+                if merges is not None:
+                    merges.append((live[r], spans[r]))
             else:
                 r, j = rows, at
             if not len(r):
@@ -206,35 +253,92 @@ class DropoutEncoder:
             out[i] = self._written([units[i][a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)])
         return out
 
-    def _learn(self, wanted: list[tuple[str, int]]) -> None:
-        self.remembered += len(wanted)
-        wanted.sort(key=lambda x: len(x[0]))
-        short = [w for w in wanted if len(w[0]) < LONG]
+    def _learn(self, units: list[str], skips: np.ndarray) -> None:
+        """Appends the segmentations of units, all shorter than LONG, that skip one span each; 0 is none."""
+        counts, spans = [], []
+        for lo in range(0, len(units), 4096):
+            part, merges = units[lo : lo + 4096], []
+            self.ids += self._side_by_side(part, None, skips[lo : lo + 4096], merges)
+            whose = np.concatenate([np.zeros(0, np.int64), *(w for w, _ in merges)])
+            spans.append(np.concatenate([np.zeros(0, np.uint64), *(x for _, x in merges)])[np.argsort(whose, kind="stable")])
+            counts.append(np.bincount(whose, minlength=len(part)))
+        self.content = np.concatenate([self.content, self._contents(units)])
+        self.first_span = np.concatenate([self.first_span, self.first_span[-1] + np.cumsum(np.concatenate(counts))])
+        self.spans = np.concatenate([self.spans, *spans])
+        self.after = np.concatenate([self.after, np.full(len(self.spans) - len(self.after), -1)])
+
+    def _first_skips(self, number: np.ndarray, bases: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which occurrences skip a span of their segmentation, and the first such span."""
+        first = self.first_span[number]
+        count = self.first_span[number + 1] - first
+        at = V.ragged(count) + np.repeat(first, count)
+        skipped = self._skipped(np.repeat(bases, count), self.spans[at])
+        hit, place = np.unique(np.repeat(np.arange(len(number)), count)[skipped], return_index=True)
+        return hit, at[skipped][place]
+
+    def _occurrences(self, units: list[str], variants: np.ndarray) -> list[bytes]:
+        """Ids of each occurrence of a unit."""
+        memory, once = self.memory, self.once
+        number = np.array([memory.get(u, -1) for u in units], np.int64)
+        missing, wanted = np.flatnonzero(number < 0).tolist(), set()
+        for i in missing:
+            u = units[i]
+            if len(u) < LONG:
+                wanted.add(u) if u in once else once.add(u)
+        if wanted:
+            once -= wanted
+            new, n = sorted(wanted, key=len), len(self.ids)
+            self._learn(new, np.zeros(len(new), np.uint64))
+            memory.update(zip(new, range(n, n + len(new)), strict=True))
+            number[missing] = [memory.get(units[i], -1) for i in missing]
+        alone = np.flatnonzero(number < 0)
+        if self.limit:
+            known = np.flatnonzero(number >= 0)
+            bases = self._keyed(self.content[number[known]], variants[known])
+            hit, span = self._first_skips(number[known], bases)
+            known, bases = known[hit], bases[hit]
+            new, whose = np.unique(span[self.after[span] < 0], return_index=True)
+            if len(new):
+                whose = known[self.after[span] < 0][whose]
+                order = np.argsort([len(units[i]) for i in whose.tolist()], kind="stable")
+                self.after[new[order]] = np.arange(len(self.ids), len(self.ids) + len(new))
+                self._learn([units[i] for i in whose[order].tolist()], self.spans[new[order]])
+            number[known] = self.after[span]
+            again, _ = self._first_skips(number[known], bases)
+            number[known[again]] = -1
+            alone = np.concatenate([alone, known[again]])
+        ids = self.ids
+        out = [ids[i] if i >= 0 else b"" for i in number.tolist()]
+        lens = np.array([len(units[i]) for i in alone.tolist()], np.int64)
+        alone, lens = alone[np.argsort(lens, kind="stable")], np.sort(lens)
+        short = alone[lens < LONG]
         for lo in range(0, len(short), 4096):
             part = short[lo : lo + 4096]
-            for (u, v), ids in zip(part, self._side_by_side([u for u, _ in part], np.array([v for _, v in part])), strict=True):
-                self.memory[v][u] = ids
-        for u, v in wanted[len(short) :]:
-            self.memory[v][u] = self._written(self.segment(u, v))
+            for i, x in zip(part.tolist(), self._side_by_side([units[i] for i in part.tolist()], variants[part]), strict=True):
+                out[i] = x
+        for i in alone[lens >= LONG].tolist():
+            out[i] = self._written(self.segment(units[i], int(variants[i])))
+        return out
 
     def encode_batch(self, texts: list[str], keys: list[int]) -> list[np.ndarray]:
         """Ids of texts; a key tells one document's segmentations from another's."""
-        cut, wanted = [], set()
-        if self.remembered >= MEMORY:
-            self.memory, self.remembered = [{} for _ in range(VARIANTS)], 0
-        memory = self.memory
+        if len(self.ids) + len(self.once) >= MEMORY:
+            self._forget()
+        units, variants, ends = [], [], []
         for text, key in zip(texts, keys, strict=True):
             if MARK in text:
                 text = text.replace(MARK, _LITERAL_MARK)
-            units = _UNITS.findall(MARK + text.replace(" ", MARK)) if text else []
+            n = len(units)
+            if text:
+                units += _UNITS.findall(MARK + text.replace(" ", MARK))
+            ends.append(len(units))
             with np.errstate(over="ignore"):
                 start = np.uint64((key * _K1 + self.seed * _K2) & _ALL)
-                variants = (V.mix64(np.arange(len(units), dtype=np.uint64) * np.uint64(V.BASE) + start) % np.uint64(VARIANTS)).astype(np.uint8).tobytes()
-            cut.append((units, variants))
-            wanted.update([(u, v) for u, v in zip(units, variants, strict=True) if u not in memory[v]])
-        if wanted:
-            self._learn(list(wanted))
-        return [np.frombuffer(b"".join([memory[v][u] for u, v in zip(units, variants, strict=True)]), "<u4") for units, variants in cut]
+                variants.append(V.mix64(np.arange(len(units) - n, dtype=np.uint64) * np.uint64(V.BASE) + start))
+        if not units:
+            return [np.zeros(0, "<u4") for _ in texts]
+        ids = self._occurrences(units, np.concatenate(variants))
+        return [np.frombuffer(b"".join(ids[a:b]), "<u4") for a, b in zip([0, *ends[:-1]], ends, strict=True)]
 
     def encode(self, text: str, key: int) -> np.ndarray:
         return self.encode_batch([text], [key])[0]
