@@ -68,3 +68,15 @@ def test_templates_against_brute_force(spark):
 
 def test_table_of_documents(spark):
     check(spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text"), 3)
+
+
+def test_support_is_of_documents(spark):
+    city = lambda names: "\n".join(f"The city of {x} lies far north" for x in names)
+    one = spark.createDataFrame([(1, city("ABCDEFG")), (2, "other"), (3, city("HI"))], "doc_id long, text string")
+    assert {tuple(r) for r in deduplicate_lines(one, 5).collect()} == {(1, 7, 0, city("ABCDEFG")), (2, 1, 0, "other"), (3, 2, 0, city("HI"))}
+    # A second line of a document and a repeated line add nothing; a fifth document does.
+    rows = [(i, city([f"{chr(65 + i)}", f"{chr(75 + i)}", f"{chr(65 + i)}"])) for i in range(5)]
+    four = spark.createDataFrame(rows[:4], "doc_id long, text string")
+    assert sum(r.n_dropped for r in deduplicate_lines(four, 5).collect()) == 0
+    five = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sum(r.n_dropped for r in deduplicate_lines(five, 5).collect()) == 14

@@ -125,7 +125,7 @@ def deduplicate_lines(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS, i
     """One row per row of docs: doc_id, n_lines, n_dropped, text (the lines that stay), and columns to carry.
 
     Lines are separated by newlines; blank lines always stay. A template's support is the
-    number of (document, distinct line) pairs of its lines. The first line of a recurring
+    number of distinct documents with one of its lines. The first line of a recurring
     template, by document and place, stays. Null text is empty. Rows that repeat a doc_id
     are documents of their own, in the order of their text, a null id last. An empty table
     gives an empty result; other columns play no part.
@@ -149,7 +149,13 @@ def deduplicate_lines(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS, i
     formed = sorted_leaves.mapInArrow(_cluster, "leaf long, line long, n long, first_key long, first_no long, template long")
     formed = checkpointed(formed.unionByName(lines.where("forms = 1").select("leaf", "line", "n", "first_key", "first_no", F.lit(0).cast("long").alias("template"))))
 
-    recurring = formed.groupBy("leaf", "template").agg(F.sum("n").alias("support"), F.min(F.struct("first_key", "first_no")).alias("stays")).where(F.col("support") >= least_documents)
+    # (document, line) pairs are at least the documents; those of one line are of as many documents.
+    grouped = formed.groupBy("leaf", "template").agg(F.sum("n").alias("pairs"), F.max("n").alias("most"), F.min(F.struct("first_key", "first_no")).alias("stays")).where(F.col("pairs") >= least_documents)
+    clear = grouped.where(F.col("most") >= least_documents)
+    open_lines = formed.select("leaf", "line", "template").join(grouped.where(F.col("most") < least_documents).select("leaf", "template"), ["leaf", "template"])
+    documents_of = keys.where("counts = 1").select("leaf", "line", "order_key").join(open_lines, ["leaf", "line"]).select("leaf", "template", "order_key").distinct()
+    shared = documents_of.groupBy("leaf", "template").count().where(F.col("count") >= least_documents).select("leaf", "template")
+    recurring = clear.unionByName(grouped.join(shared, ["leaf", "template"])).select("leaf", "template", "stays")
     decided = formed.select("leaf", "line", "template").join(recurring, ["leaf", "template"]).select("leaf", "line", "stays")
     drops = keys.join(decided, ["leaf", "line"]).where("order_key != stays.first_key or line_no != stays.first_no").select("order_key", "line_no", part("order_key"))
     kinds = "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in carry)
