@@ -64,3 +64,19 @@ def test_store_keeps_a_chunk_once_and_refuses_damage(spark):
     if store.count() > 1:
         with pytest.raises(Exception, match="chunk"):
             read_media(rows, broken, trained).collect()
+
+
+def test_files_of_different_length_share_the_chunks_of_a_passage():
+    rnd = random.Random(5)
+    words = lambda n: b" ".join(bytes(rnd.choices(b"abcdefghijk", k=rnd.randrange(2, 9))) for _ in range(n))
+    shared, total = 0, 0
+    for _ in range(20):
+        passage = words(120)
+        (_, one), (_, two) = _cut([words(30) + passage, words(75) + passage + words(40)])
+        shared += sum(map(len, set(one) & set(two)))
+        total += len(passage)
+    assert shared > 0.4 * total
+    # A text and the same with more at its end: one start, though the headers differ.
+    text = words(60)
+    (_, one), (_, two) = _cut([text, text + words(200)])
+    assert one[0] == two[0]

@@ -1,10 +1,12 @@
 """Media columns in a store of content-defined chunks.
 
 A text becomes a payload of bytes, the payload 8-bit samples of a WAV file (PCM, one
-channel, 8 kHz). A rolling gear hash cuts the file where its high bits are zero, so equal
-stretches give equal chunks wherever they lie. Chunks are kept once by digest; a media
-row is the ordered list of its digests. Reading joins the list to the store, verifies
-every chunk and the whole file, and takes the samples from the file's data.
+channel, 8 kHz). A rolling gear hash cuts the payload where its high bits are zero, about
+every 200 bytes, so equal passages give equal chunks wherever they lie. The header, which
+holds the file's lengths, is in no chunk; it follows from the payload. Chunks are kept
+once by digest; a media row is the ordered list of its digests. Reading joins the list to
+the store, verifies every chunk, writes the header, verifies the whole file, and takes the
+samples from the file's data.
 
 Chunks are compressed one by one with a dictionary trained on a bounded sample, so that
 they can be stored, deduplicated and joined as plain rows.
@@ -26,8 +28,9 @@ from pyspark.sql import functions as F
 from weftline.llm import textvec as V
 UNIT = 64
 RATE = 8000
-LEAST_CHUNK, MOST_CHUNK = 1024, 16_384
-CUT_MASK = np.uint64(((1 << 12) - 1) << 52)
+#: The least is the window of the hash.
+LEAST_CHUNK, MOST_CHUNK = 64, 16_384
+CUT_MASK = np.uint64(((1 << 7) - 1) << 57)
 GEAR = V.keyed_table(256, 0x6EA2)
 SAMPLE = 2_000
 DICTIONARY_BYTES = 65_536
@@ -71,7 +74,7 @@ def gear_hashes(buf: np.ndarray) -> np.ndarray:
 
 
 def chunk_ends(hashes: np.ndarray) -> list[int]:
-    """Ends of the chunks of one file; hashes may carry what stood before it, as chunks outlast the window."""
+    """Ends of the chunks of one payload; hashes may carry what stood before it, as no chunk is under the window but the last."""
     n, ends, start = len(hashes), [], 0
     candidates = np.flatnonzero((hashes & CUT_MASK) == 0) + 1
     while n - start > LEAST_CHUNK:
@@ -89,19 +92,29 @@ def _digest(data: bytes) -> bytes:
 
 
 def _cut(texts: list[bytes]) -> Iterator[tuple[bytes, list[bytes]]]:
-    """Media and chunks of each text."""
+    """Media of each text and chunks of its payload."""
     lo = 0
     while lo < len(texts):
-        media, size = [], 0
+        payloads, size = [], 0
         while lo < len(texts) and size < V.SLICE_BYTES:
-            media.append(wav(payload_of(texts[lo])))
-            size += len(media[-1])
+            payloads.append(payload_of(texts[lo]))
+            size += len(payloads[-1])
             lo += 1
-        h, at = gear_hashes(np.frombuffer(b"".join(media), np.uint8)), 0
-        for m in media:
-            ends = chunk_ends(h[at : at + len(m)])
-            at += len(m)
-            yield m, [m[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+        h, at = gear_hashes(np.frombuffer(b"".join(payloads), np.uint8)), 0
+        for p in payloads:
+            ends = chunk_ends(h[at : at + len(p)])
+            at += len(p)
+            yield wav(p), [p[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+
+
+def _packer(trained: bytes) -> zstandard.ZstdCompressor:
+    """Frames without the marks that all chunks would share."""
+    how = zstandard.ZstdCompressionParameters.from_level(LEVEL, format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_dict_id=False)
+    return zstandard.ZstdCompressor(compression_params=how, dict_data=zstandard.ZstdCompressionDict(trained) if trained else None)
+
+
+def _unpacker(trained: bytes) -> zstandard.ZstdDecompressor:
+    return zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(trained) if trained else None, format=zstandard.FORMAT_ZSTD1_MAGICLESS)
 
 
 def _texts(column: pa.Array) -> list[bytes]:
@@ -139,7 +152,7 @@ def store_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(t) for t in texts], pa.int64()), pa.array([m for m, _ in cut], pa.binary()), pa.array([d for _, d in cut], pa.list_(pa.binary()))], names=["doc_id", "n_bytes", "media_id", "digests"])
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(LEVEL, dict_data=zstandard.ZstdCompressionDict(shared.value)) if shared.value else zstandard.ZstdCompressor(LEVEL)
+        pack = _packer(shared.value)
         for b in batches:
             seen = {}
             for _, parts in _cut(_texts(b.column(1))):
@@ -161,14 +174,14 @@ def read_media(rows: DataFrame, store: DataFrame, trained: bytes) -> DataFrame:
     parts = wanted.join(store, "digest").groupBy("media_id").agg(F.sort_array(F.collect_list(F.struct("place", "digest", "data"))).alias("parts"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(shared.value)) if shared.value else zstandard.ZstdDecompressor()
+        unpack = _unpacker(shared.value)
         for b in batches:
             out = []
             for media_id, chunks in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 data = [unpack.decompress(c["data"]) for c in chunks]
                 if any(_digest(d) != c["digest"] for d, c in zip(data, chunks, strict=True)):
                     raise ValueError("a stored chunk does not match its digest")
-                out.append(b"".join(data))
+                out.append(wav(b"".join(data)))
                 if _digest(out[-1]) != media_id:
                     raise ValueError("chunks do not give back the media")
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], names=["media_id", "media"])
