@@ -83,3 +83,17 @@ def test_edges(spark):
 @pytest.mark.parametrize("n", [1, 5, 30, 48, 1000])
 def test_bound_is_at_most_what_small_sets_share(n):
     assert 1 <= least_shared(n, 48, 85) <= max(1, -(-n * 85 // 100))
+
+
+def test_floor_of_estimates_keeps_pairs_at_the_threshold():
+    import math
+
+    from weftline.llm.minhash import _floor
+
+    for k in (16, 48, 128):
+        for percent in (50, 80, 85, 95):
+            t = percent / 100
+            under = lambda m: sum(math.comb(k, i) * t**i * (1 - t) ** (k - i) for i in range(m))
+            floor = _floor(k, percent)
+            assert under(sum(m / k < floor for m in range(k + 1))) < 1e-7
+            assert floor < t and under(sum(m / k <= floor for m in range(k + 1))) >= 1e-7

@@ -99,13 +99,17 @@ def least_shared(n: int, k: int, percent: int, loss: float = 1e-7) -> int:
     than the returned number are with a probability under loss. A set no larger than k
     is its own sketch, for which t * n is a bound without exception.
     """
+    return max(1, min(_tail_bound(k, percent, loss), -(-n * percent // 100)))
+
+
+def _tail_bound(k: int, percent: int, loss: float) -> int:
+    """The most m for which fewer than m of k values are shared with a probability under loss at the wanted similarity."""
     t, tail, m = percent / 100, 0.0, 0
     while True:
         tail += math.comb(k, m) * t**m * (1 - t) ** (k - m)
         if tail >= loss:
-            break
+            return m
         m += 1
-    return max(1, min(m, -(-n * percent // 100)))
 
 
 def _estimates(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -127,10 +131,9 @@ def _matrix(rows: pd.Series, k: int) -> np.ndarray:
     return out
 
 
-def _floor(k: int, percent: int) -> float:
-    """Estimates under this are hopeless: five standard errors below the wanted similarity."""
-    t = percent / 100
-    return t - 5 * math.sqrt(t * (1 - t) / k)
+def _floor(k: int, percent: int, loss: float = 1e-7) -> float:
+    """Estimates under this are hopeless: a pair of the wanted similarity has one with a probability under loss."""
+    return _tail_bound(k, percent, loss) / k
 
 
 def _both_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
