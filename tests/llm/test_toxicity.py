@@ -51,3 +51,15 @@ def test_edges(spark):
     assert toxic_passages(docs.limit(0), model).count() == 0
     empty = train(many.limit(0), labels.limit(0))
     assert len(toxic_passages(docs, empty).collect()) == 6
+
+
+def test_scores_do_not_depend_on_neighbours(spark):
+    many = spark.createDataFrame([(i, ("vile rat " if i % 5 == 0 else "fine day ") + f"word{i % 7} and text") for i in range(400)], "doc_id long, text string")
+    model = train(many, spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(400)], "doc_id long, toxic int"))
+    texts = ["vile", "vile rat", "rat", "fine day", "", "vile vile", "vile " * 30_000 + "rat"]
+    alone = {t: toxic_passages(spark.createDataFrame([(1, t)], "doc_id long, text string"), model).first().score for t in texts}
+    rnd = random.Random(3)
+    for parts in (1, 3):
+        rows = [(i, t) for i, t in enumerate(rnd.choices(texts, k=60) + ["vile"] * 20)]
+        got = toxic_passages(spark.createDataFrame(rows, "doc_id long, text string").coalesce(parts), model).collect()
+        assert {(r.doc_id, r.score) for r in got} == {(i, alone[t]) for i, t in rows}

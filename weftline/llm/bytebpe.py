@@ -34,7 +34,6 @@ def _classes() -> np.ndarray:
 
 
 CLASS = _classes()
-POINT_WORDS = V.keyed_table(PLAIN_LIMIT, 0x7EA1)
 
 
 def pretokens(points: np.ndarray, offs: np.ndarray) -> np.ndarray:
@@ -114,10 +113,7 @@ class Encoder:
             return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
         start = pretokens(points, offs[:-1][lens > 0])
         end = np.append(start[1:], len(points))
-        with np.errstate(over="ignore"):
-            prefix = np.zeros(len(points) + 1, np.uint64)
-            np.cumsum(POINT_WORDS[points] * V.powers(len(points) + 1)[0][:-1], out=prefix[1:])
-        hashes = V.substring_hash(prefix, start, end)
+        hashes = V.span_hash(points, start, end, PLAIN_LIMIT)
         if len(hashes):
             place = np.searchsorted(self.known, hashes)
             fresh = self.known[np.minimum(place, len(self.known) - 1)] != hashes if len(self.known) else np.ones(len(hashes), bool)

@@ -115,13 +115,10 @@ class DropoutEncoder:
 
     def _contents(self, units: list[str]) -> np.ndarray:
         """Hashes of units."""
-        points = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        points = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32)
         lens = np.array([len(u) for u in units], np.int64)
         end = np.cumsum(lens)
-        with np.errstate(over="ignore"):
-            prefix = np.zeros(len(points) + 1, np.uint64)
-            np.cumsum(V.mix64(points * np.uint64(_K2) + np.uint64(1)) * V.powers(len(points) + 1)[0][:-1], out=prefix[1:])
-            return V.substring_hash(prefix, end - lens, end)
+        return V.span_hash(points, end - lens, end, 1 << 21)
 
     def _keyed(self, contents: np.ndarray, variants: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):

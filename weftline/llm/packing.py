@@ -11,19 +11,21 @@ parallel; a group leaves at most a few windows with room.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.llm import textvec as V
 from weftline.llm.bytebpe import Encoder
+from weftline.llm.shared import freed, releasing
 
 WINDOW = 2048
 END_ID = 1
+_PIECE = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
 _ENCODERS: dict[str, Encoder] = {}
 
 
@@ -87,26 +89,30 @@ def best_fit_decreasing(lengths: np.ndarray, window: int = WINDOW) -> tuple[np.n
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, window: int) -> Iterator[pa.RecordBatch]:
+    """Pieces of every row; `again` numbers equal rows of a batch, so that they can be dealt apart."""
     enc = encoder(path)
     for b in batches:
-        text = b.column(1).fill_null("")
+        text, met = b.column(1).fill_null(""), Counter()
         for lo, hi, _, _ in V.slices(text, V.SLICE_BYTES):
             ids, cut = enc.encode(text.slice(lo, hi - lo).to_pylist())
-            doc = [], [], [], [], []
+            doc = [], [], [], [], [], []
             for i, key in enumerate(b.column(0).slice(lo, hi - lo).to_pylist()):
                 own = np.append(ids[cut[i] : cut[i + 1]], np.uint32(END_ID)).astype("<u4")
                 for s in range(0, len(own), window):
                     part = own[s : s + window]
-                    for column, x in zip(doc, (key, s, len(part), zlib.crc32(part.tobytes()), len(own)), strict=True):
+                    row = (key, s, len(part), zlib.crc32(part.tobytes()), len(own))
+                    for column, x in zip(doc, (*row, met[row]), strict=True):
                         column.append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in doc], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+                    met[row] += 1
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in doc], names=[*_PIECE, "again"])
 
 
-def _pack(pdf: pd.DataFrame, window: int) -> pd.DataFrame:
-    pdf = pdf.sort_values(["doc_id", "start", "length", "ids_crc32"], ignore_index=True)
-    where, offset = best_fit_decreasing(pdf["length"].to_numpy(), window)
+def _pack(table: pa.Table, window: int) -> pa.Table:
+    table = table.sort_by([(c, "ascending") for c in _PIECE])  # a null id comes last
+    where, offset = best_fit_decreasing(table.column("length").to_numpy(), window)
     # Group in the high bits, so that sequence ids are unique without a count over groups.
-    return pdf.assign(sequence_id=(pdf["pack_group"].to_numpy(np.int64) << 32) + where, offset=offset)[["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]]
+    sequence = (table.column("pack_group").to_numpy() << 32) + where
+    return table.select(_PIECE).append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
 
 
 def packed(docs: DataFrame, path: str | None = None, window: int = WINDOW, group_rows: int = 8192, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -115,16 +121,18 @@ def packed(docs: DataFrame, path: str | None = None, window: int = WINDOW, group
     A document is its ids and END_ID. start is the number of its ids before the piece;
     offset is where the piece stands in its sequence, without gaps from 0. Null and empty
     texts have END_ID alone. Rows that repeat a doc_id, or have none, are packed each for
-    itself. An empty table gives no pieces; other columns play no part.
+    itself, ids of any size as they are. An empty table gives no pieces; other columns play no part.
     """
     if path is None:
         import public_tokenizers
 
         path = public_tokenizers.path("byte_bpe_50k.json")
     groups = max(1, round(docs.count() / group_rows))
-    pieces = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(lambda b: _pieces(b, path, window), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
-    dealt = pieces.withColumn("pack_group", F.pmod(F.xxhash64("doc_id", "start"), F.lit(groups)))
-    return dealt.groupBy("pack_group").applyInPandas(lambda pdf: _pack(pdf, window), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+    kinds = ", ".join(f"{c} long" for c in _PIECE)
+    pieces = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(releasing(lambda b: _pieces(b, path, window)), f"{kinds}, again long")
+    # Rows without an id, and rows that are alike, are dealt apart by what they hold and by their number.
+    dealt = pieces.withColumn("pack_group", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "again"), F.lit(groups)))
+    return dealt.groupBy("pack_group").applyInArrow(freed(lambda t: _pack(t, window)), f"{kinds}, sequence_id long, offset long")
 
 
 def op2_packing(spark, sf_dir: str) -> DataFrame:

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
+from collections.abc import Callable, Iterator
+from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +21,41 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def released() -> None:
+    """Gives memory that is free back to the system, as workers live on from stage to stage."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def releasing(run: Callable) -> Callable:
+    """run over batches of a task, with memory given back at its end."""
+
+    def whole(batches: Iterator[Any]) -> Iterator[Any]:
+        yield from run(batches)
+        released()
+
+    return whole
+
+
+def freed(run: Callable) -> Callable:
+    """run over one or two whole tables of a group, with memory given back after each."""
+
+    def one(table: pa.Table) -> pa.Table:
+        out = run(table)
+        released()
+        return out
+
+    def two(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = run(left, right)
+        released()
+        return out
+
+    return one if run.__code__.co_argcount == 1 else two
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """df with its lineage cut, kept in the shared folder that the session names.
 

@@ -1,9 +1,12 @@
 """Vectorised text primitives shared by the operators of this subpackage.
 
-A batch of texts is one byte buffer with document offsets, straight from Arrow;
-hashes of any substring come from one prefix sum, so no operator loops over
-bytes or words in Python. Work is done in slices of about SLICE_BYTES, which
-bounds the working set whatever the size of an Arrow batch.
+A batch of texts is one byte buffer with document offsets, straight from Arrow, so no
+operator loops over bytes or words in Python. Spans are known by span_hash, a sum of
+independent words for each (place, symbol), and blocks of a power of two by block_hashes;
+neither has the structure of a polynomial modulo 2**64, under which long words over two
+letters can be equal. The polynomial (substring_hash) serves where equality decides
+nothing. Work is done in slices of about SLICE_BYTES, which bounds the working set
+whatever the size of an Arrow batch.
 """
 
 from __future__ import annotations
@@ -65,6 +68,52 @@ def substring_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np
         return mix64((prefix[end] - prefix[start]) * powers(len(prefix))[1][start])
 
 
+#: Places of a span whose words stand in a table; later ones are worked out.
+_TABLED = 64
+_SPAN_SEED = np.uint64(0xA24BAED4963EE407)
+_TABLES: dict[int, np.ndarray] = {}
+
+
+def _place_words(symbols: np.ndarray, place: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return mix64(((place.astype(np.uint64) << np.uint64(21)) | symbols.astype(np.uint64)) * np.uint64(BASE) + _SPAN_SEED)
+
+
+def span_hash(symbols: np.ndarray, start: np.ndarray, end: np.ndarray, alphabet: int = 256) -> np.ndarray:
+    """64-bit hashes of symbols[start:end], equal for equal spans anywhere; symbols are under alphabet, at most 2**21."""
+    lens = end - start
+    place = ragged(lens)
+    got = symbols[place + np.repeat(start, lens)]
+    if alphabet > 4096:
+        words = _place_words(got, place)
+    else:
+        if alphabet not in _TABLES:
+            at, symbol = np.divmod(np.arange(_TABLED * alphabet), alphabet)
+            _TABLES[alphabet] = _place_words(symbol, at)
+        words = _TABLES[alphabet][np.minimum(place, _TABLED - 1) * alphabet + got]
+        late = np.flatnonzero(place >= _TABLED)
+        if len(late):
+            words[late] = _place_words(got[late], place[late])
+    total = np.zeros(len(words) + 1, np.uint64)
+    np.cumsum(words, out=total[1:])
+    at = np.concatenate([[0], np.cumsum(lens)])
+    with np.errstate(over="ignore"):
+        return mix64(total[at[1:]] - total[at[:-1]] + lens.astype(np.uint64) * np.uint64(BASE))
+
+
+def block_hashes(buf: np.ndarray, levels: int) -> np.ndarray:
+    """64-bit hashes of the 2**levels bytes at every place, by doubling with a non-linear step."""
+    h = BYTE_WORDS[buf]
+    for level in range(levels):
+        span = 1 << level
+        later = h[span:]
+        h = h[:-span] * np.uint64(BASE)
+        h += later
+        h ^= h >> np.uint64(29)
+        h *= np.uint64(0x94D049BB133111EB)
+    return h
+
+
 def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of a string column and the n + 1 offsets of its rows; null is empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -120,7 +169,7 @@ def words(buf: np.ndarray, offs: np.ndarray, fold: bool = True) -> tuple[np.ndar
         buf = FOLD[buf]
     start, end = runs(WORD_BYTE[buf], offs)
     doc = np.searchsorted(offs, start, side="right") - 1
-    return start, end, doc, substring_hash(prefix_hash(buf), start, end)
+    return start, end, doc, span_hash(buf, start, end)
 
 
 def strings(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[bytes]:

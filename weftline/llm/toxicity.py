@@ -42,8 +42,7 @@ def tokens(buf: np.ndarray, offs: np.ndarray):
     buf = V.FOLD[buf]
     start, end = V.runs(_LETTER[buf], offs)
     doc = np.searchsorted(offs, start, side="right") - 1
-    prefix = V.prefix_hash(buf)
-    return start, end, doc, V.substring_hash(prefix, start, end), V.substring_hash(prefix, start, np.minimum(end, start + OPENING))
+    return start, end, doc, V.span_hash(buf, start, end), V.span_hash(buf, start, np.minimum(end, start + OPENING))
 
 
 def _lookup(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, default: float) -> np.ndarray:
@@ -98,16 +97,16 @@ class Model:
         self.words, self.word_weight = key[keep], weight(rate[keep])
         self._calibrate(doc, word, opening, toxic, ~fit)
 
-    def weights(self, word: np.ndarray, opening: np.ndarray) -> np.ndarray:
-        """Weights of tokens in text order; a token like the one before it brings no evidence of its own."""
+    def weights(self, doc: np.ndarray, word: np.ndarray, opening: np.ndarray) -> np.ndarray:
+        """Weights of tokens in text order; a token like the one before it in its text brings no evidence of its own."""
         out = _lookup(self.words, self.word_weight, word, np.nan)
         rest = np.isnan(out)
         out[rest] = _lookup(self.openings, self.opening_weight, opening[rest], 0.0)
-        out[1:][word[1:] == word[:-1]] = 0.0
+        out[1:][(word[1:] == word[:-1]) & (doc[1:] == doc[:-1])] = 0.0
         return out - np.float32(DRIFT)
 
     def _calibrate(self, doc, word, opening, toxic, use) -> None:
-        s = self.weights(word, opening).astype(np.float64)
+        s = self.weights(doc, word, opening).astype(np.float64)
         clean = s[(~toxic & use)[doc]]
         if len(clean) and clean.max() > 0:
             low, high = 1e-3, 20.0
@@ -206,7 +205,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
 
 def _row_hash(column: pa.ChunkedArray) -> np.ndarray:
-    parts = [V.substring_hash(V.prefix_hash(buf), offs[:-1], offs[1:]) for _, _, buf, offs in V.slices(column.combine_chunks())]
+    parts = [V.span_hash(buf, offs[:-1], offs[1:]) for _, _, buf, offs in V.slices(column.combine_chunks())]
     return np.concatenate([np.zeros(0, np.uint64), *parts])
 
 
@@ -227,7 +226,7 @@ def toxic_passages(docs: DataFrame, model: Model, id_col: str = "doc_id", text_c
             score, passages = [], []
             for lo, hi, buf, offs in V.slices(b.column(1)):
                 start, end, doc, word, opening = tokens(buf, offs)
-                s = m.weights(word, opening)
+                s = m.weights(doc, word, opening)
                 for i, (a, z) in enumerate(_cuts(doc, hi - lo)):
                     found = maximal_passages(s[a:z])
                     score.append(m.score(m.evidence(found, z - a)))
@@ -255,7 +254,7 @@ def without_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> Data
             keep = []
             for lo, hi, buf, offs in V.slices(b.column(at)):
                 _, _, doc, word, opening = tokens(buf, offs)
-                s = m.weights(word, opening)
+                s = m.weights(doc, word, opening)
                 keep += [m.score(m.evidence(maximal_passages(s[a:z]), z - a)) < 0.5 for a, z in _cuts(doc, hi - lo)]
             yield b.filter(pa.array(keep, pa.bool_()))
 
