@@ -97,3 +97,11 @@ def test_floor_of_estimates_keeps_pairs_at_the_threshold():
             floor = _floor(k, percent)
             assert under(sum(m / k < floor for m in range(k + 1))) < 1e-7
             assert floor < t and under(sum(m / k <= floor for m in range(k + 1))) >= 1e-7
+
+
+def test_many_texts_under_one_id(spark):
+    words = [[f"w{g}x{i}" for i in range(40)] for g in range(60)]
+    rows = [(None if g % 2 else 7, " ".join(w + [f"end{c}"])) for g, w in enumerate(words) for c in range(2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near_duplicates(df, percent=80).collect()
+    assert len(got) == 120 and all(r.component_id == r.doc_id for r in got)

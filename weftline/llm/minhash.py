@@ -30,12 +30,14 @@ from pyspark.sql import functions as F
 
 from weftline.llm import textvec as V
 from weftline.llm.components import components
-from weftline.llm.shared import checkpointed
+from weftline.llm.shared import checkpointed, releasing
 
 MULT = np.uint64(0xD6E8FEB86659FD93)
 PAD = np.uint64(0xFFFFFFFFFFFFFFFF)
 #: Members of an inverted list that one task compares with one another.
 BLOCK = 512
+#: Stands for a null id where one row of a class is named.
+_LAST = (1 << 63) - 1
 
 
 def shingle_sets(column: pa.Array, width: int) -> Iterator[np.ndarray]:
@@ -78,7 +80,7 @@ def _signature(values: np.ndarray) -> bytes:
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, width: int, k: int) -> DataFrame:
-    """(doc_id, n_shingles, sig, sketch) of every row; sig and sketch are null for an empty set."""
+    """(doc_id, text_hash, n_shingles, sig, sketch) of every row; sig and sketch are null for an empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -87,9 +89,10 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, width: int, k: int) ->
                 n.append(len(s))
                 sig.append(_signature(s) if len(s) else None)
                 sk.append(s[:k].view(np.int64) if len(s) else None)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(sig, pa.binary()), pa.array(sk, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "sig", "sketch"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(n, pa.int64()), pa.array(sig, pa.binary()), pa.array(sk, pa.list_(pa.int64()))], names=["doc_id", "text_hash", "n_shingles", "sig", "sketch"])
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, "doc_id long, n_shingles long, sig binary, sketch array<long>")
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).cast("long"), text, F.xxhash64(text)).mapInArrow(releasing(run), "doc_id long, text_hash long, n_shingles long, sig binary, sketch array<long>")
 
 
 def least_shared(n: int, k: int, percent: int, loss: float = 1e-7) -> int:
@@ -296,7 +299,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, k: int =
     floor = _floor(k, percent)
     rows = checkpointed(sketches(docs, id_col, text_col, width, k))
     sets_of_rows = rows.where("sig is not null")
-    classes = checkpointed(sets_of_rows.groupBy("sig").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")))
+    classes = checkpointed(sets_of_rows.groupBy("sig").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(_LAST)).alias("id"), "text_hash")).alias("named"), F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")))
 
     values = classes.select("sig", F.explode("sketch").alias("value"))
     common = values.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
@@ -309,11 +312,12 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, k: int =
         classes.join(listed, "sig")
         .withColumn("shared_prefix", F.when(prefix > 0, F.slice("shared", F.lit(1), F.greatest(prefix, F.lit(1)).cast("int"))))
         .where("shared_prefix is not null")
-        .select("sig", "rep", "n", "sketch", F.aggregate("shared", F.lit(0).cast("long"), lambda s, x: s + x["df"]).alias("weight"), F.transform("shared_prefix", lambda x: x["value"]).alias("prefix"))
+        .select("sig", "named", "n", "sketch", F.aggregate("shared", F.lit(0).cast("long"), lambda s, x: s + x["df"]).alias("weight"), F.transform("shared_prefix", lambda x: x["value"]).alias("prefix"))
     )
     postings = checkpointed(postings)
 
-    wanted = postings.select(F.col("sig").alias("want"), F.col("rep"))
+    # A row of each class, by its id and text: rows that share an id meet the class of their own text alone.
+    wanted = postings.select(F.col("sig").alias("want"), F.col("named.id").alias("id"), F.col("named.text_hash").alias("text_hash"))
 
     def with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -321,8 +325,9 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, k: int =
             found = [i for i, w in enumerate(b.column(0).to_pylist()) if _signature(members[i]) == w]
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(found, pa.int64())), pa.array([members[i].tobytes() for i in found], pa.binary())], names=["sig", "members"])
 
-    texts = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).cast("string").alias("body"))
-    sets = texts.join(wanted, texts["rep"].eqNullSafe(wanted["rep"])).select("want", "body").mapInArrow(with_sets, "sig binary, members binary")
+    body = F.col(text_col).cast("string")
+    texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("id"), F.xxhash64(body).alias("text_hash"), body.alias("body"))
+    sets = texts.join(wanted, ["id", "text_hash"]).select("want", "body").mapInArrow(with_sets, "sig binary, members binary")
     sets = checkpointed(sets.dropDuplicates(["sig"]))
 
     lists = postings.select("sig", "n", "weight", F.explode("prefix").alias("value"))
