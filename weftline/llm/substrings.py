@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from weftline.llm import textvec as V
 from weftline.llm.runindex import RunLengthIndex
-from weftline.llm.shared import buckets, checkpointed, documents, ordered
+from weftline.llm.shared import buckets, checkpointed, documents, freed, ordered, releasing
 
 GRAM = 32
 _PLACE_BITS = 20
@@ -41,6 +41,8 @@ _PIECE = 1 << 19
 _SPREAD = 1_000_003
 #: Bytes of text whose anchors are put in order together, and of pieces that one index holds.
 _TOGETHER, _INDEXED = 8 << 20, 1 << 20
+#: Windows' texts that are fetched, and patterns that are streamed, in one go.
+_FETCHED, _STREAMED = 1 << 16, 1 << 14
 
 
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -57,9 +59,8 @@ def _anchors_of(buf: np.ndarray, offs: np.ndarray, length: int):
     none = np.zeros(0, np.int64)
     if n < length:
         return none, none, none, none, none.astype(np.uint64), none.astype(np.uint64)
-    prefix = V.prefix_hash(buf)
-    place = np.arange(n - GRAM + 1)
-    gram = V.substring_hash(prefix, place, place + GRAM)
+    gram = V.block_hashes(buf, 5)
+    place = np.arange(len(gram))
     low = np.uint64((1 << _PLACE_BITS) - 1)
     least = _sliding_min((gram & ~low) | place.astype(np.uint64), length - GRAM + 1)
     at = (least & low).astype(np.int64)[: n - length + 1]
@@ -79,10 +80,19 @@ def _anchors_of(buf: np.ndarray, offs: np.ndarray, length: int):
     last = np.flatnonzero(ends & exists)
     p = at[first]
     doc = np.searchsorted(offs, first, side="right") - 1
+    return doc, p, first, last, gram[p], _forms(gram, p, first, last + length, 2 * length - GRAM)
+
+
+def _forms(gram: np.ndarray, place: np.ndarray, first: np.ndarray, end: np.ndarray, most: int) -> np.ndarray:
+    """Hashes of the bytes from first to end, `most` at most, and of where in them the anchor stands.
+
+    Grams at steps of their length cover the whole; the last ones stand at the end.
+    """
     with np.errstate(over="ignore"):
-        shape = ((p - first).astype(np.uint64) << np.uint64(32)) + (last - first).astype(np.uint64)
-        form = V.mix64(V.substring_hash(prefix, first, last + length) + shape * np.uint64(V.BASE))
-    return doc, p, first, last, gram[p], form
+        out = ((place - first).astype(np.uint64) << np.uint64(32)) + (end - first).astype(np.uint64)
+        for step in range(0, most, GRAM):
+            out = V.mix64(out * np.uint64(V.BASE) + gram[np.minimum(first + step, end - GRAM)])
+    return out
 
 
 def _anchors(column: pa.Array, length: int) -> Iterator[tuple[np.ndarray, ...]]:
@@ -144,7 +154,7 @@ def _blocks(kind: list[int], part: list[int], *more: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(part, pa.int32()), *(pa.array(m, pa.binary()) for m in more)], names=names[: 2 + len(more)])
 
 
-def _map_anchors(batches: Iterator[pa.RecordBatch], length: int, parts: int) -> Iterator[pa.RecordBatch]:
+def _map_anchors(batches: Iterator[pa.RecordBatch], length: int, parts: int, fold: bool) -> Iterator[pa.RecordBatch]:
     """Anchors by hash bucket (kind 0); repeats among the same rows become spans (kind 1)."""
     for b in (x.slice(lo, hi - lo) for x in batches for lo, hi, _, _ in V.slices(x.column(1), _TOGETHER)):
         ids = b.column(0).to_numpy()
@@ -158,7 +168,7 @@ def _map_anchors(batches: Iterator[pa.RecordBatch], length: int, parts: int) ->
         o = np.lexsort((s, order))
         o = o[np.argsort(both[o], kind="stable")]
         again = np.zeros(len(o), bool)
-        again[1:] = both[o][1:] == both[o][:-1]
+        again[1:] = (both[o][1:] == both[o][:-1]) & fold
         r = o[again]
         kind, part, hashes, places = [], [], [], []
         for q, block in _span_rows(order[r], s[r], e[r] + length, parts):
@@ -174,7 +184,7 @@ def _map_anchors(batches: Iterator[pa.RecordBatch], length: int, parts: int) ->
         yield _blocks(kind, part, hashes, places)
 
 
-def _reduce_anchors(table: pa.Table, length: int, parts: int) -> pa.Table:
+def _reduce_anchors(table: pa.Table, length: int, parts: int, fold: bool) -> pa.Table:
     """Spans (kind 1) and wanted texts (kind 2) of one hash bucket; spans pass through."""
     kinds, blocks, places = table.column("kind").to_pylist(), table.column("hashes").to_pylist(), table.column("places").to_pylist()
     out = [(1, q, b"", p) for k, q, p in zip(kinds, table.column("part").to_pylist(), places, strict=True) if k == 1]
@@ -192,7 +202,7 @@ def _reduce_anchors(table: pa.Table, length: int, parts: int) -> pa.Table:
         gs, fs = g[o], f[o]
         same_g, same_f = np.zeros(len(o), bool), np.zeros(len(o), bool)
         same_g[1:] = gs[1:] == gs[:-1]
-        same_f[1:] = same_g[1:] & (fs[1:] == fs[:-1])
+        same_f[1:] = same_g[1:] & (fs[1:] == fs[:-1]) & fold
         r = o[same_f]
         out += [(1, q, b"", block) for q, block in _span_rows(order[r], s[r], s[r] + wide[r] + length, parts)]
         firsts = ~same_f
@@ -217,31 +227,28 @@ def _fetch_texts(docs: pa.Table, wanted: pa.Table, length: int, parts: int) -> p
         o = np.argsort(offs[row] + s)
         order, s, left, wide, row = order[o], s[o], left[o].astype(np.int64), wide[o].astype(np.int64), row[o]
         at, half = offs[row] + s, (length - GRAM) // 2
-        found = []
-        for lo in range(0, len(at), 8192):
-            x = slice(lo, lo + 8192)
+        span = np.arange(GRAM + half)
+        for lo in range(0, len(at), _FETCHED):
+            x = slice(lo, lo + _FETCHED)
             a, place = at[x], at[x] + left[x]
             cut = np.clip(place - half, a, a + wide[x] + 1)  # windows from here on reach half bytes past the gram
-            for first, last, k0, k1 in ((cut, a + wide[x], place, place + GRAM + half), (a, cut - 1, place - half - 1, place + GRAM)):
+            found = []
+            for first, last, k0 in ((cut, a + wide[x], place), (a, cut - 1, place - half - 1)):
                 ok = np.flatnonzero(last >= first)
-                base = int(a[0]) if len(a) else 0
-                near = buf[base : base + int((a + wide[x])[-1] - base) + 4 * length] if len(a) else buf[:0]
-                far = a[ok] - base + wide[x][ok] + length > len(near)
-                if far.any():  # a text of another document may lie between; take each alone
-                    near, base = buf, 0
-                prefix = V.prefix_hash(near)
-                key = V.substring_hash(prefix, k0[ok] - base, k1[ok] - base)
+                shared = buf[k0[ok][:, None] + span].ravel()
+                edge = len(span) * np.arange(len(ok) + 1)
+                key = V.span_hash(shared, edge[:-1], edge[1:])
                 found.append((key, order[x][ok], first[ok] - at[x][ok] + s[x][ok], first[ok], last[ok] + length))
-        key, order, s, first, end = (np.concatenate(c) for c in zip(*found, strict=True))
-        bucket = (key % np.uint64(parts)).astype(np.int64)
-        for q in np.unique(bucket):
-            y = np.flatnonzero(bucket == q)
-            y = y[np.lexsort((s[y], order[y]))]
-            hashes.append(key[y].tobytes())
-            lens = end[y] - first[y]
-            text = buf[np.repeat(first[y], lens) + V.ragged(lens)].tobytes()
-            blocks.append(len(y).to_bytes(8, "little") + zstandard.compress(order[y].tobytes() + s[y].tobytes() + lens.astype(np.int64).tobytes() + text, 1))
-            part.append(int(q))
+            key, doc, start, first, end = (np.concatenate(c) for c in zip(*found, strict=True))
+            bucket = (key % np.uint64(parts)).astype(np.int64)
+            for q in np.unique(bucket):
+                y = np.flatnonzero(bucket == q)
+                y = y[np.lexsort((start[y], doc[y]))]
+                hashes.append(key[y].tobytes())
+                lens = end[y] - first[y]
+                text = buf[np.repeat(first[y], lens) + V.ragged(lens)].tobytes()
+                blocks.append(len(y).to_bytes(8, "little") + zstandard.compress(doc[y].tobytes() + start[y].tobytes() + lens.astype(np.int64).tobytes() + text, 1))
+                part.append(int(q))
     return pa.table([pa.array([0] * len(part), pa.int32()), pa.array(part, pa.int32()), pa.array(hashes, pa.binary()), pa.array(blocks, pa.binary())], names=["kind", "part", "hashes", "places"])
 
 
@@ -255,26 +262,35 @@ def repeated_windows(group: np.ndarray, pieces: list[bytes], length: int) -> lis
     rank[by] = V.ragged(size)
     of_size = np.empty(len(by), np.int64)
     of_size[by] = np.repeat(size, size)
+    lens = np.array([len(p) for p in pieces], np.int64)
     for level in range(int(size.max() - 1).bit_length() if len(size) else 0):
         # A block of this level is a class of the index, so blocks and groups do not meet.
         _, block = np.unique(group * (int(of_size.max()) + 1) + (rank >> (level + 1)), return_inverse=True)
         side = (rank >> level) & 1
         held = np.flatnonzero((side == 0) & (((rank >> level) + 1) << level < of_size))
+        held = held[np.argsort(block[held], kind="stable")]
         now = np.flatnonzero(side == 1)
-        text = np.frombuffer(b"".join(pieces[i] + b"\xff" for i in held.tolist()), np.uint8) + np.uint8(1)
-        index = RunLengthIndex(text, np.repeat(block[held], [len(pieces[i]) + 1 for i in held.tolist()]))
-        for lo in range(0, len(now), 50_000):
-            part = now[lo : lo + 50_000]
-            lens = np.array([len(pieces[i]) for i in part.tolist()])
-            starts = np.cumsum(lens) - lens
-            flat = np.frombuffer(b"".join(pieces[i] for i in part.tolist()), np.uint8) + np.uint8(1)
-            stats = index.matching_statistics(flat, block[part], starts, lens)
-            for i, a in zip(part.tolist(), starts.tolist(), strict=True):
-                marks[i] |= stats[a : a + len(marks[i])] >= length
+        now = now[np.argsort(block[now], kind="stable")]
+        room = np.cumsum(lens[held] + 1)
+        lo = 0
+        while lo < len(held):  # a block may go through several indexes
+            hi = max(lo + 1, int(np.searchsorted(room, (room[lo - 1] if lo else 0) + _INDEXED, side="right")))
+            indexed = held[lo:hi]
+            lo = hi
+            text = np.frombuffer(b"".join(pieces[i] + b"\xff" for i in indexed.tolist()), np.uint8) + np.uint8(1)
+            index = RunLengthIndex(text, np.repeat(block[indexed], lens[indexed] + 1))
+            a, z = np.searchsorted(block[now], [block[indexed[0]], block[indexed[-1]] + 1]).tolist()
+            for at in range(a, z, _STREAMED):
+                part = now[at : min(z, at + _STREAMED)]
+                starts = np.cumsum(lens[part]) - lens[part]
+                flat = np.frombuffer(b"".join(pieces[i] for i in part.tolist()), np.uint8) + np.uint8(1)
+                stats = index.matching_statistics(flat, block[part], starts, lens[part])
+                for i, s in zip(part.tolist(), starts.tolist(), strict=True):
+                    marks[i] |= stats[s : s + len(marks[i])] >= length
     return marks
 
 
-def _match_texts(table: pa.Table, length: int, parts: int) -> pa.Table:
+def _match_texts(table: pa.Table, length: int, parts: int, fold: bool) -> pa.Table:
     """Spans of the windows that repeat an earlier window of another first form."""
     keys, orders, places, pieces = [], [], [], []
     for h, block in zip(table.column("hashes").to_pylist(), table.column("places").to_pylist(), strict=True):
@@ -294,7 +310,7 @@ def _match_texts(table: pa.Table, length: int, parts: int) -> pa.Table:
         seen: set[tuple[int, bytes]] = set()
         copy = np.zeros(len(x), bool)
         for i, (k, p) in enumerate(zip(inverse[x].tolist(), chosen, strict=True)):
-            copy[i] = (k, p) in seen
+            copy[i] = fold and (k, p) in seen
             seen.add((k, p))
         spans = [(order[x[copy]], s[x[copy]], s[x[copy]] + np.array([len(p) for p, c in zip(chosen, copy, strict=True) if c], np.int64))]
         x, chosen = x[~copy], [p for p, c in zip(chosen, copy, strict=True) if not c]
@@ -348,7 +364,7 @@ def _cut(docs: pa.Table, spans: pa.Table, with_bytes: bool, carry: tuple[str, ..
     return pa.table([docs.column("doc_id"), *made, pa.array(kept, pa.binary()), *(docs.column(c) for c in carry)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", *carry])
 
 
-def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text", with_bytes: bool = True, carry: tuple[str, ...] = ()) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text", with_bytes: bool = True, carry: tuple[str, ...] = (), fold: bool = True) -> DataFrame:
     """One row per row of docs: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the bytes left), carry.
 
     Every byte under a `length`-byte string that also starts earlier (a smaller doc_id, or
@@ -357,6 +373,10 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
     last; equal rows count as one after the other. Overlaps count; matches never cross
     documents. An empty table gives an empty result; other columns play no part.
     `length` must be over 64 and under 127. kept is null without with_bytes.
+
+    With fold, windows' texts that are equal as a whole (by 64-bit hashes of the form, by
+    bytes in a group) are known as repeats before the index; without it the index alone
+    finds them all, to the same result, from more text.
     """
     if not 2 * GRAM < length < 127:
         raise ValueError("length must be between 65 and 126")
@@ -366,14 +386,14 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
     dealt = base.withColumn("part", F.pmod(F.pmod("order_key", F.lit(_SPREAD)), F.lit(parts)).cast("int"))
     by_document = dealt.groupBy("part")
 
-    anchors = base.select("order_key", "text").mapInArrow(lambda b: _map_anchors(b, length, parts), row)
+    anchors = base.select("order_key", "text").mapInArrow(releasing(lambda b: _map_anchors(b, length, parts, fold)), row)
     # Spans made on the way keep their document bucket in part, so they are dealt by it as well.
-    found = checkpointed(anchors.groupBy("part").applyInArrow(lambda t: _reduce_anchors(t, length, parts), row))
-    texts = by_document.cogroup(found.where("kind = 2").groupBy("part")).applyInArrow(lambda d, w: _fetch_texts(d, w, length, parts), row)
-    matched = texts.groupBy("part").applyInArrow(lambda t: _match_texts(t, length, parts), row)
+    found = checkpointed(anchors.groupBy("part").applyInArrow(freed(lambda t: _reduce_anchors(t, length, parts, fold)), row))
+    texts = by_document.cogroup(found.where("kind = 2").groupBy("part")).applyInArrow(freed(lambda d, w: _fetch_texts(d, w, length, parts)), row)
+    matched = texts.groupBy("part").applyInArrow(freed(lambda t: _match_texts(t, length, parts, fold)), row)
     spans = found.where("kind = 1").select(block).unionByName(matched)
     kinds = "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in carry)
-    return by_document.cogroup(spans.groupBy("part")).applyInArrow(lambda d, s: _cut(d, s, with_bytes, carry), f"doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary{kinds}")
+    return by_document.cogroup(spans.groupBy("part")).applyInArrow(freed(lambda d, s: _cut(d, s, with_bytes, carry)), f"doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary{kinds}")
 
 
 def as_text(cut: DataFrame) -> DataFrame:
