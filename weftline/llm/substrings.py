@@ -8,7 +8,8 @@ A passage of `length` bytes is removed where it also starts earlier in the corpu
 2. Anchors travel in compressed blocks, by hash. Where the bytes of all windows of an
    anchor occur earlier in the same form, they repeat as a whole: such copies are folded
    into the first. First forms under an anchor that has several are fetched as text.
-3. Those texts are dealt by a longer gram of the windows concerned, so unrelated ones part.
+3. Those texts are dealt by a longer gram of the windows concerned, of which each share has
+   its own, so unrelated ones part.
    Within a group, in corpus order, left halves are indexed and right halves streamed
    against the index, at every level of a binary split: each pair meets at exactly one
    level, the earlier indexed. The index is a run-length compressed Burrows-Wheeler
@@ -41,8 +42,10 @@ _PIECE = 1 << 19
 _SPREAD = 1_000_003
 #: Bytes of text whose anchors are put in order together, and of pieces that one index holds.
 _TOGETHER, _INDEXED = 8 << 20, 1 << 20
+#: Parts of the windows of an anchor, by the bytes before it, that are dealt each by itself.
+_SHARES = 4
 #: Windows' texts that are fetched, and patterns that are streamed, in one go.
-_FETCHED, _STREAMED = 1 << 16, 1 << 14
+_FETCHED, _STREAMED = 1 << 15, 1 << 14
 
 
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -216,7 +219,7 @@ def _reduce_anchors(table: pa.Table, length: int, parts: int, fold: bool) -> pa.
 
 
 def _fetch_texts(docs: pa.Table, wanted: pa.Table, length: int, parts: int) -> pa.Table:
-    """Texts of wanted windows, in two pieces by the longer gram that those windows share; by its hash."""
+    """Texts of wanted windows, in pieces by the longer gram that those windows share; by its hash."""
     hashes, blocks, part = [], [], []
     if docs.num_rows and wanted.num_rows:
         order, s, left, wide = (np.concatenate(c) for c in zip(*map(_places, wanted.column("places").to_pylist()), strict=True))
@@ -226,18 +229,23 @@ def _fetch_texts(docs: pa.Table, wanted: pa.Table, length: int, parts: int) -> p
         row = by[np.searchsorted(ids[by], order)]
         o = np.argsort(offs[row] + s)
         order, s, left, wide, row = order[o], s[o], left[o].astype(np.int64), wide[o].astype(np.int64), row[o]
-        at, half = offs[row] + s, (length - GRAM) // 2
-        span = np.arange(GRAM + half)
+        at = offs[row] + s
+        # Windows of a share differ by less than `step` in the bytes before the gram, so all have the bytes of its key.
+        step = -(-(length - GRAM + 1) // _SHARES)
         for lo in range(0, len(at), _FETCHED):
             x = slice(lo, lo + _FETCHED)
             a, place = at[x], at[x] + left[x]
-            cut = np.clip(place - half, a, a + wide[x] + 1)  # windows from here on reach half bytes past the gram
             found = []
-            for first, last, k0 in ((cut, a + wide[x], place), (a, cut - 1, place - half - 1)):
+            for before in range(0, length - GRAM + 1, step):
+                most = min(before + step - 1, length - GRAM)
+                first, last = np.maximum(a, place - most), np.minimum(a + wide[x], place - before)
                 ok = np.flatnonzero(last >= first)
-                shared = buf[k0[ok][:, None] + span].ravel()
+                span = np.arange(length - (most - before))
+                shared = buf[(place[ok] - before)[:, None] + span].ravel()
                 edge = len(span) * np.arange(len(ok) + 1)
                 key = V.span_hash(shared, edge[:-1], edge[1:])
+                with np.errstate(over="ignore"):
+                    key = V.mix64(key + np.uint64(before + 1) * np.uint64(V.BASE))
                 found.append((key, order[x][ok], first[ok] - at[x][ok] + s[x][ok], first[ok], last[ok] + length))
             key, doc, start, first, end = (np.concatenate(c) for c in zip(*found, strict=True))
             bucket = (key % np.uint64(parts)).astype(np.int64)
