@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.shared import buckets, checkpointed, documents, ordered
+from weftline.llm.shared import buckets, checkpointed, documents, freed, ordered, releasing
 
 DEPTH = 3
 ALIKE = 0.7
@@ -136,7 +136,7 @@ def deduplicate_lines(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS, i
     def part(column: str):
         return F.pmod(F.pmod(column, F.lit(_SPREAD)), F.lit(parts)).cast("int").alias("part")
 
-    keys = checkpointed(base.select("order_key", "text").mapInArrow(_keys, "leaf long, line long, order_key long, line_no long, counts long"))
+    keys = checkpointed(base.select("order_key", "text").mapInArrow(releasing(_keys), "leaf long, line long, order_key long, line_no long, counts long"))
     first = F.min(F.struct("order_key", "line_no"))
     lines = keys.groupBy("leaf", "line").agg(F.sum("counts").alias("n"), first.alias("first"))
     leaves = lines.groupBy("leaf").agg(F.sum("n").alias("support"), F.count("*").alias("forms")).where(F.col("support") >= least_documents)
@@ -144,9 +144,9 @@ def deduplicate_lines(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS, i
 
     by_document = base.withColumn("part", part("order_key")).groupBy("part")
     wanted = lines.where("forms > 1").withColumn("part", part("first_key")).groupBy("part")
-    texts = by_document.cogroup(wanted).applyInArrow(_lines_of, "leaf long, line long, n long, first_key long, first_no long, text string")
+    texts = by_document.cogroup(wanted).applyInArrow(freed(_lines_of), "leaf long, line long, n long, first_key long, first_no long, text string")
     sorted_leaves = texts.repartition("leaf").sortWithinPartitions("leaf", F.desc("n"), "first_key", "first_no")
-    formed = sorted_leaves.mapInArrow(_cluster, "leaf long, line long, n long, first_key long, first_no long, template long")
+    formed = sorted_leaves.mapInArrow(releasing(_cluster), "leaf long, line long, n long, first_key long, first_no long, template long")
     formed = checkpointed(formed.unionByName(lines.where("forms = 1").select("leaf", "line", "n", "first_key", "first_no", F.lit(0).cast("long").alias("template"))))
 
     # (document, line) pairs are at least the documents; those of one line are of as many documents.
@@ -159,7 +159,7 @@ def deduplicate_lines(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS, i
     decided = formed.select("leaf", "line", "template").join(recurring, ["leaf", "template"]).select("leaf", "line", "stays")
     drops = keys.join(decided, ["leaf", "line"]).where("order_key != stays.first_key or line_no != stays.first_no").select("order_key", "line_no", part("order_key"))
     kinds = "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in carry)
-    return by_document.cogroup(drops.groupBy("part")).applyInArrow(lambda d, x: _rebuild(d, x, carry), f"doc_id long, n_lines long, n_dropped long, text string{kinds}")
+    return by_document.cogroup(drops.groupBy("part")).applyInArrow(freed(lambda d, x: _rebuild(d, x, carry)), f"doc_id long, n_lines long, n_dropped long, text string{kinds}")
 
 
 def op5_line_templates(spark, sf_dir: str) -> DataFrame:

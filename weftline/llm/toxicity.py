@@ -10,8 +10,8 @@ n tokens is expected K n exp(-lambda S) times by chance. A document's evidence a
 significant passages; a logistic curve over it, fitted on labelled documents whose counts
 the weights have not seen, gives the score.
 
-Labels are read from at most `sample` labelled rows outside the held-out fifth, chosen by
-a hash of the id, so the model's size is bounded whatever the corpus.
+Labels are read from about `sample` labelled rows of `sample_bytes` at most outside the
+held-out fifth, chosen by a hash of the id, so the model's size is bounded whatever the corpus.
 """
 
 from __future__ import annotations
@@ -25,9 +25,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.llm import textvec as V
-from weftline.llm.shared import held_out
+from weftline.llm.shared import held_out, released, releasing
 
-SAMPLE = 7_000
+SAMPLE, SAMPLE_BYTES = 7_000, 24_000_000
 OPENING = 5
 DRIFT = 0.5
 PRIOR_WORD, PRIOR_OPENING = 4.0, 8.0
@@ -182,17 +182,23 @@ def maximal_passages(weights: np.ndarray) -> list[tuple[int, int, float]]:
     return [(f, e, after - before) for f, e, before, after, _ in stack]
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """A model from at most about `sample` labelled documents outside the held-out fifth.
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES) -> Model:
+    """A model from at most about `sample` labelled documents, and about `sample_bytes` of text, outside the held-out fifth.
 
     A label is 0 or 1; null labels are left out, and of several for a document the largest counts.
     """
     marked = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where(~held_out())
     n = marked.count()
+    texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+
+    def sampled(share: float) -> DataFrame:
+        chosen = marked.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
+        # About `sample` narrow rows at most.
+        return texts.join(F.broadcast(chosen), "doc_id")
+
     share = min(1.0, sample / max(n, 1))
-    chosen = marked.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    # At most about `sample` narrow rows, by the line above.
-    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    size = sampled(share).agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    rows = sampled(share * min(1.0, sample_bytes / max(size, 1)))
     rows = rows.select("text", (F.col("toxic") > 0).alias("toxic"), (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 4).alias("fit"))
     table = rows.toArrow()
     order = np.argsort(_row_hash(table.column("text")), kind="stable")  # the order of rows must not matter
@@ -201,6 +207,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     if table.num_rows:
         toxic, fit = (table.column(c).to_numpy() for c in ("toxic", "fit"))
         model.learn(table.column("text").combine_chunks(), toxic, fit)
+    del table
+    released()
     return model
 
 
@@ -240,7 +248,7 @@ def toxic_passages(docs: DataFrame, model: Model, id_col: str = "doc_id", text_c
             kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64()), ("expected", pa.float64())]))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(score, pa.float64()), pa.array([int(x >= 0.5) for x in score], pa.int32()), pa.array([len(p) for p in passages], pa.int32()), pa.array(passages, kind)], names=["doc_id", "score", "predicted", "n_passages", "passages"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, score double, predicted int, n_passages int, passages array<struct<start: long, end: long, score: double, expected: double>>")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(releasing(run), "doc_id long, score double, predicted int, n_passages int, passages array<struct<start: long, end: long, score: double, expected: double>>")
 
 
 def without_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
@@ -258,7 +266,7 @@ def without_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> Data
                 keep += [m.score(m.evidence(maximal_passages(s[a:z]), z - a)) < 0.5 for a, z in _cuts(doc, hi - lo)]
             yield b.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(releasing(run), docs.schema)
 
 
 def op1_toxicity(spark, sf_dir: str) -> DataFrame:
