@@ -27,3 +27,12 @@ def test_none_and_too_few_rounds(spark):
     assert components(spark.createDataFrame([(1, 1)], "a long, b long")).collect() == []
     with pytest.raises(RuntimeError):
         components(spark.createDataFrame([(i, i + 1) for i in range(30)], "a long, b long"), rounds=1)
+
+
+def test_edges_added_later(spark):
+    from weftline.llm.components import joined
+
+    first, second = [(1, 2), (2, 3), (10, 11), (20, 21)], [(3, 11), (30, 31), (5, 31), (1, 3), (7, 7)]
+    df = lambda e: spark.createDataFrame(e, "a long, b long")
+    got = {tuple(r) for r in joined(components(df(first)), df(second)).collect()}
+    assert got == {tuple(r) for r in components(df(first + second)).collect()}

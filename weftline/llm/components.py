@@ -37,3 +37,17 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
     return links.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(links.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()
+
+
+def rooted(rows: DataFrame, roots: DataFrame, column: str) -> DataFrame:
+    """rows with the root of a column's node; a node without links is its own."""
+    return rows.join(roots.select(F.col("node").alias(column), "root"), column, "left").withColumn("root", F.coalesce("root", column))
+
+
+def joined(roots: DataFrame, edges: DataFrame) -> DataFrame:
+    """(node, root) after edges (a, b) are added; only the roots that they join are looked at."""
+    ends = rooted(edges.select("a", "b"), roots, "a").select("b", F.col("root").alias("a_root"))
+    ends = rooted(ends, roots, "b").select(F.col("a_root").alias("a"), F.col("root").alias("b"))
+    more = components(ends)
+    moved = roots.join(more.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    return checkpointed(moved.unionByName(more.join(roots.select("node"), "node", "left_anti").select("node", "root")))

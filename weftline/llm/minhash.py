@@ -6,14 +6,16 @@
    share at least `least_shared` retained values (all but surely, see there), so the
    inverted lists need only a rarest-first prefix of each sketch: a value that very
    many sketches retain stands last and is left out unless the sketch has little else.
-3. Each list proposes links to its hub, the member with the most frequent values. The
-   union-sketch estimate of the Jaccard similarity says which members are near their hub;
-   for those the full sets are compared. Links that hold join components, so a group of
-   n copies costs about n comparisons.
-4. What is left lies across components. Members near one hub are compared by their
-   differences from it, which give their exact similarity, in blocks of bounded size that
-   return only links that hold. A member far from the hub of a list meets the list's other
-   members by estimate, and on full sets where the estimate leaves hope.
+3. Each list proposes links to its hub, the member with the most frequent values. A class
+   meets its heaviest hub first: the union-sketch estimate of the Jaccard similarity says
+   whether there is hope, and the full sets decide. Links that hold join components, so a
+   group of n copies costs about n comparisons, and hubs whose lists lie inside one
+   component are done.
+4. What is left are hubs whose lists reach over several components. Their members near
+   the hub are compared by their differences from it, which give their exact similarity, in
+   blocks of bounded size that return only links that hold. A member far from the hub of a
+   list meets the list's other members by estimate, and on full sets where the estimate
+   leaves hope.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.llm import textvec as V
-from weftline.llm.components import components
+from weftline.llm.components import components, joined, rooted
 from weftline.llm.shared import checkpointed, releasing
 
 MULT = np.uint64(0xD6E8FEB86659FD93)
@@ -161,7 +163,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 ok.append(100 * inter >= percent * (len(both) - inter))
             yield t.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    return _both_sets(pairs, sets).mapInArrow(run, "a binary, b binary")
+    return _both_sets(pairs, sets).mapInArrow(releasing(run), "a binary, b binary")
 
 
 def _differences(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -178,7 +180,7 @@ def _differences(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 link.append(100 * inter >= percent * (inter + len(d)))
             yield pa.RecordBatch.from_arrays([t.column("a"), t.column("b"), pa.array(size, pa.int64()), pa.array(differ, pa.binary()), pa.array(link, pa.bool_())], names=["a", "b", "n", "differ", "link"])
 
-    return _both_sets(pairs, sets).mapInArrow(run, "a binary, b binary, n long, differ binary, link boolean")
+    return _both_sets(pairs, sets).mapInArrow(releasing(run), "a binary, b binary, n long, differ binary, link boolean")
 
 
 def _grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
@@ -327,12 +329,12 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, k: int =
 
     body = F.col(text_col).cast("string")
     texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("id"), F.xxhash64(body).alias("text_hash"), body.alias("body"))
-    sets = texts.join(wanted, ["id", "text_hash"]).select("want", "body").mapInArrow(with_sets, "sig binary, members binary")
+    sets = texts.join(wanted, ["id", "text_hash"]).select("want", "body").mapInArrow(releasing(with_sets), "sig binary, members binary")
     sets = checkpointed(sets.dropDuplicates(["sig"]))
 
     lists = postings.select("sig", "n", "weight", F.explode("prefix").alias("value"))
-    hubs = lists.groupBy("value").agg(F.max(F.struct("weight", "sig")).alias("hub"), F.count("*").alias("size")).where("size > 1").select("value", F.col("hub.sig").alias("hub"))
-    to_hub = checkpointed(lists.join(hubs, "value").select("sig", "value", "hub"))
+    hubs = lists.groupBy("value").agg(F.max(F.struct("weight", "sig")).alias("hub"), F.count("*").alias("size")).where("size > 1").select("value", F.col("hub.sig").alias("hub"), F.col("hub.weight").alias("hub_weight"))
+    to_hub = checkpointed(lists.join(hubs, "value").select("sig", "value", "hub", "hub_weight"))
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -340,14 +342,23 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, k: int =
             yield b.select(["a", "b"]).filter(pa.array(_estimates(x, y) >= floor))
 
     by_a, by_b = (postings.select(F.col("sig").alias(c), F.col("sketch").alias(f"sk_{c}")) for c in "ab")
-    proposed = to_hub.select(F.col("sig").alias("a"), F.col("hub").alias("b")).distinct().join(by_a, "a").join(by_b, "b").select("a", "b", "sk_a", "sk_b")
-    close = checkpointed(_differences(proposed.mapInArrow(near, "a binary, b binary"), sets, percent))
-    stars = close.where("link and a != b").select("a", "b")
-    roots = checkpointed(components(stars))
+
+    def estimated(pairs: DataFrame) -> DataFrame:
+        return pairs.join(by_a, "a").join(by_b, "b").select("a", "b", "sk_a", "sk_b").mapInArrow(releasing(near), "a binary, b binary")
+
+    # Each class meets its heaviest hub first, so that most groups need one comparison a member.
+    heaviest = to_hub.where("sig != hub").groupBy("sig").agg(F.max(F.struct("hub_weight", "hub")).alias("best")).select(F.col("sig").alias("a"), F.col("best.hub").alias("b"))
+    roots = checkpointed(components(_confirmed(estimated(heaviest), sets, percent)))
+
+    # Only hubs whose lists reach over several components are looked at further, with all their members.
+    members = to_hub.select("sig", "hub").distinct()
+    reach = rooted(members, roots, "sig").groupBy("hub").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 != r2").select("hub")
+    close = checkpointed(_differences(estimated(members.join(reach, "hub").select(F.col("sig").alias("a"), F.col("hub").alias("b"))), sets, percent))
+    roots = joined(roots, close.where("link and a != b").select("a", "b"))
 
     def in_blocks(rows: DataFrame, key: str, is_open: str) -> DataFrame:
         """Rows of open groups with their blocks: a member of part p meets part q in block (min(p, q), max(p, q))."""
-        rows = rows.join(roots, F.col("sig") == F.col("node"), "left").withColumn("root", F.coalesce("root", "sig")).drop("node")
+        rows = rooted(rows, roots, "sig")
         groups = rows.groupBy(key).agg(F.count("*").alias("size"), F.min("root").alias("r1"), F.max("root").alias("r2"), F.max("far").alias("any_far"))
         groups = groups.where(is_open).select(key, F.ceil(F.col("size") / BLOCK).cast("int").alias("parts"))
         placed = rows.join(groups, key).withColumn("part", F.pmod(F.xxhash64("sig"), F.col("parts")).cast("int"))
@@ -358,13 +369,13 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, k: int =
         return rows.repartition(key, "p", "q").sortWithinPartitions(key, "p", "q", "sig").select(key, "p", "q", "sig", "root", *more)
 
     by_hub = in_blocks(close.select(F.col("a").alias("sig"), F.col("b").alias("hub"), "n", "differ", F.lit(False).alias("far")), "hub", "r1 != r2")
-    near_links = dealt(by_hub, "hub", "n", "differ").mapInArrow(lambda batches: _near_links(batches, percent), "a binary, b binary")
+    near_links = dealt(by_hub, "hub", "n", "differ").mapInArrow(releasing(lambda batches: _near_links(batches, percent)), "a binary, b binary")
 
-    marked = to_hub.join(close.select(F.col("a").alias("sig"), F.col("b").alias("hub"), F.lit(False).alias("far")), ["sig", "hub"], "left").select("sig", "value", F.coalesce("far", F.lit(True)).alias("far"))
+    open_lists = to_hub.join(reach, "hub").select("sig", "value", "hub")
+    marked = open_lists.join(close.select(F.col("a").alias("sig"), F.col("b").alias("hub"), F.lit(False).alias("far")), ["sig", "hub"], "left").select("sig", "value", F.coalesce("far", F.lit(True)).alias("far"))
     by_value = in_blocks(marked, "value", "r1 != r2 and any_far").join(postings.select("sig", "n", "sketch"), "sig")
-    hopeful = dealt(by_value, "value", "far", "n", "sketch").mapInArrow(lambda batches: _far_pairs(batches, k, percent, floor), "a binary, b binary").distinct()
-    links = stars.unionByName(near_links).unionByName(_confirmed(hopeful, sets, percent))
-    final = components(links)
+    hopeful = dealt(by_value, "value", "far", "n", "sketch").mapInArrow(releasing(lambda batches: _far_pairs(batches, k, percent, floor)), "a binary, b binary").distinct()
+    final = joined(roots, near_links.unionByName(_confirmed(hopeful, sets, percent)))
 
     reps = classes.select("sig", "rep").join(final, F.col("sig") == F.col("node"), "left").select("sig", "rep", F.coalesce("root", "sig").alias("root"))
     lowest = reps.groupBy("root").agg(F.min("rep").alias("component_id"))
