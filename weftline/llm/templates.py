@@ -28,6 +28,8 @@ DEPTH = 3
 ALIKE = 0.7
 LEAST_DOCUMENTS = 5
 FIELD = "<*>"
+#: Groups that the lines of one template are dealt to.
+SALTS = 16
 _VARIABLE = re.compile(r"\S*\d\S*")
 _SPREAD = 1_000_003
 
@@ -121,6 +123,12 @@ def _rebuild(docs: pa.Table, drops: pa.Table, carry: tuple[str, ...]) -> pa.Tabl
     return pa.table([docs.column("doc_id"), pa.array(n_lines, pa.int64()), pa.array(dropped, pa.int64()), pa.array(text, pa.string()), *(docs.column(c) for c in carry)], names=["doc_id", "n_lines", "n_dropped", "text", *carry])
 
 
+def _of_templates(lines: DataFrame, templates: DataFrame) -> DataFrame:
+    """Lines joined to some of the templates; the lines of one template are dealt to SALTS groups."""
+    salted = templates.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return lines.withColumn("salt", F.pmod(F.xxhash64("line"), F.lit(SALTS)).cast("int")).join(salted, ["leaf", "template", "salt"])
+
+
 def deduplicate_lines(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per row of docs: doc_id, n_lines, n_dropped, text (the lines that stay), and columns to carry.
 
@@ -152,11 +160,11 @@ def deduplicate_lines(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS, i
     # (document, line) pairs are at least the documents; those of one line are of as many documents.
     grouped = formed.groupBy("leaf", "template").agg(F.sum("n").alias("pairs"), F.max("n").alias("most"), F.min(F.struct("first_key", "first_no")).alias("stays")).where(F.col("pairs") >= least_documents)
     clear = grouped.where(F.col("most") >= least_documents)
-    open_lines = formed.select("leaf", "line", "template").join(grouped.where(F.col("most") < least_documents).select("leaf", "template"), ["leaf", "template"])
+    open_lines = _of_templates(formed, grouped.where(F.col("most") < least_documents).select("leaf", "template")).select("leaf", "line", "template")
     documents_of = keys.where("counts = 1").select("leaf", "line", "order_key").join(open_lines, ["leaf", "line"]).select("leaf", "template", "order_key").distinct()
     shared = documents_of.groupBy("leaf", "template").count().where(F.col("count") >= least_documents).select("leaf", "template")
     recurring = clear.unionByName(grouped.join(shared, ["leaf", "template"])).select("leaf", "template", "stays")
-    decided = formed.select("leaf", "line", "template").join(recurring, ["leaf", "template"]).select("leaf", "line", "stays")
+    decided = _of_templates(formed, recurring).select("leaf", "line", "stays")
     drops = keys.join(decided, ["leaf", "line"]).where("order_key != stays.first_key or line_no != stays.first_no").select("order_key", "line_no", part("order_key"))
     kinds = "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in carry)
     return by_document.cogroup(drops.groupBy("part")).applyInArrow(freed(lambda d, x: _rebuild(d, x, carry)), f"doc_id long, n_lines long, n_dropped long, text string{kinds}")
