@@ -56,14 +56,26 @@ def test_rows(spark):
 
 
 def test_store_keeps_a_chunk_once_and_refuses_damage(spark):
-    df = spark.createDataFrame([(i, "same text " * 500) for i in range(20)], "doc_id long, text string")
-    rows, store, trained = store_media(df)
-    assert store.count() == len(set(rows.first().digests))
-    assert read_media(rows, store, trained).count() == 1
-    broken = store.withColumn("data", F.lit(store.first().data)).withColumn("digest", F.col("digest"))
-    if store.count() > 1:
-        with pytest.raises(Exception, match="chunk"):
-            read_media(rows, broken, trained).collect()
+    rnd = random.Random(8)
+    words = lambda n: " ".join("".join(rnd.choices("abcdefghijk", k=rnd.randrange(2, 9))) for _ in range(n))
+    passage = words(800)
+    texts = [words(40) + passage + words(9 * i) for i in range(6)] + ["same text " * 500, words(90) * 4]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts * 3)], "doc_id long, text string")
+    rows, store = store_media(df)
+    packs, chunks = store.packs.collect(), {r.digest: r.data for r in store.chunks.collect()}
+    assert rows.count() == 3 * len(texts) and len(packs) == len(texts)
+    digests = [[bytes(d) for d in r.digests] for r in packs]
+    own = [d for row, r in zip(digests, packs) for d, c in zip(row, r.own) if c]
+    chunks = {bytes(d): bytes(c) for d, c in chunks.items()}
+    assert len(own) == len(set(own)) and not set(own) & set(chunks)
+    assert set(own) | set(chunks) == {d for row in digests for d in row}
+    assert len(chunks) > 5 and store.chunks.count() == len(chunks)
+    assert read_media(store).count() == len(texts)
+    broken = store._replace(chunks=store.chunks.withColumn("data", F.lit(next(iter(chunks.values())))))
+    with pytest.raises(Exception, match="chunk"):
+        read_media(broken).collect()
+    with pytest.raises(Exception, match="chunk"):
+        read_media(store._replace(packs=store.packs.withColumn("own", F.reverse("own")))).collect()
 
 
 def test_files_of_different_length_share_the_chunks_of_a_passage():

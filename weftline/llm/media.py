@@ -3,10 +3,14 @@
 A text becomes a payload of bytes, the payload 8-bit samples of a WAV file (PCM, one
 channel, 8 kHz). A rolling gear hash cuts the payload where its high bits are zero, about
 every 200 bytes, so equal passages give equal chunks wherever they lie. The header, which
-holds the file's lengths, is in no chunk; it follows from the payload. Chunks are kept
-once by digest; a media row is the ordered list of its digests. Reading joins the list to
-the store, verifies every chunk, writes the header, verifies the whole file, and takes the
-samples from the file's data.
+holds the file's lengths, is in no chunk; it follows from the payload. A media row is the
+ordered list of its chunks' digests.
+
+Joins on digests tell which chunks several media hold. Such a chunk is kept once, by its
+digest; a chunk of one media alone is kept with that media, so most bytes move once.
+Equal media are one. Reading joins the shared chunks back by digest and place, verifies
+every chunk, writes the header, verifies the whole file, and takes the samples from the
+file's data.
 
 Chunks are compressed one by one with a dictionary trained on a bounded sample, so that
 they can be stored, deduplicated and joined as plain rows.
@@ -18,6 +22,7 @@ import hashlib
 import struct
 import zlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.llm import textvec as V
+from weftline.llm.shared import checkpointed, releasing
+
 UNIT = 64
 RATE = 8000
 #: The least is the window of the hash.
@@ -35,6 +42,10 @@ GEAR = V.keyed_table(256, 0x6EA2)
 SAMPLE = 2_000
 DICTIONARY_BYTES = 65_536
 LEVEL = 9
+#: Places of a shared chunk for each copy that is sent to them, and copies at most.
+SALTED, MOST_SALTS = 500, 65_536
+#: Bytes of a digest: 10**12 chunks share one with a probability of 1e-5, and a chunk is verified against its own.
+DIGEST = 12
 
 
 def payload_of(text: bytes) -> bytes:
@@ -88,7 +99,7 @@ def chunk_ends(hashes: np.ndarray) -> list[int]:
 
 
 def _digest(data: bytes) -> bytes:
-    return hashlib.blake2b(data, digest_size=16).digest()
+    return hashlib.blake2b(data, digest_size=DIGEST).digest()
 
 
 def _cut(texts: list[bytes]) -> Iterator[tuple[bytes, list[bytes]]]:
@@ -132,61 +143,107 @@ def _dictionary(docs: DataFrame) -> bytes:
     """A dictionary from at most about SAMPLE texts; empty where there are too few."""
     n = docs.count()
     picked = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < int(min(1.0, SAMPLE / max(n, 1)) * (1 << 20)))
-    parts = sorted(t[:MOST_CHUNK] for t in _texts(picked.select("text").toArrow().column(0).combine_chunks()) if t)
+    openings = picked.select(F.substring(F.col("text").cast("binary"), 1, MOST_CHUNK).alias("text"))  # bounded rows of bounded size
+    parts = sorted(t for t in _texts(openings.toArrow().column(0).combine_chunks()) if t)
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, parts).as_bytes() if len(parts) > 100 else b""
     except zstandard.ZstdError:
         return b""
 
 
-def store_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, bytes]:
-    """(media rows, chunk store, dictionary): doc_id, n_bytes, media_id, digests; and digest, data."""
+class Store(NamedTuple):
+    """packs: media_id, digests, own (a chunk at each place, empty where it is shared or stands further left);
+    chunks: digest, data of those that several media hold; places: media_id, place, digest, salt of these."""
+
+    packs: DataFrame
+    chunks: DataFrame
+    places: DataFrame
+    trained: bytes
+
+
+def _is_shared(place):
+    return F.substring("mask", place + 1, F.lit(1)) == F.lit(b"\x01")
+
+
+def _masks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A byte for each place up to the last one shared, 1 where shared."""
+    for b in batches:
+        out = []
+        for places in b.column(1).to_pylist():
+            mask = np.zeros(max(places) + 1, np.uint8)
+            mask[places] = 1
+            out.append(mask.tobytes())
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], names=["media_id", "mask"])
+
+
+def store_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, Store]:
+    """Media rows (doc_id, n_bytes, media_id, n_chunks), and the store of their chunks."""
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     trained = _dictionary(base)
     shared = docs.sparkSession.sparkContext.broadcast(trained)
 
-    def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = _texts(b.column(1))
-            cut = [(_digest(m), [_digest(c) for c in chunks]) for m, chunks in _cut(texts)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(t) for t in texts], pa.int64()), pa.array([m for m, _ in cut], pa.binary()), pa.array([d for _, d in cut], pa.list_(pa.binary()))], names=["doc_id", "n_bytes", "media_id", "digests"])
+            cut = [(_digest(m), len(parts)) for m, parts in _cut(texts)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(t) for t in texts], pa.int64()), pa.array([m for m, _ in cut], pa.binary()), pa.array([n for _, n in cut], pa.int32())], names=["doc_id", "n_bytes", "media_id", "n_chunks"])
 
-    def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = _packer(shared.value)
+    def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            seen = {}
-            for _, parts in _cut(_texts(b.column(1))):
-                for c in parts:
-                    d = _digest(c)
-                    if d not in seen:
-                        seen[d] = pack.compress(c)
-            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.binary())], names=["digest", "data"])
+            seen = {_digest(m): [_digest(c) for c in parts] for m, parts in _cut(_texts(b.column(1).unique()))}
+            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.list_(pa.binary()))], names=["media_id", "digests"])
 
-    rows = base.mapInArrow(lists, "doc_id long, n_bytes long, media_id binary, digests array<binary>")
-    store = base.mapInArrow(chunks, "digest binary, data binary").groupBy("digest").agg(F.first("data").alias("data"))
-    return rows, store, trained
-
-
-def read_media(rows: DataFrame, store: DataFrame, trained: bytes) -> DataFrame:
-    """media_id and media of each distinct media row, put together from the store and verified."""
-    shared = rows.sparkSession.sparkContext.broadcast(trained)
-    wanted = rows.dropDuplicates(["media_id"]).select("media_id", F.posexplode("digests").alias("place", "digest"))
-    parts = wanted.join(store, "digest").groupBy("media_id").agg(F.sort_array(F.collect_list(F.struct("place", "digest", "data"))).alias("parts"))
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = _packer(shared.value)
+        for b in batches:
+            media, digests, chunks = [], [], []
+            for m, parts in _cut(_texts(b.column(1).unique())):
+                own, first = [_digest(c) for c in parts], set()
+                media.append(_digest(m)), digests.append(own)
+                chunks.append([b"" if d in first else first.add(d) or pack.compress(c) for d, c in zip(own, parts, strict=True)])
+            yield pa.RecordBatch.from_arrays([pa.array(media, pa.binary()), pa.array(digests, pa.list_(pa.binary())), pa.array(chunks, pa.list_(pa.binary()))], names=["media_id", "digests", "chunks"])
+
+    rows = base.mapInArrow(releasing(rows_of), "doc_id long, n_bytes long, media_id binary, n_chunks int")
+    named = base.mapInArrow(releasing(lists), "media_id binary, digests array<binary>").select(F.xxhash64("media_id").alias("m"), "media_id", F.posexplode("digests").alias("place", "digest"))
+    # Two media with one 64-bit hash would each keep a chunk that they share.
+    several = named.groupBy("digest").agg(F.min("m").alias("low"), F.max("m").alias("high"), F.count("*").alias("n")).where("low != high")
+    several = several.select("digest", F.least(F.lit(MOST_SALTS), F.ceil(F.col("n") / SALTED)).cast("int").alias("salts"))
+    salt = F.pmod(F.xxhash64("media_id"), F.col("salts")).cast("int").alias("salt")
+    places = checkpointed(named.join(several, "digest").select("media_id", "place", "digest", salt).distinct())
+    masks = places.groupBy("media_id").agg(F.collect_list("place").alias("places")).mapInArrow(_masks, "media_id binary, mask binary")  # at most a text's chunks
+    # The filter, which holds always, stands here as the joins below would put it on one side only, and the shuffle of packs would not be shared.
+    packs = base.mapInArrow(releasing(packed), "media_id binary, digests array<binary>, chunks array<binary>").where("media_id is not null").dropDuplicates(["media_id"]).join(masks, "media_id", "left")
+    own = F.transform("chunks", lambda c, i: F.when(F.coalesce(_is_shared(i), F.lit(False)), F.lit(b"")).otherwise(c))
+    given = F.filter(F.arrays_zip("digests", "chunks"), lambda x, i: _is_shared(i) & (F.octet_length(x["chunks"]) > 0))
+    given = packs.where("mask is not null").select(F.explode(given).alias("x")).select(F.col("x.digests").alias("digest"), F.col("x.chunks").alias("data"))
+    return rows, Store(packs.select("media_id", "digests", own.alias("own")), given.groupBy("digest").agg(F.first("data").alias("data")), places, trained)
+
+
+def read_media(store: Store) -> DataFrame:
+    """media_id and media of each distinct media, put together from the store and verified."""
+    trained = store.packs.sparkSession.sparkContext.broadcast(store.trained)
+    # A chunk that very many media hold goes out in several copies, each to a part of its places.
+    copies = store.places.select("digest", "salt").distinct().join(store.chunks, "digest")
+    fetched = store.places.join(copies, ["digest", "salt"], "left").groupBy("media_id").agg(F.collect_list(F.struct("place", "data")).alias("fetched"))  # at most a text's chunks
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = _unpacker(shared.value)
+        unpack = _unpacker(trained.value)
         for b in batches:
             out = []
-            for media_id, chunks in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                data = [unpack.decompress(c["data"]) for c in chunks]
-                if any(_digest(d) != c["digest"] for d, c in zip(data, chunks, strict=True)):
-                    raise ValueError("a stored chunk does not match its digest")
-                out.append(wav(b"".join(data)))
+            for media_id, digests, own, fetched in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
+                frames = {x["place"]: x["data"] for x in fetched or ()}
+                known: dict[bytes, bytes] = {}
+                for place, (digest, frame) in enumerate(zip(digests, own, strict=True)):
+                    if digest not in known:
+                        known[digest] = unpack.decompress(frames.get(place) or frame)
+                        if _digest(known[digest]) != digest:
+                            raise ValueError("a stored chunk does not match its digest")
+                out.append(wav(b"".join(map(known.__getitem__, digests))))
                 if _digest(out[-1]) != media_id:
                     raise ValueError("chunks do not give back the media")
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], names=["media_id", "media"])
 
-    return parts.mapInArrow(run, "media_id binary, media binary")
+    return store.packs.join(fetched, "media_id", "left").select("media_id", "digests", "own", "fetched").mapInArrow(releasing(run), "media_id binary, media binary")
 
 
 def media_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -196,7 +253,7 @@ def media_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     media and have equal values. Rows that repeat a doc_id have each their own. An empty
     table gives an empty result; other columns play no part.
     """
-    rows, store, trained = store_media(docs, id_col, text_col)
+    rows, store = store_media(docs, id_col, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -215,8 +272,8 @@ def media_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 names=["media_id", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"],
             )
 
-    read = read_media(rows, store, trained).mapInArrow(run, "media_id binary, payload_bytes long, payload_sha256 binary, tail_crc32 long, media_bytes long, media_sha256 binary, feature string")
-    out = rows.select("doc_id", "n_bytes", "media_id", F.size("digests").alias("n_chunks")).join(read, "media_id")
+    read = read_media(store).mapInArrow(run, "media_id binary, payload_bytes long, payload_sha256 binary, tail_crc32 long, media_bytes long, media_sha256 binary, feature string")
+    out = rows.join(read, "media_id")
     out = out.withColumns({c: F.lower(F.hex(c)) for c in ("payload_sha256", "media_sha256")})
     return out.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "n_chunks")
 
