@@ -56,14 +56,25 @@ def freed(run: Callable) -> Callable:
     return one if run.__code__.co_argcount == 1 else two
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """df with its lineage cut, kept in the shared folder that the session names.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the session names in spark.checkpoint.dir; a folder of this process where it names none.
 
-    Where spark.checkpoint.dir is unset, as in tests, a folder of this process is set.
+    The latter serves tests on one machine only: a session whose master is not local must name one.
     """
+    context = spark.sparkContext
+    named = context.getConf().get("spark.checkpoint.dir")
+    if not named and not context.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+    if not named and not context._jsc.sc().getCheckpointDir().isEmpty():
+        named = context._jsc.sc().getCheckpointDir().get()
+    return (named or tempfile.mkdtemp(prefix="weftline-")).rstrip("/")
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """df with its lineage cut, kept in the shared folder."""
     context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="weftline-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
