@@ -49,6 +49,8 @@ def matches(text: Column, group: Mapping[str, Sequence[str]], width: int = EVIDE
         tries = [F.when(F.locate(s, text) > 0, window(text, F.locate(s, text), F.lit(len(s)), width)) for s in spellings]
         evidence = F.coalesce(*tries)
         hits.append(F.when(evidence.isNotNull(), F.struct(F.lit(standard).alias("standard"), evidence.alias("evidence"))))
+    if not hits:
+        return F.array().cast("array<struct<standard:string,evidence:string>>")
     return F.array_compact(F.array(*hits))
 
 
@@ -68,4 +70,4 @@ def match_unless_followed(text: Column, group: Mapping[str, Sequence[str]], suff
         before = F.regexp_extract(text, f"(?s)^(.*?){p}", 1)
         found = F.struct(F.lit(standard).alias("value"), window(text, F.length(before) + 1, F.lit(len(spelling)), width).alias("evidence"))
         tries.append(F.when(text.rlike(p), found))
-    return F.coalesce(*tries)
+    return F.coalesce(*tries) if tries else F.lit(None).cast("struct<value:string,evidence:string>")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MISSING = "未知"
@@ -92,21 +93,48 @@ def window(text: Column, start: Column, length: Column, width: int = EVIDENCE_WI
     return stripped(F.substring(text, left, start + length + width - left))
 
 
+_CONTEXT = re.compile(r"\(\?[=!<]|\\[bBAGzZ]|[\^$]")
+
+
 def match_first(text: Column, patterns: Sequence[str], width: int = EVIDENCE_WINDOW) -> Column:
     """Struct (value, evidence) of the first pattern that matches, null without one.
 
-    The value is group 1. Positions count code points, as the prefix before the match does.
+    The value is group 1. Positions count code points. Where a pattern does not look
+    around, what it matched stands nowhere further left, so its place is found by search;
+    else the prefix before the match gives it.
     """
-    tries = []
+    text, tries = F.coalesce(text, F.lit("")), []
     for p in patterns:
-        whole = F.regexp_extract(text, f"(?s)^.*?({p})", 1)
-        before = F.regexp_extract(text, f"(?s)^(.*?)(?:{p})", 1)
         value = F.regexp_extract(text, p, 1)
-        found = F.struct(value.alias("value"), window(text, F.length(before) + 1, F.length(whole), width).alias("evidence"))
-        tries.append(F.when(F.coalesce(text, F.lit("")).rlike(p), found))
+        if _CONTEXT.search(p) or _matches_nothing(p):
+            whole = F.regexp_extract(text, f"(?s)^.*?({p})", 1)
+            start, matched = F.length(F.regexp_extract(text, f"(?s)^(.*?)(?:{p})", 1)) + 1, text.rlike(p)
+        else:
+            whole = F.regexp_extract(text, p, 0)
+            start, matched = F.call_function("instr", text, whole), whole != ""
+        tries.append(F.when(matched, F.struct(value.alias("value"), window(text, start, F.length(whole), width).alias("evidence"))))
     return F.coalesce(*tries)
 
 
+def _matches_nothing(pattern: str) -> bool:
+    """Could the pattern match the empty string? True where that is not known."""
+    try:
+        return re.fullmatch(pattern.replace("(?U)", ""), "") is not None
+    except re.error:
+        return True
+
+
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """df with columns that are worked out once a row, however often later steps use them.
+
+    Projections are merged by the optimiser, which writes an expression out at each use;
+    a generator of one row is not merged.
+    """
+    row = F.explode(F.array(F.struct(*[c.alias(name) for name, c in columns.items()])))
+    kept = [c for c in df.columns if c not in columns]
+    return df.select(*df.columns, row.alias("_once")).select(*kept, *[F.col(f"_once.{name}") for name in columns])
+
+
 def iso_date(c: Column) -> Column:
     """yyyy-mm-dd of the first date like 2025-6-1, 2025/06/01 or 2025年6月1; else empty."""
     p = r"(20\d{2})\s*[-/年.]\s*(\d{1,2})\s*[-/月.]\s*(\d{1,2})"

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Sequence
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftline.functions import lexicon as L
-from weftline.functions.text import CORE_FIELDS, MISSING, is_missing, match_first, squeezed
+from weftline.functions.text import CORE_FIELDS, MISSING, fold_missing, is_missing, match_first, squeezed, stripped
 
 # Organisation words after a city, cue words, suffixes and titles.
 CITY_FALSE_SUFFIXES = ("大学", "学院", "公司", "集团", "银行", "研究院", "研究所", "设计院", "医院", "中学", "小学", "航空", "理工", "师范", "民族")
@@ -84,6 +87,13 @@ def extract(df: DataFrame, title: str, text: str, lexicon: dict, more: dict[str,
     return merge_hits(df.select(*columns, F.struct(*hits).alias("hits")), ["hits"], ["rule"])
 
 
+def rule_hits(df: DataFrame, title: str, text: str, lexicon: dict, name: str, more: dict[str, list[str]] | None = None) -> DataFrame:
+    """df with the hits of the rules in a struct column of the given name, and nothing merged."""
+    kept = [c for c in df.columns if c not in ("hits", "extract_method", "evidence", *CORE_FIELDS)]
+    found = extract(df, title, text, lexicon, more)
+    return found.withColumnRenamed("hits", name).select(*kept, name)
+
+
 def merge_hits(df: DataFrame, sources: list[str], methods: list[str]) -> DataFrame:
     """Core fields from hit structs, later sources over earlier ones; the method names all that gave a field."""
     used = [F.lit(False)] * len(sources)
@@ -118,3 +128,142 @@ def supported(evidence: Column, body: Column) -> Column:
     """Does the evidence occur in the body, white space aside?"""
     e = squeezed(evidence)
     return (F.length(e) > 0) & F.contains(squeezed(body), e)
+
+
+def needs_model(hits: Column, unknown: Column, below: int, enabled: bool = True) -> Column:
+    """Is the model asked: it is enabled, a field is unknown, and the rules found fewer than `below`?"""
+    return F.lit(enabled) & (unknown > 0) & (hits < below)
+
+
+def n_hits(hits: Column) -> Column:
+    return sum((hits[f].isNotNull().cast("int") for f in CORE_FIELDS), F.lit(0))
+
+
+def unfenced(reply: Column) -> Column:
+    """The body of the first fenced block of a reply, or the reply."""
+    inner = F.regexp_extract(reply, r"(?s)```(?:json)?\s*(.*?)```", 1)
+    return F.trim(F.when(inner != "", inner).otherwise(reply))
+
+
+def reply_hits(reply: Column, body: Column, wanted: Sequence[str] = CORE_FIELDS) -> Column:
+    """Hits of a model's reply: a JSON object of known fields with a value that is not missing and evidence from the body.
+
+    A reply that is no JSON object gives no hits.
+    """
+    fields = F.from_json(unfenced(reply), "map<string,string>")
+
+    def hit(field: str) -> Column:
+        value, evidence = (F.get_json_object(fields[field], f"$.{k}") for k in ("value", "evidence"))
+        found = F.struct(fold_missing(value).alias("value"), stripped(evidence).alias("evidence"))
+        return F.when(~is_missing(value) & F.coalesce(supported(evidence, body), F.lit(False)), found).cast(HIT).alias(field)
+
+    return F.struct(*[hit(f) if f in wanted else F.lit(None).cast(HIT).alias(f) for f in CORE_FIELDS])
+
+
+def prompts(title: Column, body: Column, unknown: Column, limit: int = 6000) -> Column:
+    """What the model is asked: the fields, the title, and the body within the limit."""
+    return F.concat(F.lit("fields: "), F.array_join(unknown, ", "), F.lit("\ntitle: "), F.coalesce(title, F.lit("")), F.lit("\nbody: "), prompt_text(body, limit))
+
+
+def asked(df: DataFrame, prompt: str, model: Callable[[str], str], retries: int = 1, name: str = "reply") -> DataFrame:
+    """df with the model's reply to each prompt; null for a null prompt, or where every try failed.
+
+    The model is called on executors, once a row and try; an error costs the row its reply, no more.
+    """
+    columns = df.columns
+
+    def ask(text: str | None) -> str | None:
+        for _ in range(retries + 1 if text is not None else 0):
+            try:
+                return model(text)
+            except Exception:
+                continue
+        return None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            replies = pa.array([ask(t) for t in b.column(columns.index(prompt)).to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([*b.columns, replies], names=[*columns, name])
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    return df.mapInArrow(run, f"{kinds}, `{name}` string")
+
+
+def recognised(images: DataFrame, cache: DataFrame, recognise: Callable[[bytes], str]) -> tuple[DataFrame, DataFrame]:
+    """(image rows with text and `cached`, cache with the new texts).
+
+    images hold article_key, place, data; cache holds sha1, text. An image is known by its
+    bytes: one that the cache has, or that occurs again, is not read again. An image that
+    cannot be read has no text and is not cached.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = []
+            for data in b.column(1).to_pylist():
+                try:
+                    texts.append(recognise(data))
+                except Exception:
+                    texts.append(None)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], names=["sha1", "text"])
+
+    named = images.withColumn("sha1", F.sha1("data"))
+    new = named.join(cache, "sha1", "left_anti").groupBy("sha1").agg(F.first("data").alias("data"))
+    fresh = new.mapInArrow(run, "sha1 string, text string").where("text is not null")
+    known = cache.select("sha1", "text", F.lit(True).alias("cached")).unionByName(fresh.withColumn("cached", F.lit(False)))
+    rows = named.join(known, "sha1", "left").select("article_key", "place", "sha1", "text", F.coalesce("cached", F.lit(False)).alias("cached"))
+    return rows, known.select("sha1", "text")
+
+
+def cache_counts(cached: Column) -> dict[str, Column]:
+    """How many images the cache had, and how many were read."""
+    return {"ocr_cached": F.count_if(cached), "ocr_computed": F.count_if(~cached)}
+
+
+def with_image_text(text: Column, image_text: Column) -> Column:
+    """A text with what its images say on lines after it."""
+    more = F.when(F.length(F.trim(F.coalesce(image_text, F.lit("")))) > 0, F.trim(image_text))
+    return stripped(F.concat_ws("\n", F.coalesce(text, F.lit("")), more))
+
+
+#: What marks evidence from images, and how far such a hit is trusted.
+IMAGE_MARK, IMAGE_CONFIDENCE = "[OCR] ", 0.6
+
+
+def image_hits(df: DataFrame, title: str, text: str, image_text: str, lexicon: dict, name: str = "image_hits") -> DataFrame:
+    """df with the hits that the rules find in the text and that of the images; null fields without image text."""
+    has = F.length(F.trim(F.coalesce(F.col(image_text), F.lit("")))) > 0
+    columns = df.columns
+    found = rule_hits(df.withColumn("_both", with_image_text(F.col(text), F.col(image_text))), title, "_both", lexicon, "_found")
+    marked = [F.when(has & F.col("_found")[f].isNotNull(), F.struct(F.col("_found")[f]["value"].alias("value"), F.concat(F.lit(IMAGE_MARK), F.col("_found")[f]["evidence"]).alias("evidence"))).cast(HIT).alias(f) for f in CORE_FIELDS]
+    return found.select(*columns, F.struct(*marked).alias(name))
+
+
+def two_stage(df: DataFrame, title: str, text: str, lexicon: dict, model: Callable[[str], str] | None = None, below: int = len(CORE_FIELDS), retries: int = 1, image_text: str | None = None, more: dict[str, list[str]] | None = None) -> DataFrame:
+    """Rules first, then the model for what they left unknown, then the text of images.
+
+    df gains rule_hits, model_hits and image_hits, the core fields, extract_method,
+    evidence, content_kind (ocr where images gave a field) and confidence (1, or what
+    image hits are trusted at most). Later stages overwrite earlier ones.
+    """
+    df = rule_hits(df, title, text, lexicon, "rule_hits", more)
+    df = df.withColumn("_unknown", F.array_compact(F.array(*[F.when(F.col("rule_hits")[f].isNull(), F.lit(f)) for f in CORE_FIELDS])))
+    none = F.struct(*[F.lit(None).cast(HIT).alias(f) for f in CORE_FIELDS])
+    if model is None:
+        df = df.withColumn("model_hits", none)
+    else:
+        wanted = needs_model(n_hits(F.col("rule_hits")), F.size("_unknown"), below)
+        df = asked(df.withColumn("_prompt", F.when(wanted, prompts(F.col(title), F.col(text), F.col("_unknown")))), "_prompt", model, retries, "_reply")
+        said = reply_hits(F.col("_reply"), F.col(text))
+        # Of a reply only fields that were asked for count.
+        df = df.withColumn("_said", said).withColumn("model_hits", F.struct(*[F.when(F.array_contains("_unknown", f), F.col("_said")[f]).alias(f) for f in CORE_FIELDS])).drop("_said", "_prompt", "_reply")
+    if image_text is None:
+        df = df.withColumn("image_hits", none)
+    else:
+        df = image_hits(df, title, text, image_text, lexicon)
+        left = n_hits(F.col("rule_hits")) + n_hits(F.col("model_hits")) < len(CORE_FIELDS)
+        df = df.withColumn("image_hits", F.struct(*[F.when(left, F.col("image_hits")[f]).alias(f) for f in CORE_FIELDS]))
+    df = merge_hits(df.drop("_unknown"), ["rule_hits", "model_hits", "image_hits"], ["rule", "llm", "rule"])
+    by_image = n_hits(F.col("image_hits")) > 0
+    kind = F.col("content_kind") if "content_kind" in df.columns else F.lit("html")
+    return df.withColumn("content_kind", F.when(by_image, "ocr").otherwise(kind)).withColumn("confidence", F.when(by_image, IMAGE_CONFIDENCE).otherwise(1.0))

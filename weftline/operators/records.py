@@ -88,6 +88,12 @@ def distribution(df: DataFrame, column: str, values: Sequence[str], default: str
     return listed.join(counts, "value", "full").select("value", F.coalesce("count", F.lit(0)).cast("long").alias("n"))
 
 
+def hit_source(df: DataFrame, hits: str = "hits", fields: Sequence[str] = CORE_FIELDS) -> DataFrame:
+    """(field, method, n): by which method each field was found, hit by hit; hits hold a method."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(hits)[f]["method"].alias("method")) for f in fields]))
+    return df.select(pairs.alias("p")).select("p.*").where("method is not null").groupBy("field", "method").agg(F.count("*").alias("n"))
+
+
 def field_source(df: DataFrame, fields: Sequence[str], method: str = "extract_method") -> DataFrame:
     """(field, rule, llm): rows of each method that have the field; other methods count for neither."""
     pairs = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), (fold_missing(F.col(f)) != MISSING).alias("has")) for f in fields]))
@@ -119,8 +125,75 @@ def sample_indices(n: int, rate: float, seed: int) -> list[int]:
 
 
 def review_sample(df: DataFrame, order: Sequence[str], rate: float, seed: int) -> DataFrame:
-    """The rows of df, in the given order, whose numbers the seed picks; the sample is small by intent."""
+    """The rows of df, in the given order, whose numbers the seed picks; the order must name each row.
+
+    Only the columns of the order are sorted and numbered; whole rows are joined to the picks.
+    """
     spark = df.sparkSession
-    picks = spark.createDataFrame([(i + 1,) for i in sample_indices(df.count(), rate, seed)], "_row int")
-    numbered = df.withColumn("_row", F.row_number().over(Window.orderBy(*order)))
-    return numbered.join(F.broadcast(picks), "_row").drop("_row")
+    keys = df.select(*order).orderBy(*order)
+    numbered = spark.createDataFrame(keys.rdd.zipWithIndex().map(lambda x: (x[1], *x[0])), f"_row long, {', '.join(f'`{c}` {df.schema[c].dataType.simpleString()}' for c in order)}")
+    picks = spark.createDataFrame([(i,) for i in sample_indices(df.count(), rate, seed)], "_row long")
+    return df.join(numbered.join(picks, "_row").drop("_row"), list(order), "left_semi")
+
+
+def scan_order(df: DataFrame, newest: str = "crawl_time", then: str = "source_url") -> DataFrame:
+    """Newest rows first, then by name."""
+    return df.orderBy(F.desc(newest), F.asc(then))
+
+
+def distinct_values(df: DataFrame, column: str) -> DataFrame:
+    """The values of a column that are not blank, once each."""
+    return df.select(column).where(F.length(F.trim(F.col(column))) > 0).distinct()
+
+
+def value_union(left: DataFrame, right: DataFrame, name: str) -> DataFrame:
+    """All values of two one-column tables, once each."""
+    return left.toDF(name).union(right.toDF(name)).distinct()
+
+
+def latest(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """The one row that stands last by the columns of the order."""
+    return df.agg(F.max_by(F.struct("*"), F.struct(*order)).alias("_r")).select("_r.*")
+
+
+def counters(df: DataFrame, counted: Mapping[str, Column]) -> DataFrame:
+    """One row: how many rows satisfy each condition, in one pass."""
+    return df.agg(*[F.count_if(F.coalesce(c, F.lit(False))).alias(name) for name, c in counted.items()])
+
+
+def times(df: DataFrame, by: str, value: str) -> DataFrame:
+    """The best and the median of a measure for each name."""
+    return df.groupBy(by).agg(F.min(value).alias("best"), F.round(F.percentile(value, F.lit(0.5)), 6).alias("median"))
+
+
+def unknown_totals(df: DataFrame, fields: Sequence[str] = CORE_FIELDS) -> DataFrame:
+    """One row: unknown fields in all, rows without any, rows that need a look."""
+    n = F.size(unknown_fields(fields))
+    return df.agg(F.coalesce(F.sum(n), F.lit(0)).cast("long").alias("unknown_total"), F.count_if(n == 0).alias("complete"), F.count_if(n > 0).alias("manual_review"))
+
+
+def prune(df: DataFrame, created: str, last_hit: str, oldest: Column, most: int, key: str) -> DataFrame:
+    """What a cache keeps: rows not older than `oldest`, and of these the `most` that were used last."""
+    return df.where(F.col(created) >= oldest).orderBy(F.desc(last_hit), F.desc(key)).limit(most)
+
+
+def filled(fields: Sequence[str] = CORE_FIELDS) -> Column:
+    """How many of the fields are known."""
+    return F.lit(len(fields)) - F.size(unknown_fields(fields))
+
+
+def report_order(df: DataFrame, fields: Sequence[str] = CORE_FIELDS, date: str = "publish_date") -> DataFrame:
+    """Rows with most known fields first, then by date."""
+    return df.withColumn("hits", filled(fields)).orderBy(F.desc("hits"), F.asc(date))
+
+
+def report_cards(rows: DataFrame, entries: DataFrame, fields: Sequence[str] = CORE_FIELDS, key: str = "article_key") -> DataFrame:
+    """One row of counts: rows, archived pages, images, outside bodies, complete rows, rows that need a look.
+
+    rows are joined to manifest entries by key; entries hold images, html_path and content_url.
+    """
+    outside = F.length(F.coalesce("content_url", F.lit(""))) > 0
+    of_entries = entries.agg(F.count_if(F.length(F.coalesce("html_path", F.lit(""))) > 0).alias("archived"), F.coalesce(F.sum(F.when(F.col("images").isNotNull(), F.size("images"))), F.lit(0)).cast("long").alias("images"))
+    n = F.size(unknown_fields(fields))
+    of_rows = rows.join(entries.select(key, "content_url"), key, "left").agg(F.count("*").alias("total"), F.count_if(outside).alias("external"), F.count_if(n == 0).alias("complete"), F.count_if(n > 0).alias("manual"))
+    return of_rows.join(of_entries)  # one row each

@@ -13,13 +13,16 @@ from threading import Lock
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftline.functions.text import CORE_FIELDS, MISSING, escaped
+from weftline.functions.text import CORE_FIELDS, MISSING, escaped, once
 
 # Separators between query words, and words that carry no query.
 SEPARATORS = r"""(?U)[\s,，、;；/|+·。！？!?（）()\[\]【】"'“”‘’]+"""
 STOPWORDS = ("的", "了", "和", "与", "及", "或", "是", "在", "有", "我", "想", "找", "查", "搜", "搜索", "请问", "一下", "哪些", "什么", "怎么", "如何")
+# Least characters of a query word, and BM25's parameters.
 LEAST_CHARS = {"trigram": 3, "unicode61": 1}
 K1, B, LEAST_IDF = 1.2, 0.75, 1e-6
+#: Fixed value: shown for a hit without a title.
+NO_TITLE = "(无标题)"
 
 
 @dataclass(frozen=True)
@@ -35,7 +38,20 @@ class Query:
         payload = {"kw": sorted(self.keywords), "fields": {k: str(v) for k, v in sorted(self.fields.items()) if str(v).strip()}, "limit": self.limit, "offset": self.offset}
         if fallback and self.raw_text.strip():
             payload["raw"] = self.raw_text.strip()
-        return hashlib.sha256(f"{json.dumps(payload, ensure_ascii=False, sort_keys=True)}|v{version}".encode()).hexdigest()[:32]
+        return _digest(json.dumps(payload, ensure_ascii=False, sort_keys=True), version)
+
+    @property
+    def empty(self) -> bool:
+        return not (self.keywords or any(str(v).strip() for v in self.fields.values()))
+
+
+def _digest(payload: str, version: int) -> str:
+    return hashlib.sha256(f"{payload}|v{version}".encode()).hexdigest()[:32]
+
+
+def cache_keys(payload: Column, version: Column) -> Column:
+    """The key of a query's payload at a version of the data, as a column."""
+    return F.substring(F.sha2(F.concat(payload, F.lit("|v"), version.cast("string")), 256), 1, 32)
 
 
 def query_tokens(c: Column) -> Column:
@@ -55,34 +71,71 @@ def _accents() -> tuple[str, str]:
     return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
 
 
+def folded(c: Column) -> Column:
+    """Lower case without accents."""
+    return F.translate(F.lower(c), *_accents())
+
+
 def text_tokens(c: Column) -> Column:
-    """Runs of letters and digits, folded to lower case without accents; a run of CJK is one token."""
-    return F.regexp_extract_all(F.translate(F.lower(c), *_accents()), F.lit(r"[\p{L}\p{N}\p{Co}]+"), 0)
+    """Runs of letters and digits, folded; a run of CJK is one token."""
+    return F.regexp_extract_all(folded(c), F.lit(r"[\p{L}\p{N}\p{Co}]+"), 0)
 
 
 def phrase_count(tokens: Column, phrase: Sequence[str]) -> Column:
-    """Places at which the phrase stands in the token array."""
+    """Places at which the phrase stands in the token array, which should be a plain column."""
     if len(phrase) == 1:
         return F.size(F.filter(tokens, lambda t: t == phrase[0]))
-    want = F.array(*map(F.lit, phrase))
-    starts = F.sequence(F.lit(1), F.size(tokens) - len(phrase) + 1)
-    hits = F.filter(starts, lambda i: F.slice(tokens, i, F.lit(len(phrase))) == want)
-    return F.when(F.size(tokens) >= len(phrase), F.size(hits)).otherwise(0)
-
-
-def bm25(docs: DataFrame, key: str, text: str, phrases: Sequence[Sequence[str]], where: Column | None = None) -> DataFrame:
-    """(key, score) of rows that hold all phrases; smaller is better. Statistics are over all of docs."""
-    counts = [f"f{i}" for i in range(len(phrases))]
-    tokens = docs.select(key, text_tokens(F.col(text)).alias("tokens"), (where if where is not None else F.lit(True)).alias("wanted"))
-    rows = tokens.select(key, "wanted", F.size("tokens").alias("dl"), *[phrase_count(F.col("tokens"), p).alias(c) for p, c in zip(phrases, counts, strict=True)])
-    stats = rows.agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl"), *[F.sum((F.col(c) > 0).cast("int")).alias(f"n_{c}") for c in counts])
-    held = rows.where("wanted")
+
+    def stands(token: Column, at: Column) -> Column:
+        out = token == phrase[0]
+        for k, word in enumerate(phrase[1:], 1):
+            out = out & (F.coalesce(F.get(tokens, at + k), F.lit("")) == word)
+        return out
+
+    return F.size(F.filter(tokens, stands))
+
+
+def substring_count(text: Column, part: str) -> Column:
+    """Places at which the part stands in the text, overlapping ones too; both in lower case."""
+    quoted = part.replace("\\E", "\\E\\\\E\\Q")
+    return F.regexp_count(text, F.lit(rf"(?=\Q{quoted}\E)"))
+
+
+def idf(n: Column, df: Column) -> Column:
+    return F.greatest(F.log((n - df + 0.5) / (df + 0.5)), F.lit(LEAST_IDF))
+
+
+def gain(count: Column, length: Column, average: Column) -> Column:
+    return count * (K1 + 1) / (count + K1 * (1 - B + B * length / average))
+
+
+def bm25(docs: DataFrame, key: str, text: str, phrases: Sequence, where: Column | None = None, tokenizer: str = "unicode61") -> DataFrame:
+    """(key, score) of rows that hold all phrases; smaller is better. Statistics are over all of docs.
+
+    A phrase is a list of words, or for the trigram tokenizer a string, in lower case.
+    Each text is cut into tokens once for its counts; those that can match are cut once
+    more for their scores, after a search for the words as plain substrings.
+    """
+    counts, trigram = [f"f{i}" for i in range(len(phrases))], tokenizer == "trigram"
+
+    def counted(rows: DataFrame) -> DataFrame:
+        if trigram:
+            rows = once(rows.select(key, F.col(text).alias("t")), t=F.lower("t"))
+            return rows.select(key, F.greatest(F.length("t") - 2, F.lit(0)).alias("dl"), *[substring_count(F.col("t"), p).alias(c) for p, c in zip(phrases, counts, strict=True)])
+        rows = once(rows.select(key, F.col(text).alias("t")), t=text_tokens(F.col("t")))
+        return rows.select(key, F.size("t").alias("dl"), *[phrase_count(F.col("t"), p).alias(c) for p, c in zip(phrases, counts, strict=True)])
+
+    stats = counted(docs).agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl"), *[F.sum((F.col(c) > 0).cast("int")).alias(f"n_{c}") for c in counts])
+    hopeful = where if where is not None else F.lit(True)
+    plain = F.lower(F.col(text)) if trigram else folded(F.col(text))
+    for word in {w for p in phrases for w in ([p] if trigram else p)}:
+        hopeful = hopeful & F.contains(plain, F.lit(word))
+    held = counted(docs.where(hopeful))
     for c in counts:
         held = held.where(F.col(c) > 0)
     score = F.lit(0.0)
     for c in counts:
-        idf = F.greatest(F.log((F.col("n") - F.col(f"n_{c}") + 0.5) / (F.col(f"n_{c}") + 0.5)), F.lit(LEAST_IDF))
-        score = score - idf * F.col(c) * (K1 + 1) / (F.col(c) + K1 * (1 - B + B * F.col("dl") / F.col("avgdl")))
+        score = score - idf(F.col("n"), F.col(f"n_{c}")) * gain(F.col(c), F.col("dl"), F.col("avgdl"))
     # One row of statistics meets all rows, so this is no product of tables.
     return held.join(F.broadcast(stats)).select(key, score.alias("score"))
 
@@ -137,27 +190,79 @@ def snippet(corpus: Column, terms: Sequence[str], width: int = 120) -> Column:
     return F.when(first.isNotNull(), found).otherwise(plain)
 
 
-def search(articles: DataFrame, query: Query, tokenizer: str = "unicode61", most: int = 100) -> DataFrame:
-    """Ranked rows with score. The path, full text or substring, is chosen once by the full-text count."""
+def shown_title(title: Column) -> Column:
+    return F.when(F.length(F.trim(F.coalesce(title, F.lit("")))) == 0, NO_TITLE).otherwise(title)
+
+
+def shown_field(value: Column) -> Column:
+    return F.when(F.trim(F.coalesce(value.cast("string"), F.lit(""))).isin("", "-"), MISSING).otherwise(value.cast("string"))
+
+
+def hits(rows: DataFrame, key: str, title: str, fields: Sequence[str], more: Sequence[Column] = ()) -> DataFrame:
+    """What a result shows of each row: key, title, and the fields with unknown ones named so."""
+    return rows.select(key, shown_title(F.col(title)).alias("title"), *[shown_field(F.col(f)).alias(f) for f in fields], *more)
+
+
+def clamped(limit: Column, offset: Column, most: int = 100) -> tuple[Column, Column]:
+    """A page's size within 1 and most, and its start from 0."""
+    return F.greatest(F.lit(1), F.least(limit, F.lit(most))), F.greatest(F.lit(0), offset)
+
+
+def phrases_of(query: Query, tokenizer: str) -> list | None:
+    """What full-text search looks for; None where the query is not fit for it."""
+    words = [k.strip() for k in query.keywords if k.strip()]
+    if not words or any(len(w) < LEAST_CHARS[tokenizer] for w in words):
+        return None
+    if tokenizer == "trigram":
+        return [w.lower() for w in words]
+    source, target = _accents()
+    plain = [w.lower().translate(str.maketrans(source, target)) for w in words]
+    phrases = [_runs(w) for w in plain]
+    return phrases if all(phrases) else None
+
+
+def _runs(text: str) -> list[str]:
+    """The tokens of a text on the driver; classes are those of text_tokens."""
+    marked = "".join(c if unicodedata.category(c)[0] in "LN" or unicodedata.category(c) == "Co" else " " for c in text)
+    return marked.split()
+
+
+def matching(articles: DataFrame, query: Query, tokenizer: str = "unicode61", index=None) -> DataFrame:
+    """All rows that answer the query, with score, and `full_text`, which way they were found.
+
+    Full text is tried first, over a stored index where one is given; where no row
+    answers, or the query is not fit for it, rows that hold the raw text, or any word, as
+    a substring answer with score 0.
+    """
     available = articles.columns
-    limit, offset = max(1, min(query.limit, most)), max(0, query.offset)
     allowed = field_filter(query.fields, available)
     texts = [c for c in ("article_title", *CORE_FIELDS, "evidence") if c in available]
-    least = LEAST_CHARS[tokenizer]
-    if query.keywords and all(len(k.strip()) >= least for k in query.keywords):
+    phrases = phrases_of(query, tokenizer)
+    if phrases:
         docs = articles.withColumn("_index", index_text(fields=[c for c in CORE_FIELDS if c in available]))
-        phrases = [articles.sparkSession.range(1).select(text_tokens(F.lit(k)).alias("t")).first().t for k in query.keywords]
-        if all(phrases):
-            if tokenizer == "trigram":
-                hits = docs.where(F.forall(F.array(*map(F.lit, query.keywords)), lambda k: F.contains(F.lower("_index"), F.lower(k)))).select("article_key", F.lit(0.0).alias("score"))
-            else:
-                hits = bm25(docs, "article_key", "_index", phrases, allowed)
-            hits = articles.where(allowed).join(hits, "article_key")
-            if hits.limit(1).count():
-                return hits.orderBy("score", F.desc("crawl_time"), "article_key").offset(offset).limit(limit)
+        scored = index.scores(phrases) if index is not None else bm25(docs, "article_key", "_index", phrases, tokenizer=tokenizer)
+        found = articles.where(allowed).join(scored, "article_key")
+        if not found.isEmpty():
+            return found.withColumn("full_text", F.lit(True))
     terms = [query.raw_text.strip()] if query.raw_text.strip() else [k for k in query.keywords if k.strip()]
     rows = articles.where(allowed & like_any(texts, terms)) if terms else articles.where(allowed)
-    return rows.withColumn("score", F.lit(0.0)).orderBy(F.desc("crawl_time"), "source_url").offset(offset).limit(limit)
+    return rows.withColumns({"score": F.lit(0.0), "full_text": F.lit(False)})
+
+
+def page_of(found: DataFrame, query: Query, most: int = 100) -> DataFrame:
+    """The page of results that the query asks for, best first, then the newest."""
+    limit, offset = max(1, min(query.limit, most)), max(0, query.offset)
+    return found.orderBy("score", F.desc("crawl_time"), "source_url").offset(offset).limit(limit)
+
+
+def search(articles: DataFrame, query: Query, tokenizer: str = "unicode61", most: int = 100) -> DataFrame:
+    """Ranked rows with score."""
+    return page_of(matching(articles, query, tokenizer), query, most).drop("full_text")
+
+
+def count_matching(articles: DataFrame, query: Query, tokenizer: str = "unicode61") -> int:
+    """How many rows answer the query, by the same way as search."""
+    return matching(articles, query, tokenizer).count()
 
 
 class ResultCache:
@@ -167,6 +272,9 @@ class ResultCache:
         self.capacity, self.hits, self.misses = max(1, capacity), 0, 0
         self._data, self._lock = OrderedDict(), Lock()
 
+    def __len__(self) -> int:
+        return len(self._data)
+
     def get(self, key: str):
         with self._lock:
             if key not in self._data:
@@ -184,16 +292,33 @@ class ResultCache:
                 self._data.popitem(last=False)
 
 
+#: Fixed value: references on a page of the portal.
+PAGE_SIZE = 15
+
+
 def fetch_estimate(total: int, query: Query, pages: int, interval: float, enabled: bool = False, budget: float = 600.0, cooldown: int = 0) -> dict | None:
     """Cost of fetching more, and the first gate that forbids it; None where the answer is full enough."""
-    if not (query.keywords or query.fields) or total >= query.limit:
+    if query.empty or total >= query.limit:
         return None
-    requests = 1 + 15 * pages
+    requests = 1 + PAGE_SIZE * pages
     seconds = requests * interval
     blocked = "disabled" if not enabled else "budget" if seconds > budget else "cooldown" if cooldown > 0 else ""
     return {"requests": requests, "seconds": seconds, "allowed": not blocked, "blocked": blocked}
 
 
+def fetch_estimates(pages: Column, interval: float, enabled: Column, budget: float, cooldown: Column) -> Column:
+    """fetch_estimate as a struct column (requests, seconds, blocked)."""
+    requests = F.lit(1) + F.lit(PAGE_SIZE) * pages
+    seconds = requests * interval
+    blocked = F.when(~enabled, "disabled").when(seconds > budget, "budget").when(cooldown > 0, "cooldown").otherwise("")
+    return F.struct(requests.alias("requests"), seconds.alias("seconds"), blocked.alias("blocked"))
+
+
+def cooldown_left(now: Column, last: Column, cooldown: int) -> Column:
+    """Whole seconds until a fetch is allowed again."""
+    return F.greatest(F.lit(0), F.lit(cooldown) - (F.unix_timestamp(now) - F.unix_timestamp(last))).cast("long")
+
+
 def keyword_candidates(text: Column) -> Column:
     """Runs of letters and digits, longest first, each followed by its suffixes of two or more characters."""
     runs = F.regexp_extract_all(text, F.lit("[0-9A-Za-z一-鿿]+"), 0)

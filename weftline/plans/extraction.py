@@ -46,16 +46,17 @@ def html_text(spark, d):
 
 
 def html_title(spark, d):
-    return table(spark, d, "pages").select("page_id", F.regexp_extract("html", r"<h1[^>]*>([^<]*)</h1>", 1).alias("title"))
+    return clean_pages(table(spark, d, "pages"), "page_id", "url", "html").select("page_id", "title")
 
 
 def html_links(spark, d):
-    return table(spark, d, "pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit('href="([^"]*)"'), 1)).alias("href"))
+    links = clean_pages(table(spark, d, "pages"), "page_id", "url", "html").select("page_id", F.explode("links").alias("l"))
+    return links.select("page_id", "l.url", "l.title")
 
 
 def regex_first_evidence(spark, d):
-    hit = T.match_first(F.col("text"), _YEARS)
-    return table(spark, d, "documents").select("doc_id", hit.alias("h")).where("h is not null").select("doc_id", "h.value", "h.evidence")
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return T.once(docs, h=T.match_first(F.col("text"), _YEARS)).where("h is not null").select("doc_id", "h.value", "h.evidence")
 
 
 _WINDOW = "trim(substr(text, greatest({at} - 14, 1), {at} + {n} + 14 - greatest({at} - 14, 1)))"
@@ -70,8 +71,8 @@ def _first_sql() -> str:
 
 
 def lexicon_match(spark, d):
-    hits = L.matches(F.col("text"), LEXICON)
-    return table(spark, d, "documents").select("doc_id", F.explode(hits).alias("h")).select("doc_id", "h.standard", "h.evidence")
+    docs = T.once(table(spark, d, "documents").select("doc_id", "text"), hits=L.matches(F.col("text"), LEXICON))
+    return docs.select("doc_id", F.explode("hits").alias("h")).select("doc_id", "h.standard", "h.evidence")
 
 
 _MATCH_SQL = f"""WITH lex(spelling, standard, rank) AS (VALUES {_VALUES}), m AS (
@@ -80,8 +81,8 @@ _MATCH_SQL = f"""WITH lex(spelling, standard, rank) AS (VALUES {_VALUES}), m AS
 
 
 def lexicon_best(spark, d):
-    hit = L.best(L.matches(F.col("text"), LEXICON))
-    return table(spark, d, "documents").select("doc_id", hit.alias("h")).where("h is not null").select("doc_id", F.col("h.value").alias("standard"), "h.evidence")
+    docs = T.once(table(spark, d, "documents").select("doc_id", "text"), m=L.matches(F.col("text"), LEXICON))
+    return T.once(docs, h=L.best(F.col("m"))).where("h is not null").select("doc_id", F.col("h.value").alias("standard"), "h.evidence")
 
 
 def context_excluding_match(spark, d):
@@ -90,14 +91,20 @@ def context_excluding_match(spark, d):
 
 
 def cue_suffix_extract(spark, d):
-    value = F.regexp_extract("text", _CUE, 1)
-    return table(spark, d, "documents").select("doc_id", value.alias("value"))
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    hit = T.match_first(F.col("text"), X.patterns({}, {"employer": ["(", _CUE]})["employer"])  # the first does not compile and is skipped
+    return T.once(docs, h=hit).select("doc_id", F.coalesce("h.value", F.lit("")).alias("value"))
+
+
+def _hits(name, **values):
+    """A struct of hits with the given fields, the others null."""
+    return F.struct(*[F.when(values[f].isNotNull(), F.struct(values[f].alias("value"), F.lit("e").alias("evidence"))).cast(X.HIT).alias(f) if f in values else F.lit(None).cast(X.HIT).alias(f) for f in T.CORE_FIELDS]).alias(name)
 
 
 def hit_merge(spark, d):
     rule, model = F.when(F.col("lang") == "en", F.lit("english")), F.when(T.fold_missing(F.col("quality")) != T.MISSING, F.col("quality"))
-    kind = F.when(rule.isNotNull() & model.isNotNull(), "hybrid").when(rule.isNotNull(), "rule").when(model.isNotNull(), "llm").otherwise("none")
-    return labelled(spark, d).select("doc_id", F.coalesce(model, rule, F.lit(T.MISSING)).alias("value"), kind.alias("method"))
+    rows = labelled(spark, d).select("doc_id", _hits("rules", city=rule, grade=rule), _hits("said", city=model))
+    return X.merge_hits(rows, ["rules", "said"], ["rule", "llm"]).select("doc_id", F.col("city").alias("value"), "grade", F.col("extract_method").alias("method"), "evidence")
 
 
 def evidence_substring_check(spark, d):
@@ -117,14 +124,23 @@ def whitespace_squeeze(spark, d):
 
 
 def hit_acceptance(spark, d):
-    first, second = F.regexp_extract("text", r"(License)", 1), F.col("source")
-    value = F.coalesce(F.when(first != "", first), F.when(~T.is_missing(second), second))
-    return table(spark, d, "documents").select("doc_id", value.alias("value"))
+    """Values that are not missing, with evidence that is not blank."""
+    evidence = F.when(F.col("lang") == "en", F.col("source")).otherwise(F.lit(" \u3000"))
+    return labelled(spark, d).select("doc_id", X.accepted(F.col("quality"), F.col("quality"), evidence).alias("value"))
 
 
 def fallback_trigger(spark, d):
     n = sum((F.contains("text", F.lit(w)).cast("int") for w in ("the", "was", "License")), F.lit(0))
-    return table(spark, d, "documents").select("doc_id", n.alias("hits"), (n < 2).alias("fallback"))
+    return table(spark, d, "documents").select("doc_id", n.alias("hits"), X.needs_model(n, F.lit(3) - n, 2).alias("fallback"))
+
+
+def reply_validation(spark, d):
+    """Replies of a model that quotes the text, invents, or answers nothing; only quoted evidence counts."""
+    docs = table(spark, d, "documents").select("doc_id", "text", "lang", "source")
+    quoted = F.to_json(F.struct(F.struct(F.col("lang").alias("value"), F.left(F.trim("text"), F.lit(12)).alias("evidence")).alias("city"), F.struct(F.lit("x").alias("value"), F.lit("#not there#").alias("evidence")).alias("major"), F.struct(F.lit("-").alias("value"), F.lit("the").alias("evidence")).alias("degree")))
+    reply = F.when(F.col("lang") == "en", F.concat(F.lit("```json\n"), quoted, F.lit("\n```"))).when(F.col("lang") == "fr", quoted).otherwise(F.lit("no idea"))
+    hits = T.once(docs, h=X.reply_hits(reply, F.col("text")))
+    return hits.select("doc_id", F.col("h.city.value").alias("city"), F.col("h.major.value").alias("major"), F.col("h.degree.value").alias("degree"))
 
 
 def prompt_truncate(spark, d):
@@ -132,21 +148,24 @@ def prompt_truncate(spark, d):
 
 
 def cached_text_rerun(spark, d):
-    docs = labelled(spark, d)
-    both = F.concat_ws("\n", "text", F.when(F.col("quality") != " - ", F.concat(F.lit("quality "), F.col("quality"))))
-    return docs.select("doc_id", F.regexp_extract(both, r"quality (\d)", 1).alias("value"), F.length(both).cast("long").alias("n"))
+    """Texts with what a cache holds for them, and the rules run over both."""
+    docs = labelled(spark, d).withColumn("more", F.when(F.col("quality") != " - ", F.concat(F.lit("quality "), F.col("quality"), F.lit(" "))))
+    docs = T.once(docs.select("doc_id", X.with_image_text(F.col("text"), F.col("more")).alias("both")), h=T.match_first(F.col("both"), [r"quality (\d)"]))
+    return docs.select("doc_id", F.coalesce("h.value", F.lit("")).alias("value"), F.length("both").cast("long").alias("n"))
 
 
 def cache_stats(spark, d):
-    return labelled(spark, d).groupBy((F.col("quality") != " - ").alias("cached")).agg(F.count("*").alias("n"))
+    return labelled(spark, d).agg(*[c.alias(n) for n, c in X.cache_counts(F.col("quality") != " - ").items()])
+
+
+#: A lexicon over squeezed Latin text: one value a field, so that the longest evidence is no matter.
+_LATIN = {"grade": {"article": ("the", "une", "der")}, "degree": {"license": ("License", "licensed")}, "major": {"verb": ("was",)}, "cities": {"ander": ("anders",), "ten": ()}}
 
 
 def extract_records(spark, d):
-    text = F.col("text")
-    year, lic, cue = T.match_first(text, _YEARS), L.best(L.matches(text, LEXICON)), F.regexp_extract(text, _CUE, 1)
-    out = table(spark, d, "documents").select("doc_id", F.coalesce(year["value"], F.lit(T.MISSING)).alias("year"), F.coalesce(lic["value"], F.lit(T.MISSING)).alias("term"), F.when(cue == "", T.MISSING).otherwise(cue).alias("employer"))
-    n = sum(((F.col(c) != T.MISSING).cast("int") for c in ("year", "term", "employer")), F.lit(0))
-    return out.withColumn("filled", n)
+    more = {"graduation_year": [r"(\d{4})-", r"(\d{4})"], "employer": [r"(?:the|de|der)([A-Za-z0-9]{2,30}?(?:tion|ment|ung))"]}
+    got = X.extract(table(spark, d, "documents"), "source", "text", _LATIN, more)
+    return got.select("doc_id", "graduation_year", "grade", "degree", "major", "city", "employer", "extract_method")
 
 
 def chinese_rules(spark, d):
@@ -169,9 +188,11 @@ def date_normalize(spark, d):
 
 _MISSING_LIST = ", ".join(f"'{t}'" for t in ("", T.MISSING, *T.MISSING_TOKENS))
 _FOLD = f"CASE WHEN trim(quality) IN ({_MISSING_LIST}) THEN '{T.MISSING}' ELSE trim(quality) END"
-_EXTRACT_SQL = f"""WITH y AS ({_first_sql()}), m AS ({_MATCH_SQL}), b AS (SELECT doc_id, standard FROM m QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length(evidence) DESC, standard) = 1),
-    r AS (SELECT d.doc_id, coalesce(y.value, '{T.MISSING}') AS year, coalesce(b.standard, '{T.MISSING}') AS term, coalesce(nullif(regexp_extract(d.text, '{_CUE}', 1), ''), '{T.MISSING}') AS employer FROM documents d LEFT JOIN y USING (doc_id) LEFT JOIN b USING (doc_id))
-    SELECT *, CAST(year <> '{T.MISSING}' AS INT) + CAST(term <> '{T.MISSING}' AS INT) + CAST(employer <> '{T.MISSING}' AS INT) AS filled FROM r"""
+_EXTRACT_SQL = f"""WITH t AS (SELECT doc_id, regexp_replace(source, '\\s+', '', 'g') AS h, regexp_replace(text, '\\s+', '', 'g') AS b FROM documents), a AS (SELECT doc_id, h, b, h || b AS t FROM t),
+    r AS (SELECT doc_id, CASE WHEN regexp_matches(b, '\\d{{4}}-') THEN regexp_extract(b, '(\\d{{4}})-', 1) WHEN regexp_matches(b, '\\d{{4}}') THEN regexp_extract(b, '(\\d{{4}})', 1) WHEN regexp_matches(h, '\\d{{4}}') THEN regexp_extract(h, '(\\d{{4}})', 1) END AS graduation_year,
+    CASE WHEN contains(t, 'the') OR contains(t, 'une') OR contains(t, 'der') OR contains(t, 'article') THEN 'article' END AS grade, CASE WHEN contains(t, 'License') OR contains(t, 'licensed') OR contains(t, 'license') THEN 'license' END AS degree,
+    CASE WHEN contains(t, 'was') OR contains(t, 'verb') THEN 'verb' END AS major, CASE WHEN contains(t, 'ander') THEN 'ander' WHEN contains(t, 'ten') THEN 'ten' END AS city, nullif(regexp_extract(b, '(?:the|de|der)([A-Za-z0-9]{{2,30}}?(?:tion|ment|ung))', 1), '') AS employer FROM a)
+    SELECT doc_id, {", ".join(f"coalesce({f}, '{T.MISSING}') AS {f}" for f in ("graduation_year", "grade", "degree", "major", "city", "employer"))}, CASE WHEN coalesce(graduation_year, grade, degree, major, city, employer) IS NULL THEN 'none' ELSE 'rule' END AS extract_method FROM r"""
 
 QUERIES = {
     "missing_fold": (missing_fold, f"SELECT doc_id, {_FOLD} AS quality FROM {LABELLED_SQL}"),
@@ -184,23 +205,24 @@ QUERIES = {
     CASE WHEN len(l) >= 3 THEN l[len(l)] ELSE '' END AS tail, text AS raw FROM p"""),
     "html_text": (html_text, None),
     "page_completeness": (page_completeness, None),
-    "html_title": (html_title, "SELECT page_id, regexp_extract(html, '<h1[^>]*>([^<]*)</h1>', 1) AS title FROM pages"),
-    "html_links": (html_links, "SELECT page_id, unnest(regexp_extract_all(html, 'href=\"([^\"]*)\"', 1)) AS href FROM pages"),
+    "html_title": (html_title, "SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(regexp_extract(html, '<h1[^>]*>([^<]*)</h1>', 1), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&'), '[ \\t\\r\\f\\v]+', ' ', 'g')) AS title FROM pages"),
+    "html_links": (html_links, "WITH l AS (SELECT page_id, url AS page, unnest(regexp_extract_all(html, '<a href=\"([^\"]*)\">', 1)) AS href, unnest(regexp_extract_all(html, '<a href=\"[^\"]*\">([^<]*)</a>', 1)) AS title FROM pages) SELECT page_id, regexp_extract(page, '^https?://[^/]+') || href AS url, title FROM l WHERE starts_with(href, '/') AND NOT contains(lower(href), '/login') AND NOT contains(lower(href), '/logout')"),
     "regex_first_evidence": (regex_first_evidence, _first_sql()),
     "lexicon_match": (lexicon_match, _MATCH_SQL),
     "lexicon_best": (lexicon_best, f"WITH m AS ({_MATCH_SQL}) SELECT doc_id, standard, evidence FROM m QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length(evidence) DESC, standard) = 1"),
     "context_excluding_match": (context_excluding_match, "SELECT doc_id, CASE WHEN regexp_matches(regexp_replace(text, 'ander(ing|tion|\\.)', '#', 'g'), 'ander') THEN 'on' WHEN regexp_matches(regexp_replace(text, 'ed(ing|tion|\\.)', '#', 'g'), 'ed') THEN 'off' WHEN regexp_matches(regexp_replace(text, 'off(ing|tion|\\.)', '#', 'g'), 'off') THEN 'off' WHEN regexp_matches(regexp_replace(text, 'on(ing|tion|\\.)', '#', 'g'), 'on') THEN 'on' END AS value FROM documents"),
     "cue_suffix_extract": (cue_suffix_extract, f"SELECT doc_id, regexp_extract(text, '{_CUE}', 1) AS value FROM documents"),
-    "hit_merge": (hit_merge, f"WITH a AS (SELECT doc_id, CASE WHEN lang = 'en' THEN 'english' END AS r, nullif({_FOLD}, '{T.MISSING}') AS m FROM {LABELLED_SQL}) SELECT doc_id, coalesce(m, r, '{T.MISSING}') AS value, CASE WHEN r IS NOT NULL AND m IS NOT NULL THEN 'hybrid' WHEN r IS NOT NULL THEN 'rule' WHEN m IS NOT NULL THEN 'llm' ELSE 'none' END AS method FROM a"),
+    "hit_merge": (hit_merge, f"WITH a AS (SELECT doc_id, CASE WHEN lang = 'en' THEN 'english' END AS r, nullif({_FOLD}, '{T.MISSING}') AS m FROM {LABELLED_SQL}) SELECT doc_id, coalesce(m, r, '{T.MISSING}') AS value, coalesce(r, '{T.MISSING}') AS grade, CASE WHEN r IS NOT NULL AND m IS NOT NULL THEN 'hybrid' WHEN r IS NOT NULL THEN 'rule' WHEN m IS NOT NULL THEN 'llm' ELSE 'none' END AS method, concat_ws(' | ', 'grade=' || r || ' ← e', 'city=' || coalesce(m, r) || ' ← e') AS evidence FROM a"),
     "evidence_substring_check": (evidence_substring_check, "SELECT conv_id, turn, contains(regexp_replace(text, '\\s+', '', 'g'), 'theth') AS supported FROM conversations"),
     "cache_anti_join": (cache_anti_join, "SELECT doc_id, n_chars FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)"),
     "content_kind": (content_kind, "SELECT doc_id, CASE WHEN length(regexp_replace(text, '\\s+', '', 'g')) >= 200 THEN 'html' WHEN lang = 'en' THEN 'ocr' ELSE 'html' END AS kind FROM documents"),
     "whitespace_squeeze": (whitespace_squeeze, "SELECT conv_id, turn, regexp_replace(text, '\\s+', '', 'g') AS text FROM conversations"),
-    "hit_acceptance": (hit_acceptance, "SELECT doc_id, CASE WHEN contains(text, 'License') THEN 'License' ELSE source END AS value FROM documents"),
+    "hit_acceptance": (hit_acceptance, f"SELECT doc_id, CASE WHEN {_FOLD} <> '{T.MISSING}' AND lang = 'en' THEN quality END AS value FROM {LABELLED_SQL}"),
     "fallback_trigger": (fallback_trigger, "WITH a AS (SELECT doc_id, CAST(contains(text, 'the') AS INT) + CAST(contains(text, 'was') AS INT) + CAST(contains(text, 'License') AS INT) AS hits FROM documents) SELECT doc_id, hits, hits < 2 AS fallback FROM a"),
+    "reply_validation": (reply_validation, "SELECT doc_id, CASE WHEN lang IN ('en', 'fr') AND length(regexp_replace(left(trim(text), 12), '\\s+', '', 'g')) > 0 THEN lang END AS city, CAST(NULL AS VARCHAR) AS major, CAST(NULL AS VARCHAR) AS degree FROM documents"),
     "prompt_truncate": (prompt_truncate, "WITH a AS (SELECT doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS t FROM documents) SELECT doc_id, CASE WHEN length(t) > 600 THEN left(t, 300) || chr(10) || '……（中间省略 ' || CAST(length(t) - 600 AS VARCHAR) || ' 字）……' || chr(10) || right(t, 300) ELSE t END AS body FROM a"),
-    "cached_text_rerun": (cached_text_rerun, f"WITH a AS (SELECT doc_id, text || CASE WHEN quality <> ' - ' THEN chr(10) || 'quality ' || quality ELSE '' END AS t FROM {LABELLED_SQL}) SELECT doc_id, regexp_extract(t, 'quality (\\d)', 1) AS value, length(t) AS n FROM a"),
-    "cache_stats": (cache_stats, f"SELECT quality <> ' - ' AS cached, count(*) AS n FROM {LABELLED_SQL} GROUP BY 1"),
+    "cached_text_rerun": (cached_text_rerun, f"WITH a AS (SELECT doc_id, regexp_replace(text || CASE WHEN quality <> ' - ' THEN chr(10) || 'quality ' || quality ELSE '' END, '^\\s+|\\s+$', '', 'g') AS t FROM {LABELLED_SQL}) SELECT doc_id, regexp_extract(t, 'quality (\\d)', 1) AS value, length(t) AS n FROM a"),
+    "cache_stats": (cache_stats, f"SELECT count(*) FILTER (quality <> ' - ') AS ocr_cached, count(*) FILTER (quality = ' - ') AS ocr_computed FROM {LABELLED_SQL}"),
     "extract_records": (extract_records, _EXTRACT_SQL),
     "chinese_rules": (chinese_rules, None),
     "date_normalize": (date_normalize, "SELECT o_orderkey, strftime(o_orderdate + INTERVAL 10 YEAR, '%Y-%m-%d') AS day FROM orders"),

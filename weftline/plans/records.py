@@ -20,9 +20,8 @@ def manifest_last_wins(spark, d):
 
 def upsert_by_key(spark, d):
     o = table(spark, d, "orders")
-    old = o.where("o_orderkey % 3 <> 0").select("o_orderkey", F.lit("old").alias("status"))
-    new = o.where("o_orderkey % 2 = 0").select("o_orderkey", F.lit("new").alias("status"))
-    return R.upsert(old, new, "o_orderkey")
+    new = o.where("o_orderstatus = 'F'").select("o_orderkey", F.lit("new").alias("status"))
+    return R.upsert(o.select("o_orderkey", F.lit("old").alias("status")), new, "o_orderkey")
 
 
 def review_update(spark, d):
@@ -31,7 +30,7 @@ def review_update(spark, d):
 
 
 def existing_urls(spark, d):
-    return table(spark, d, "pages").select("url").where("url <> ''").distinct()
+    return R.distinct_values(table(spark, d, "pages"), "url")
 
 
 def manual_review_rows(spark, d):
@@ -44,8 +43,7 @@ def completeness(spark, d):
 
 
 def unknown_counts(spark, d):
-    n = F.size(R.unknown_fields(FIELDS))
-    return labelled(spark, d).agg(F.sum(n).alias("unknown_total"), F.sum((n == 0).cast("int")).alias("complete"), F.sum((n > 0).cast("int")).alias("manual_review"))
+    return R.unknown_totals(labelled(spark, d), FIELDS)
 
 
 def method_distribution(spark, d):
@@ -67,8 +65,31 @@ def related_terms(spark, d):
 
 
 def stage_counters(spark, d):
-    e = table(spark, d, "events")
-    return e.agg(F.count("*").alias("seen"), F.count_if(F.col("value") > 50).alias("high"), F.count_if(F.col("event_type") == "click").alias("clicks"), F.countDistinct("user_id").alias("users"))
+    return R.counters(table(spark, d, "events"), {"seen": F.lit(True), "high": F.col("value") > 50, "clicks": F.col("event_type") == "click"})
+
+
+def hit_source(spark, d):
+    """Hits of documents by field and method, one struct a field."""
+    def hit(name, when, method):
+        return F.when(when, F.struct(F.lit("v").alias("value"), F.lit(method).alias("method"))).alias(name)
+
+    hits = F.struct(hit("lang", F.col("lang") == "en", "rule"), hit("source", F.col("n_chars") > 1000, "llm"))
+    return R.hit_source(table(spark, d, "documents").select(hits.alias("hits")), "hits", ["lang", "source"])
+
+
+def report_cards(spark, d):
+    rows = labelled(spark, d).withColumn("article_key", F.col("doc_id").cast("string"))
+    entries = table(spark, d, "pages").select(
+        F.col("page_id").cast("string").alias("article_key"),
+        F.when(F.col("page_id") % 3 == 0, F.col("url")).alias("content_url"),
+        F.when(F.length("html") > 4000, F.lit("p")).otherwise("").alias("html_path"),
+        F.array_repeat(F.lit("i"), (F.col("page_id") % 4).cast("int")).alias("images"),
+    )
+    return R.report_cards(rows, entries, FIELDS)
+
+
+def report_order(spark, d):
+    return R.report_order(labelled(spark, d), FIELDS, "doc_id").select("doc_id", "hits")
 
 
 def report_join(spark, d):
@@ -110,7 +131,7 @@ def review_sample(spark, d):
 
 
 def scan_sorted(spark, d):
-    return table(spark, d, "orders").orderBy(F.desc("o_orderdate"), F.asc("o_orderkey")).limit(50).select("o_orderkey", "o_custkey")
+    return R.scan_order(table(spark, d, "orders"), "o_orderdate", "o_orderkey").limit(50).select("o_orderkey", "o_custkey")
 
 
 def count_rows(spark, d):
@@ -121,11 +142,6 @@ def row_projection(spark, d):
     return projected(table(spark, d, "labels"), ["doc_id", "quality", "absent"])
 
 
-def archive_join(spark, d):
-    docs = table(spark, d, "documents").select(F.col("doc_id").alias("page_id"), "n_chars")
-    return table(spark, d, "pages").select("page_id", "url").join(docs, "page_id", "left").where("n_chars is not null")
-
-
 def union_dedup(spark, d):
     o = table(spark, d, "orders")
     both = o.where("o_orderstatus = 'F'").select(F.col("o_custkey").cast("string").alias("k"), F.lit(1).alias("side"), "o_orderkey").unionByName(o.where("o_totalprice > 100000").select(F.col("o_custkey").cast("string").alias("k"), F.lit(2).alias("side"), "o_orderkey"))
@@ -138,11 +154,11 @@ def cross_page_dedup(spark, d):
 
 def word_union(spark, d):
     p = table(spark, d, "part")
-    return p.select(F.col("p_brand").alias("word")).union(p.select("p_type")).distinct()
+    return R.value_union(p.select("p_brand"), p.select("p_type"), "word")
 
 
 def latest_row(spark, d):
-    return table(spark, d, "events").agg(F.max_by("event_id", F.struct("ts", "event_id")).alias("event_id"))
+    return R.latest(table(spark, d, "events"), ["ts", "event_id"]).select("event_id")
 
 
 def completeness_text(spark, d):
@@ -151,7 +167,7 @@ def completeness_text(spark, d):
 
 
 def benchmark_times(spark, d):
-    return table(spark, d, "events").groupBy("event_type").agg(F.min("value").alias("best"), F.round(F.percentile("value", F.lit(0.5)), 6).alias("median"))
+    return R.times(table(spark, d, "events"), "event_type", "value")
 
 
 _Q = f"trim(quality) = '-' OR trim(quality) = ''"
@@ -165,7 +181,7 @@ def _facet_sql(columns, k):
 QUERIES = {
     "dedup_keep_first": (dedup_keep_first, "SELECT event_type, event_id FROM events QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) = 1"),
     "manifest_last_wins": (manifest_last_wins, "SELECT user_id, event_type, event_id, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1"),
-    "upsert_by_key": (upsert_by_key, "SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 'new' ELSE 'old' END AS status FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 <> 0"),
+    "upsert_by_key": (upsert_by_key, "SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'new' ELSE 'old' END AS status FROM orders"),
     "review_update": (review_update, "SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'approved' ELSE 'pending' END AS review_status FROM orders"),
     "existing_urls": (existing_urls, "SELECT DISTINCT url FROM pages WHERE url <> ''"),
     "manual_review_rows": (manual_review_rows, f"SELECT doc_id, 'quality' AS unknown FROM {LABELLED_SQL} WHERE {_Q}"),
@@ -175,7 +191,10 @@ QUERIES = {
     "field_source": (field_source, "SELECT 'o_orderpriority' AS field, count(*) FILTER (o_orderstatus = 'F') AS rule, count(*) FILTER (o_orderstatus = 'O') AS llm FROM orders UNION ALL SELECT 'urgent', count(*) FILTER (o_orderstatus = 'F' AND o_orderpriority LIKE '1%'), count(*) FILTER (o_orderstatus = 'O' AND o_orderpriority LIKE '1%') FROM orders"),
     "facet_topn": (facet_topn, _facet_sql(["p_brand", "p_type", "p_size"], 5)),
     "related_terms": (related_terms, _facet_sql(["p_brand", "p_type"], 50).replace("GROUP BY value", "WHERE lower(value) <> 'brand#11' GROUP BY value ORDER BY n DESC, value LIMIT 8")),
-    "stage_counters": (stage_counters, "SELECT count(*) AS seen, count(*) FILTER (value > 50) AS high, count(*) FILTER (event_type = 'click') AS clicks, count(DISTINCT user_id) AS users FROM events"),
+    "stage_counters": (stage_counters, "SELECT count(*) AS seen, count(*) FILTER (value > 50) AS high, count(*) FILTER (event_type = 'click') AS clicks FROM events"),
+    "hit_source": (hit_source, "SELECT 'lang' AS field, 'rule' AS method, count(*) AS n FROM documents WHERE lang = 'en' UNION ALL SELECT 'source', 'llm', count(*) FROM documents WHERE n_chars > 1000"),
+    "report_cards": (report_cards, f"SELECT * FROM (SELECT count(*) AS total, count(*) FILTER (u) AS external, count(*) FILTER (NOT q) AS complete, count(*) FILTER (q) AS manual FROM (SELECT page_id IS NOT NULL AND page_id % 3 = 0 AND length(url) > 0 AS u, {_Q} AS q FROM {LABELLED_SQL} r LEFT JOIN pages ON page_id = doc_id)), (SELECT count(*) FILTER (length(html) > 4000) AS archived, CAST(sum(page_id % 4) AS BIGINT) AS images FROM pages)"),
+    "report_order": (report_order, f"SELECT doc_id, CASE WHEN {_Q} THEN CAST(2 AS INT) ELSE CAST(3 AS INT) END AS hits FROM {LABELLED_SQL}"),
     "report_join": (report_join, "SELECT c_custkey, c_mktsegment, count(o_orderkey) AS n_orders, coalesce(round(sum(o_totalprice), 2), 0.0) AS total FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY 1, 2"),
     "validation_issues": (validation_issues, f"{_VALID_SQL} SELECT * FROM i"),
     "validation_summary": (validation_summary, f"{_VALID_SQL}, s AS (SELECT c.c_custkey, NOT coalesce(bool_or(severity = 'error'), false) AS ok, coalesce(bool_or(severity = 'error' OR code IN ('EXTRACT_INCOMPLETE', 'OCR_NEEDS_REVIEW')), false) AS needs_review FROM c LEFT JOIN i USING (c_custkey) GROUP BY 1) SELECT ok, needs_review, count(*) AS n FROM s GROUP BY 1, 2"),
@@ -183,7 +202,6 @@ QUERIES = {
     "scan_sorted": (scan_sorted, "SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderdate DESC, o_orderkey LIMIT 50"),
     "count_rows": (count_rows, "SELECT count(*) AS n FROM orders"),
     "row_projection": (row_projection, "SELECT CAST(doc_id AS VARCHAR) AS doc_id, coalesce(CAST(quality AS VARCHAR), '') AS quality, '' AS absent FROM labels"),
-    "archive_join": (archive_join, "SELECT page_id, url, n_chars FROM pages JOIN documents ON doc_id = page_id WHERE n_chars IS NOT NULL"),
     "union_dedup": (union_dedup, "SELECT k, side, o_orderkey FROM (SELECT CAST(o_custkey AS VARCHAR) AS k, 1 AS side, o_orderkey FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT CAST(o_custkey AS VARCHAR), 2, o_orderkey FROM orders WHERE o_totalprice > 100000) QUALIFY row_number() OVER (PARTITION BY k ORDER BY side, o_orderkey) = 1"),
     "cross_page_dedup": (cross_page_dedup, "SELECT o_orderpriority, min(o_orderkey) AS o_orderkey FROM orders GROUP BY 1"),
     "word_union": (word_union, "SELECT p_brand AS word FROM part UNION SELECT p_type FROM part"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from weftline.functions.text import MISSING
+from weftline.operators import records as R
 from weftline.operators import search as S
 from weftline.plans.common import LABELLED_SQL, labelled, table
 
@@ -59,7 +60,39 @@ def count_matching(spark, d):
 
 
 def trigram_search(spark, d):
-    return table(spark, d, "documents").where(F.contains(F.lower("text"), F.lit("tion"))).select("doc_id")
+    return _rounded(S.bm25(table(spark, d, "documents"), "doc_id", "text", ["tion", "the"], tokenizer="trigram"))
+
+
+def _trigram_sql(parts: list[str]) -> str:
+    fs = ", ".join(f"len(list_filter(range(1, length(t) + 1), lambda i: substr(t, i, {len(p)}) = '{p}')) AS f{i}" for i, p in enumerate(parts))
+    ns = ", ".join(f"count(*) FILTER (f{i} > 0) AS n{i}" for i in range(len(parts)))
+    score = " + ".join(f"greatest(ln((n - n{i} + 0.5) / (n{i} + 0.5)), 1e-6) * f{i} * 2.2 / (f{i} + 1.2 * (0.25 + 0.75 * dl / avgdl))" for i in range(len(parts)))
+    return f"""WITH k AS (SELECT doc_id, lower(text) AS t FROM documents), r AS (SELECT doc_id, greatest(length(t) - 2, 0) AS dl, {fs} FROM k), s AS (SELECT count(*) AS n, avg(dl) AS avgdl, {ns} FROM r)
+    SELECT doc_id, round(-({score}), 6) AS score FROM r, s WHERE {" AND ".join(f"f{i} > 0" for i in range(len(parts)))}"""
+
+
+def _articles(spark, d):
+    """Documents in the shape that search reads."""
+    docs = table(spark, d, "documents")
+    return docs.select(F.col("doc_id").cast("string").alias("article_key"), F.col("source").alias("article_title"), F.col("lang").alias("city"), F.left("text", F.lit(400)).alias("evidence"), F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("crawl_time"), F.col("source").alias("source_url"))
+
+
+def search_page(spark, d):
+    """A page of full-text results within one language."""
+    found = S.search(_articles(spark, d), S.Query(("the",), {"city": "en"}, limit=7, offset=2))
+    return found.select("article_key", F.round("score", 6).alias("score"))
+
+
+def search_substring(spark, d):
+    """The word is no token of any text, so it is looked for as a substring, newest first."""
+    found = S.search(_articles(spark, d), S.Query(("rc3",), raw_text="rc3", limit=9))
+    return found.select("article_key", "score")
+
+
+_ARTICLES = "(SELECT CAST(doc_id AS VARCHAR) AS article_key, doc_id, source, lang, concat_ws(' ', trim(source), trim(source), trim(lang), nullif(trim(left(text, 400)), '')) AS t, text FROM documents)"
+_SEARCH_PAGE = f"""WITH k AS (SELECT article_key, lang, doc_id, regexp_extract_all(strip_accents(lower(t)), '[\\p{{L}}\\p{{N}}]+') AS w FROM {_ARTICLES}), r AS (SELECT *, len(w) AS dl, len(list_filter(w, lambda x: x = 'the')) AS f FROM k),
+    s AS (SELECT count(*) AS n, avg(dl) AS avgdl, count(*) FILTER (f > 0) AS df FROM r)
+    SELECT article_key, round(raw, 6) AS score FROM (SELECT article_key, doc_id, -(greatest(ln((n - df + 0.5) / (df + 0.5)), 1e-6) * f * 2.2 / (f + 1.2 * (0.25 + 0.75 * dl / avgdl))) AS raw FROM r, s WHERE f > 0 AND lang LIKE '%en%') ORDER BY raw, doc_id DESC LIMIT 7 OFFSET 2"""
 
 
 def highlights(spark, d):
@@ -78,22 +111,19 @@ _SNIPPET = f"""WITH a AS (SELECT page_id, trim(html) AS t, strpos(trim(html), '<
 
 
 def hit_projection(spark, d):
-    title = F.when(F.col("quality") == " - ", "").otherwise(F.col("source"))
-    return labelled(spark, d).select("doc_id", F.when(title == "", "(无标题)").otherwise(title).alias("title"), F.when(F.trim("quality") == "-", MISSING).otherwise(F.col("quality")).alias("quality"))
+    rows = labelled(spark, d).withColumn("title", F.when(F.col("quality") == " - ", "").otherwise(F.col("source")))
+    return S.hits(rows, "doc_id", "title", ["quality"])
 
 
 def cache_key(spark, d):
-    raw = F.concat(F.lit('{"kw": ["'), F.col("event_type"), F.lit('"]}|v'), F.col("user_id").cast("string"))
-    return table(spark, d, "events").select("event_id", F.substring(F.sha2(raw, 256), 1, 32).alias("cache_key"))
+    payload = F.concat(F.lit('{"kw": ["'), F.col("event_type"), F.lit('"]}'))
+    return table(spark, d, "events").select("event_id", S.cache_keys(payload, F.col("user_id")).alias("cache_key"))
 
 
 def cache_prune(spark, d):
-    """What stays: rows of the newest half of the time span, then the 100 that were used last."""
-    from pyspark.sql import Window
-
-    e = table(spark, d, "events")
-    fresh = e.where("ts >= timestamp'2024-01-02 00:00:00'").withColumn("rank", F.row_number().over(Window.partitionBy("event_type").orderBy(F.desc("ts"), F.desc("event_id"))))
-    return fresh.where("rank <= 100").select("event_id", "event_type")
+    """What a cache of 100 rows keeps: none older than the age, and of the others those used last."""
+    kept = R.prune(table(spark, d, "events"), "ts", "value", F.lit("2024-01-02 00:00:00").cast("timestamp"), 100, "event_id")
+    return kept.select("event_id", "event_type")
 
 
 def keyword_candidates(spark, d):
@@ -106,23 +136,19 @@ _CANDIDATES = """WITH r AS (SELECT p_partkey, unnest(regexp_extract_all(p_name,
 
 
 def page_clamp(spark, d):
-    e = table(spark, d, "events").select("event_id", F.greatest(F.lit(1), F.least(F.col("value").cast("int") - 20, F.lit(50))).alias("size"), F.greatest(F.lit(0), F.col("event_id") - 100).alias("skip"))
-    return e
+    size, skip = S.clamped(F.col("value").cast("int") - 20, F.col("event_id") - 100, 50)
+    return table(spark, d, "events").select("event_id", size.alias("size"), skip.alias("skip"))
 
 
 def fetch_estimate(spark, d):
-    e = table(spark, d, "events")
-    requests = F.lit(1) + F.lit(15) * (F.col("event_id") % 5)
-    seconds = requests * 2.0
-    blocked = F.when(F.col("event_type") == "click", "disabled").when(seconds > 60, "budget").when(F.col("value") > 50, "cooldown").otherwise("")
-    return e.select("event_id", requests.alias("requests"), seconds.alias("seconds"), blocked.alias("blocked"))
+    found = S.fetch_estimates(F.col("event_id") % 5, 2.0, F.col("event_type") != "click", 60.0, F.col("value") - 50)
+    return table(spark, d, "events").select("event_id", found.alias("e")).select("event_id", "e.*")
 
 
 def cooldown_remaining(spark, d):
     """Seconds until each user may fetch again, at a fixed moment."""
     last = table(spark, d, "events").groupBy("user_id").agg(F.max("ts").alias("last"))
-    left = F.lit(86_400) - (F.unix_timestamp(F.lit("2024-02-01 00:00:00").cast("timestamp")) - F.unix_timestamp("last"))
-    return last.select("user_id", F.greatest(F.lit(0), left).cast("long").alias("remaining"))
+    return last.select("user_id", S.cooldown_left(F.lit("2024-02-01 00:00:00").cast("timestamp"), F.col("last"), 86_400).alias("remaining"))
 
 
 QUERIES = {
@@ -133,12 +159,14 @@ QUERIES = {
     "like_fallback": (like_fallback, "SELECT doc_id, 0.0::DOUBLE AS score FROM documents WHERE lower(text) LIKE '%ander%' OR lower(source) LIKE '%ander%' OR lower(text) LIKE '%src3%' OR lower(source) LIKE '%src3%'"),
     "field_filter": (field_filter, "SELECT doc_id, lang, source FROM documents WHERE lower(lang) LIKE '%e%' AND lower(source) LIKE '%src1%'"),
     "count_matching": (count_matching, "SELECT count(*) AS n FROM documents WHERE lower(text) LIKE '%license%'"),
-    "trigram_search": (trigram_search, "SELECT doc_id FROM documents WHERE contains(lower(text), 'tion')"),
+    "trigram_search": (trigram_search, _trigram_sql(["tion", "the"])),
+    "search_page": (search_page, _SEARCH_PAGE),
+    "search_substring": (search_substring, "SELECT CAST(doc_id AS VARCHAR) AS article_key, 0.0::DOUBLE AS score FROM documents WHERE contains(lower(source), 'rc3') OR contains(lower(lang), 'rc3') OR contains(lower(left(text, 400)), 'rc3') ORDER BY doc_id DESC LIMIT 9"),
     "highlights": (highlights, "SELECT doc_id, concat_ws(',', CASE WHEN contains(lang, 'en') OR contains(lang, 'src1') OR contains(lang, 'thing') THEN 'L' END, CASE WHEN contains(source, 'en') OR contains(source, 'src1') OR contains(source, 'thing') THEN 'S' END, CASE WHEN contains(text, 'en') OR contains(text, 'src1') OR contains(text, 'thing') THEN 'T' END) AS labels FROM documents"),
     "snippet": (snippet, _SNIPPET),
     "hit_projection": (hit_projection, f"SELECT doc_id, CASE WHEN quality = ' - ' THEN '(无标题)' ELSE source END AS title, CASE WHEN trim(quality) = '-' THEN '{MISSING}' ELSE quality END AS quality FROM {LABELLED_SQL}"),
     "cache_key": (cache_key, "SELECT event_id, left(sha256('{\"kw\": [\"' || event_type || '\"]}|v' || CAST(user_id AS VARCHAR)), 32) AS cache_key FROM events"),
-    "cache_prune": (cache_prune, "SELECT event_id, event_type FROM events WHERE ts >= TIMESTAMP '2024-01-02 00:00:00' QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) <= 100"),
+    "cache_prune": (cache_prune, "SELECT event_id, event_type FROM events WHERE ts >= TIMESTAMP '2024-01-02 00:00:00' ORDER BY value DESC, event_id DESC LIMIT 100"),
     "keyword_candidates": (keyword_candidates, _CANDIDATES),
     "page_clamp": (page_clamp, "SELECT event_id, greatest(1, least(CAST(trunc(value) AS INT) - 20, 50)) AS size, greatest(0, event_id - 100) AS skip FROM events"),
     "fetch_estimate": (fetch_estimate, "SELECT event_id, 1 + 15 * (event_id % 5) AS requests, (1 + 15 * (event_id % 5)) * 2.0::DOUBLE AS seconds, CASE WHEN event_type = 'click' THEN 'disabled' WHEN (1 + 15 * (event_id % 5)) * 2 > 60 THEN 'budget' WHEN value > 50 THEN 'cooldown' ELSE '' END AS blocked FROM events"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from weftline.functions import text as T
 from weftline.plans.common import table
 from weftline.sources import crawl as C
 
@@ -13,8 +14,9 @@ def json_dig(spark, d):
 
 
 def json_records_explode(spark, d):
-    e = table(spark, d, "events").select("event_id", F.from_json("props", "map<string,string>").alias("m"))
-    return e.select("event_id", F.explode("m").alias("key", "value"))
+    payload = F.to_json(F.struct(F.struct(F.array(F.struct("user_id", "event_type")).alias("records")).alias("data")))
+    e = table(spark, d, "events").select("event_id", F.explode(C.records_column(payload)).alias("r"))
+    return e.select("event_id", F.explode("r").alias("key", "value"))
 
 
 def payload_roundtrip(spark, d):
@@ -45,8 +47,7 @@ def url_template(spark, d):
 
 
 def title_filter(spark, d):
-    terms = F.array(F.lit("1"), F.lit("22"))
-    return table(spark, d, "part").where(F.exists(terms, lambda t: F.contains("p_name", t))).select("p_partkey", "p_name")
+    return table(spark, d, "part").where(C.title_matches(F.col("p_name"), ["red", "gear", " "])).select("p_partkey", "p_name")
 
 
 def ok_predicates(spark, d):
@@ -57,19 +58,43 @@ def ok_predicates(spark, d):
 
 def url_class(spark, d):
     landed = F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("https://SSO.example/"), F.col("url"))).otherwise(F.col("url"))
-    kind = F.when(F.lower("url").rlike(r"\.(png|jpe?g|gif|webp|bmp)$"), "image").when(C.looks_like_html(F.col("html")), "html").otherwise("other")
-    return table(spark, d, "pages").select("page_id", C.to_login(F.col("url"), landed).alias("login"), kind.alias("kind"))
+    return table(spark, d, "pages").select("page_id", C.to_login(F.col("url"), landed).alias("login"), C.kind_of(F.col("url"), F.col("html")).alias("kind"))
+
+
+def archive_replay(spark, d):
+    """Entries of which some have an archived page, joined by the path that follows from the URL."""
+    pages = table(spark, d, "pages")
+    entries = pages.select("page_id", T.html_path(F.col("url")).alias("html_path"))
+    archive = pages.where(F.length("html") > 4000).select(T.html_path(F.col("url")).alias("html_path"), "html").dropDuplicates(["html_path"])
+    return C.with_archive(entries, archive).select("page_id", "archived", F.length("html").cast("long").alias("n"))
+
+
+def manifest_lines(spark, d):
+    """Conversations written as manifest lines and read again: the last turn of each counts."""
+    t = table(spark, d, "conversations")
+    line = t.select("turn", F.struct(F.concat(F.lit("https://x/"), F.col("conv_id").cast("string")).alias("detail_url"), F.col("role").alias("title"), F.lit(200).alias("status_code")).alias("e"))
+    entries = C.manifest_entries(line.select(F.to_json("e").alias("value"), F.col("turn").alias("line_no")))
+    return entries.select("detail_url", "title", "status_code", "first_no")
+
+
+def api_query_window(spark, d):
+    """Windows of pages by the page number that the order's key gives."""
+    o = table(spark, d, "orders").select("o_orderkey", C.page_windows((F.col("o_orderkey") % 3 + 1).cast("int"), 20).alias("w"))
+    return o.select("o_orderkey", F.element_at("w", -1).alias("w")).select("o_orderkey", "w.page", "w.start", "w.end")
 
 
 QUERIES = {
     "json_dig": (json_dig, "SELECT event_id, json_extract_string(props, '$.k') AS k, json_extract_string(props, '$.a[0].b') AS absent FROM events"),
-    "json_records_explode": (json_records_explode, "SELECT event_id, unnest(json_keys(props)) AS key, json_extract_string(props, '$.' || unnest(json_keys(props))) AS value FROM events"),
+    "json_records_explode": (json_records_explode, "SELECT event_id, 'user_id' AS key, CAST(user_id AS VARCHAR) AS value FROM events UNION ALL SELECT event_id, 'event_type', event_type FROM events"),
     "payload_roundtrip": (payload_roundtrip, "SELECT event_id, user_id, event_type FROM events"),
     "paging_windows": (paging_windows, "SELECT o_orderkey, CAST(p AS INT) AS page, CAST((p - 1) * 15 AS INT) AS start, CAST(p * 15 AS INT) AS end FROM (SELECT o_orderkey, unnest(range(1, o_orderkey % 4 + 2)) AS p FROM orders)"),
     "api_query": (api_query, "SELECT o_orderkey, 'page=' || CAST(o_orderkey AS VARCHAR) || '&type=' || replace(url_encode(o_orderpriority), '%20', '+') || '&blank=' AS query FROM orders"),
     "total_pages": (total_pages, "SELECT event_id, CAST(CASE event_id % 3 WHEN 0 THEN user_id WHEN 1 THEN greatest(1, (event_id + 14) // 15) ELSE 0 END AS INT) AS pages FROM events"),
     "url_template": (url_template, "SELECT event_id, CASE WHEN event_type = 'click' THEN '' ELSE 'https://x/' || CAST(user_id AS VARCHAR) || '/' || event_type END AS url FROM events"),
-    "title_filter": (title_filter, "SELECT p_partkey, p_name FROM part WHERE strpos(p_name, '1') > 0 OR strpos(p_name, '22') > 0"),
+    "title_filter": (title_filter, "SELECT p_partkey, p_name FROM part WHERE strpos(p_name, 'red') > 0 OR strpos(p_name, 'gear') > 0"),
     "ok_predicates": (ok_predicates, "SELECT page_id, page_id % 5 <> 0 AND length(html) > 0 AND page_id % 7 <> 0 AS ok FROM pages"),
     "url_class": (url_class, "SELECT page_id, page_id % 2 = 0 AS login, CASE WHEN regexp_matches(lower(url), '\\.(png|jpe?g|gif|webp|bmp)$') THEN 'image' WHEN starts_with(lower(ltrim(html)), '<!doctype html') OR starts_with(lower(ltrim(html)), '<html') OR contains(lower(html), '</html>') THEN 'html' ELSE 'other' END AS kind FROM pages"),
+    "archive_replay": (archive_replay, "WITH p AS (SELECT page_id, left(sha1(trim(url)), 16) AS k, html FROM pages), a AS (SELECT k, any_value(html) AS html FROM p WHERE length(html) > 4000 GROUP BY k) SELECT page_id, a.html IS NOT NULL AS archived, length(a.html) AS n FROM p LEFT JOIN a USING (k)"),
+    "manifest_lines": (manifest_lines, "SELECT 'https://x/' || CAST(conv_id AS VARCHAR) AS detail_url, arg_max(role, turn) AS title, CAST(200 AS INT) AS status_code, min(turn) AS first_no FROM conversations GROUP BY conv_id"),
+    "api_query_window": (api_query_window, "SELECT o_orderkey, CAST(o_orderkey % 3 + 1 AS INT) AS page, CAST(o_orderkey % 3 * 20 AS INT) AS start, CAST((o_orderkey % 3 + 1) * 20 AS INT) AS end FROM orders"),
 }

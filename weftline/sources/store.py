@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import json
 import uuid
+import zipfile
 from collections.abc import Sequence
+from xml.sax.saxutils import escape
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.operators.records import keep_last, upsert
+from weftline.operators.records import keep_last, scan_order, unknown_fields, upsert, with_status
 from weftline.functions.text import CORE_FIELDS
 
 # The columns of the article table, in order.
@@ -22,6 +24,10 @@ def projected(df: DataFrame, columns: Sequence[str] = COLUMNS) -> DataFrame:
     return df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) if c in df.columns else F.lit("").alias(c) for c in columns])
 
 
+class Conflict(RuntimeError):
+    """Another writer made the version first."""
+
+
 class Store:
     """Snapshots under one folder; a snapshot is complete before the pointer to it is written."""
 
@@ -30,31 +36,72 @@ class Store:
         path = spark._jvm.org.apache.hadoop.fs.Path(self.folder)
         self._fs, self._path = path.getFileSystem(spark._jsc.hadoopConfiguration()), spark._jvm.org.apache.hadoop.fs.Path
 
-    def _versions(self) -> list[tuple[int, str]]:
+    def _versions(self) -> dict[int, str]:
+        """Names of the snapshots by version; a marker without a name yet is not there yet."""
         at = self._path(f"{self.folder}/versions")
-        names = [s.getPath().getName() for s in self._fs.listStatus(at)] if self._fs.exists(at) else []
-        return sorted((int(n.split("-", 1)[0]), n.split("-", 1)[1]) for n in names)
+        if not self._fs.exists(at):
+            return {}
+        lines = self.spark.read.text(f"{self.folder}/versions").select(F.regexp_extract("_metadata.file_name", r"^(\d+)$", 1).alias("n"), "value")
+        return {int(r.n): r.value for r in lines.where("n != '' and value != ''").collect()}
 
     @property
     def version(self) -> int:
-        return self._versions()[-1][0] if self._versions() else 0
+        return max(self._versions(), default=0)
 
     def read(self) -> DataFrame:
-        if not self._versions():
+        known = self._versions()
+        if not known:
             return self.spark.createDataFrame([], ", ".join(f"{c} string" for c in COLUMNS))
-        return self.spark.read.parquet(f"{self.folder}/data/{self._versions()[-1][1]}")
+        return self.spark.read.parquet(f"{self.folder}/data/{known[max(known)]}")
+
+    def write(self, df: DataFrame, after: int | None = None) -> int:
+        """A new snapshot, made from version `after`; returns its version.
 
-    def write(self, df: DataFrame) -> int:
-        """A new snapshot; returns its version."""
-        name, version = uuid.uuid4().hex, self.version + 1
+        The marker of a version is created only where there is none, so of two writers that
+        started from one version the second fails with Conflict, and nothing is lost.
+        """
+        version, name = (self.version if after is None else after) + 1, uuid.uuid4().hex
         df.write.parquet(f"{self.folder}/data/{name}")
-        self._fs.mkdirs(self._path(f"{self.folder}/versions/{version:08d}-{name}"))
+        try:
+            out = self._fs.create(self._path(f"{self.folder}/versions/{version:08d}"), False)
+        except Exception as e:
+            if "exists" in str(e):
+                raise Conflict(f"version {version} was written by another") from e
+            raise
+        out.write(bytearray(name.encode()))
+        out.close()
         return version
 
-    def upsert(self, records: DataFrame, order: Sequence = ()) -> int:
-        """Records in place of those of their source_url; of several new ones the last by order counts."""
+    def upsert(self, records: DataFrame, order: Sequence = (), tries: int = 5) -> int:
+        """Records in place of those of their source_url; of several new ones the last by order counts.
+
+        Where another writer was faster, the upsert is done again over what that one wrote.
+        """
         new = keep_last(projected(records), ["source_url"], list(order) or [F.desc("crawl_time")])
-        return self.write(upsert(self.read(), new, "source_url"))
+        for left in range(tries, 0, -1):
+            version = self.version
+            try:
+                return self.write(upsert(self.read(), new, "source_url"), version)
+            except Conflict:
+                if left == 1:
+                    raise
+        raise AssertionError
+
+    def set_status(self, key: str, status: str) -> int:
+        """The review status of one article; returns how many rows have the key."""
+        rows = self.read()
+        n = rows.where(F.col("article_key") == key).count()
+        if n:
+            self.write(with_status(rows, F.col("article_key") == key, status))
+        return n
+
+    def scan(self) -> DataFrame:
+        """All rows, the newest first."""
+        return scan_order(self.read())
+
+    def manual_review(self) -> DataFrame:
+        """Rows with a core field that is not known."""
+        return self.read().where(F.size(unknown_fields()) > 0)
 
     def existing_urls(self) -> DataFrame:
         return self.read().select("source_url").where("source_url != ''").distinct()
@@ -64,11 +111,21 @@ class Store:
         return refs.join(self.existing_urls(), refs[column] == F.col("source_url"), "left_anti")
 
 
-def export_csv(df: DataFrame, folder: str, columns: Sequence[str] = COLUMNS) -> None:
-    """CSV in column order, with a byte order mark before the first name for spreadsheet programs."""
+def export_csv(df: DataFrame, folder: str, columns: Sequence[str] = COLUMNS, one_file: bool = True) -> None:
+    """CSV in column order, with a byte order mark before the first name for spreadsheet programs.
+
+    One file is written by one task, as spreadsheets want it; for large tables ask for parts.
+    """
     out = projected(df, columns)
-    names = ["﻿" + columns[0], *columns[1:]]
-    out.toDF(*names).coalesce(1).write.mode("overwrite").option("header", True).option("escape", '"').csv(folder)
+    names = ["\ufeff" + columns[0], *columns[1:]]
+    out = out.toDF(*names)
+    (out.coalesce(1) if one_file else out).write.mode("overwrite").option("header", True).option("escape", '"').csv(folder)
+
+
+def read_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of an export; the byte order mark before the first name goes."""
+    df = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(folder)
+    return df.toDF(*[c.lstrip("\ufeff") for c in df.columns]).na.fill("")
 
 
 def export_review(df: DataFrame, folder: str) -> None:
@@ -76,5 +133,45 @@ def export_review(df: DataFrame, folder: str) -> None:
     export_csv(df, folder, REVIEW_COLUMNS)
 
 
+def _letter(i: int) -> str:
+    return (chr(64 + i // 26) if i >= 26 else "") + chr(65 + i % 26)
+
+
+def export_xlsx(df: DataFrame, path: str, columns: Sequence[str] = COLUMNS, sheet: str = "jobs", most: int = 1_048_575) -> int:
+    """A workbook of one sheet of text cells; rows stream through the driver into the file.
+
+    A sheet holds 1,048,576 rows at most, so a larger table is an error.
+    """
+    out, rows = projected(df, columns), 0
+    if out.count() > most:
+        raise ValueError(f"a sheet holds {most} rows")
+
+    def row(number: int, values: Sequence[str]) -> str:
+        cells = (f'<c r="{_letter(i)}{number}" t="inlineStr"><is><t xml:space="preserve">{_xml(v)}</t></is></c>' for i, v in enumerate(values))
+        return f'<row r="{number}">{"".join(cells)}</row>'
+
+    head = '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
+    main, package = "http://schemas.openxmlformats.org/spreadsheetml/2006/main", "http://schemas.openxmlformats.org/package/2006"
+    office = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    kind = "application/vnd.openxmlformats-officedocument.spreadsheetml"
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("[Content_Types].xml", f'{head}<Types xmlns="{package}/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/><Override PartName="/xl/workbook.xml" ContentType="{kind}.sheet.main+xml"/><Override PartName="/xl/worksheets/sheet1.xml" ContentType="{kind}.worksheet+xml"/></Types>')
+        z.writestr("_rels/.rels", f'{head}<Relationships xmlns="{package}/relationships"><Relationship Id="r1" Type="{office}/officeDocument" Target="xl/workbook.xml"/></Relationships>')
+        z.writestr("xl/_rels/workbook.xml.rels", f'{head}<Relationships xmlns="{package}/relationships"><Relationship Id="r1" Type="{office}/worksheet" Target="worksheets/sheet1.xml"/></Relationships>')
+        z.writestr("xl/workbook.xml", f'{head}<workbook xmlns="{main}" xmlns:r="{office}"><sheets><sheet name="{_xml(sheet)}" sheetId="1" r:id="r1"/></sheets></workbook>')
+        with z.open("xl/worksheets/sheet1.xml", "w") as f:
+            f.write(f'{head}<worksheet xmlns="{main}"><sheetData>{row(1, columns)}'.encode())
+            for r in out.toLocalIterator():
+                rows += 1
+                f.write(row(rows + 1, r).encode())
+            f.write(b"</sheetData></worksheet>")
+    return rows
+
+
+def _xml(text: str) -> str:
+    """Escaped, without characters that XML cannot hold."""
+    return escape("".join(c for c in text if c in "\t\n\r" or c >= " " and c not in "\ufffe\uffff"), {'"': "&quot;"})
+
+
 def summary_json(summary: dict) -> str:
     return json.dumps(summary, ensure_ascii=False, indent=2, default=str)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from weftline.sources.crawl import manifest_entries
+from weftline.sources.crawl import file_place, line_place, manifest_entries
 from weftline.sources.store import Store
 
 
@@ -17,11 +17,10 @@ def ingest_manifests(spark: SparkSession, source: str, store: Store, records_of:
 
     Upserts are by key, so a batch that is tried again after a failure gives the same table.
     """
-    lines = spark.readStream.schema("value string").text(source)
+    lines = spark.readStream.schema("value string").text(source).withColumn("place", file_place())
 
     def merge(batch: DataFrame, _: int) -> None:
-        entries = manifest_entries(batch.withColumn("line_no", F.monotonically_increasing_id()))
-        store.upsert(records_of(entries))
+        store.upsert(records_of(manifest_entries(batch.withColumn("line_no", line_place(F.col("place"))))))
 
     writer = lines.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
