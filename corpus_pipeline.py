@@ -7,7 +7,6 @@ the last returns the pieces of packed sequences.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +14,7 @@ from pyspark.sql import functions as F
 
 from weftline.llm.minhash import near_duplicates
 from weftline.llm.packing import packed
+from weftline.llm.shared import shared_folder
 from weftline.llm.substrings import as_text, remove_repeats
 from weftline.llm.templates import deduplicate_lines
 from weftline.llm.toxicity import train, without_toxic
@@ -26,13 +26,13 @@ _COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def _documents(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("n_chars", F.length("text").cast("long")).select(*_COLUMNS)
+    return rows.withColumn("n_chars", F.length(F.coalesce("text", F.lit(""))).cast("long")).select(*_COLUMNS)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity operator does not reject, row by row."""
+    """Documents that the toxicity operator does not reject, row by row; null and empty texts stay."""
     model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return without_toxic(docs.select(*_COLUMNS), model)
+    return _documents(without_toxic(docs.select(*_COLUMNS), model))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -72,8 +72,7 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents, each written as Parquet in the shared folder and read again."""
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="weftline-")
-    folder = f"{folder.rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
