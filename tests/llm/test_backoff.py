@@ -52,3 +52,9 @@ def test_small_vocabulary_and_edges(spark):
     check(spark, df)
     assert score_documents(df.limit(0)).count() == 0
     assert score_documents(df.where("doc_id = 900")).first().log_score == 0
+
+
+def test_a_word_that_follows_everything(spark):
+    """A hot second word after contexts of one document each is scored where the pair is."""
+    rows = [(i, f"only{i} the other{i} the tail{i}") for i in range(200)] + [(500, "the " * 5000)]
+    check(spark, spark.createDataFrame(rows, "doc_id long, text string"))

@@ -9,7 +9,9 @@ context, so that a bucket holds all counts of its contexts. Contexts with more t
 1 / HEAVY of all tokens, at most HEAVY of them, are dealt by the whole pair and take their
 count from a small broadcast table. Each bucket sums what it scores by document; pairs
 found nowhere else go on to the buckets of their second word, and are joined there to the
-table of single words. Words are known by 40 bits of their hash.
+table of single words; where that word is one of the frequent, its count is at hand and
+the pair goes nowhere. Words are known by 64-bit hashes: of V distinct words some two
+share one with a probability of V * V / 2**65, 1e-4 at 60 million words.
 """
 
 from __future__ import annotations
@@ -23,11 +25,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.llm import textvec as V
-from weftline.llm.shared import buckets, checkpointed
+from weftline.llm.shared import buckets, checkpointed, freed, releasing
 
 ALPHA = 0.4
 HEAVY = 2_000
-WORD_BITS = 40
 START = np.uint64(0)
 _NO_ID = -(1 << 63)
 _TOGETHER = 8 << 20
@@ -35,30 +36,20 @@ _TOGETHER = 8 << 20
 
 def _words(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     _, _, doc, h = V.words(buf, offs)
-    return doc, np.maximum(h & np.uint64((1 << WORD_BITS) - 1), np.uint64(1))
+    return doc, np.maximum(h, np.uint64(1))
 
 
 def _packed(*columns: np.ndarray) -> bytes:
-    """Columns as one block; the first rises and is kept as differences, words in five bytes."""
-    out = [np.diff(columns[0], prepend=columns[0].dtype.type(0)).tobytes()]
-    for c in columns[1:]:
-        if c.dtype == np.uint64:
-            out += [(c & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes(), (c >> np.uint64(32)).astype(np.uint8).tobytes()]
-        else:
-            out.append(c.tobytes())
+    """Columns as one block; the first rises and is kept as differences."""
+    out = [np.diff(columns[0], prepend=columns[0].dtype.type(0)).tobytes(), *(c.tobytes() for c in columns[1:])]
     return len(columns[0]).to_bytes(8, "little") + zstandard.compress(b"".join(out), 1)
 
 
 def _unpacked(block: bytes, *kinds: type) -> list[np.ndarray]:
     n, raw, at, out = int.from_bytes(block[:8], "little"), zstandard.decompress(block[8:]), 0, []
-    for i, k in enumerate(kinds):
-        if k is np.uint64 and i:
-            low, high = np.frombuffer(raw, np.uint32, n, at), np.frombuffer(raw, np.uint8, n, at + 4 * n)
-            out.append(low.astype(np.uint64) | (high.astype(np.uint64) << np.uint64(32)))
-            at += 5 * n
-        else:
-            out.append(np.frombuffer(raw, k, n, at))
-            at += n * np.dtype(k).itemsize
+    for k in kinds:
+        out.append(np.frombuffer(raw, k, n, at))
+        at += n * np.dtype(k).itemsize
     out[0] = np.cumsum(out[0], dtype=kinds[0])
     return out
 
@@ -69,8 +60,10 @@ def _bucket(keys: np.ndarray, parts: int) -> np.ndarray:
 
 
 def _by_bucket(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    if not len(bucket):
+        return
     order = np.argsort(bucket, kind="stable")
-    new = np.flatnonzero(np.concatenate([[True], bucket[order][1:] != bucket[order][:-1]])) if len(order) else []
+    new = np.flatnonzero(np.concatenate([[True], bucket[order][1:] != bucket[order][:-1]]))
     for a, b in zip(new, [*new[1:], len(order)], strict=True):
         yield int(bucket[order[a]]), order[a:b]
 
@@ -151,8 +144,11 @@ def _split(block: bytes) -> tuple[bytes, bytes]:
     return block[4 : 4 + n], block[4 + n :]
 
 
-def _score_pairs(table: pa.Table, parts: int, heavy: np.ndarray, heavy_count: np.ndarray) -> pa.Table:
-    """Sums by document of the pairs known elsewhere (kind 0), and the others by second word (kind 1)."""
+def _score_pairs(table: pa.Table, parts: int, heavy: np.ndarray, heavy_count: np.ndarray, frequent: np.ndarray, backed: np.ndarray) -> pa.Table:
+    """Sums by document of the pairs known elsewhere and of those with a frequent second word (kind 0), and the others by second word (kind 1).
+
+    frequent are words in order, backed what each of them brings where it is backed off to.
+    """
     got = []
     for kind, block in zip(table.column("kind").to_pylist(), table.column("block").to_pylist(), strict=True):
         ids, body = _split(block[4:])
@@ -171,8 +167,12 @@ def _score_pairs(table: pa.Table, parts: int, heavy: np.ndarray, heavy_count: np
     elsewhere = np.repeat(np.add.reduceat(times, new), np.diff(np.append(new, len(u)))) - times
     found = elsewhere > 0
     gain = times[found] * np.log(elsewhere[found] / count_u[found])
-    rows = _sums(doc[found], times[found], gain, parts)
-    w, doc, times = _summed(w[~found], doc[~found], weight=times[~found])
+    common = np.flatnonzero(~found & np.isin(w, frequent))
+    more = times[common] * backed[np.searchsorted(frequent, w[common])]
+    rows = _sums(np.concatenate([doc[found], doc[common]]), np.concatenate([times[found], times[common]]), np.concatenate([gain, more]), parts)
+    rest = ~found
+    rest[common] = False
+    w, doc, times = _summed(w[rest], doc[rest], weight=times[rest])
     rows += [(1, q, _packed(w[x], doc[x], times[x])) for q, x in _by_bucket(_bucket(w, parts))]
     return pa.Table.from_batches([_blocks(rows)])
 
@@ -208,7 +208,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     parts = buckets(spark)
     base = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    words = checkpointed(base.mapInArrow(lambda b: _count_words(b, parts), _ROW).groupBy("part").applyInArrow(_add_words, _ROW))
+    words = checkpointed(base.mapInArrow(releasing(lambda b: _count_words(b, parts)), _ROW).groupBy("part").applyInArrow(freed(_add_words), _ROW))
 
     def total_of(batches):
         for b in batches:
@@ -224,8 +224,8 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 yield pa.RecordBatch.from_arrays([pa.array(w[x].astype(np.int64)), pa.array(n[x])], names=["w", "n"])
 
     # Fewer than HEAVY words can have more than 1 / HEAVY of the tokens.
-    top = sorted((r.w, r.n) for r in words.mapInArrow(heavy_of, "w long, n long").collect())
-    heavy_words = np.array([w for w, _ in top], np.uint64)
+    by_word = sorted((r.w % (1 << 64), r.n) for r in words.mapInArrow(heavy_of, "w long, n long").collect())
+    heavy_words = np.array([w for w, _ in by_word], np.uint64)
 
     # A word is a context wherever it is not the last of its text; both counts come from one pass.
     def context_counts(batches):
@@ -236,13 +236,14 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             w, n = np.append(w, START), np.append(n, last.sum())
             yield pa.RecordBatch.from_arrays([pa.array(w.astype(np.int64)), pa.array(n.astype(np.int64))], names=["w", "n"])
 
-    counted = sorted((r.w, r.n) for r in base.mapInArrow(context_counts, "w long, n long").groupBy("w").agg(F.sum("n").alias("n")).collect())
+    counted = sorted((r.w % (1 << 64), r.n) for r in base.mapInArrow(context_counts, "w long, n long").groupBy("w").agg(F.sum("n").alias("n")).collect())
     heavy, heavy_count = np.array([w for w, _ in counted], np.uint64), np.array([n for _, n in counted], np.int64)
 
-    pairs = base.mapInArrow(lambda b: _explode_pairs(b, parts, heavy), _ROW).groupBy("part")
-    scored = checkpointed(pairs.applyInArrow(lambda t: _score_pairs(t, parts, heavy, heavy_count), _ROW))
+    pairs = base.mapInArrow(releasing(lambda b: _explode_pairs(b, parts, heavy)), _ROW).groupBy("part")
+    backed_off = np.log(ALPHA * np.array([n for _, n in by_word], np.float64) / max(total, 1))
+    scored = checkpointed(pairs.applyInArrow(freed(lambda t: _score_pairs(t, parts, heavy, heavy_count, heavy_words, backed_off)), _ROW))
 
-    backed = scored.where("kind = 1").groupBy("part").cogroup(words.groupBy("part")).applyInArrow(lambda r, w: _back_off(r, w, parts, total), _ROW)
+    backed = scored.where("kind = 1").groupBy("part").cogroup(words.groupBy("part")).applyInArrow(freed(lambda r, w: _back_off(r, w, parts, total)), _ROW)
 
     def add_up(table: pa.Table) -> pa.Table:
         got = [_unpacked(b, np.int64, np.int64, np.float64) for b in table.column("block").to_pylist()]
