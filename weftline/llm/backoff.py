@@ -32,6 +32,8 @@ HEAVY = 2_000
 START = np.uint64(0)
 _NO_ID = -(1 << 63)
 _TOGETHER = 8 << 20
+#: Numbers within a block, by whether there are over 65,536.
+_NUMBER = (np.uint16, np.uint32)
 
 
 def _words(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -128,10 +130,12 @@ def _explode_pairs(batches: Iterator[pa.RecordBatch], parts: int, heavy: np.ndar
             key = np.where(np.isin(u, heavy), V.mix64(u + w * np.uint64(V.BASE)), u)
         rows = []
         for q, x in _by_bucket(_bucket(key, parts)):
-            # Documents are numbered within the block, by rank of their id.
+            # Documents and second words are numbered within the block, by rank.
             named, local = np.unique(ids[d[x]], return_inverse=True)
-            small = np.uint16 if len(named) < 1 << 16 else np.uint32
-            rows.append((1 if small is np.uint16 else 2, q, len(named).to_bytes(4, "little") + _joined(_packed(named), _packed(u[x], w[x], local.astype(small), times[x]))))
+            seen, code = np.unique(w[x], return_inverse=True)
+            wide = [len(named) > 1 << 16, len(seen) > 1 << 16]
+            body = _packed(u[x], code.astype(_NUMBER[wide[1]]), local.astype(_NUMBER[wide[0]]), times[x])
+            rows.append((1 + wide[0] + 2 * wide[1], q, _joined(_packed(named), _joined(_packed(seen), body))))
         yield _blocks(rows)
 
 
@@ -151,10 +155,11 @@ def _score_pairs(table: pa.Table, parts: int, heavy: np.ndarray, heavy_count: np
     """
     got = []
     for kind, block in zip(table.column("kind").to_pylist(), table.column("block").to_pylist(), strict=True):
-        ids, body = _split(block[4:])
-        (named,) = _unpacked(ids, np.int64)
-        u, w, local, times = _unpacked(body, np.uint64, np.uint64, np.uint16 if kind == 1 else np.uint32, np.uint32)
-        got.append((u, w, named[local], times))
+        ids, rest = _split(block)
+        words, body = _split(rest)
+        (named,), (seen,) = _unpacked(ids, np.int64), _unpacked(words, np.uint64)
+        u, code, local, times = _unpacked(body, np.uint64, _NUMBER[(kind - 1) // 2], _NUMBER[(kind - 1) % 2], np.uint32)
+        got.append((u, seen[code], named[local], times))
     u, w, doc, times = (np.concatenate(c) for c in zip(*got, strict=True))
     del got
     u, w, doc, times = _summed(u, w, doc, weight=times.astype(np.int64))
