@@ -31,3 +31,18 @@ def test_run_gives_what_the_stages_give(spark):
     rows = corpus_pipeline.run(spark, SF)
     assert rows.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     assert rows.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 2048").count() == 0
+
+
+def test_stages_on_an_empty_table_repeated_ids_ties_and_more_columns(spark):
+    base = spark.read.parquet(f"{SF}/documents.parquet")
+    odd = spark.createDataFrame([(900_001, "one and the same text of a few words", "en", "s", 1)] * 3 + [(900_001, "another text under that id, quite unlike", "en", "s", 2), (None, "x", "en", "s", 1), (None, None, None, None, None)], base.schema)
+    for docs in (base.limit(0), odd.withColumns({"part": F.lit(1), "template": F.lit("x"), "sig": F.lit(2.0)})):
+        n = docs.count()
+        for name, stage in corpus_pipeline.STAGES:
+            docs = stage(spark, docs, SF)
+            assert name == "packing" or docs.columns == base.columns
+            docs = spark.createDataFrame(docs.collect(), docs.schema)
+            assert docs.count() <= n
+        assert docs.count() == (0 if n == 0 else docs.select("doc_id", "ids_crc32").count())
+        if n:
+            assert {r.doc_id for r in docs.collect()} == {900_001, None}

@@ -20,13 +20,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.llm import textvec as V
-from weftline.llm.shared import held_out
+from weftline.llm.shared import held_out, releasing
 
 WINDOW = 192
 WIDTHS = (2, 3, 4)
 FILTERS = 12
 EMBEDDING = 8
 PER_LANGUAGE = 1_500
+#: Windows that are learned from one text.
+PER_TEXT = 3
 UNDETERMINED = "und"
 _CHUNK = 256
 _REACH = max(WIDTHS)
@@ -124,25 +126,34 @@ def windows_of(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return out, doc, held
 
 
-def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> ByteNetwork | None:
-    """A network from a bounded sample; None where no text with a language may be learned from."""
+def train(docs: DataFrame, per_language: int = PER_LANGUAGE, per_text: int = PER_TEXT) -> ByteNetwork | None:
+    """A network from a bounded sample of texts and windows of them; None where no text with a language may be learned from."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
     counts = known.groupBy("lang").count().collect()  # one row a language
     if not counts:
         return None
     share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, per_language / r["count"]))])
     picked = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20))
-    table = picked.select("text", "lang", F.xxhash64("doc_id", "text").alias("order")).toArrow().sort_by([("order", "ascending"), ("lang", "ascending")])
+    rows = picked.select("text", "lang", F.xxhash64("doc_id", "text").alias("order"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Some windows of each text, from anywhere in it, chosen by a hash of the text and the place."""
+        for b in batches:
+            for lo, hi, buf, offs in V.slices(b.column(0)):
+                w, doc, _ = windows_of(buf, offs)
+                with np.errstate(over="ignore"):
+                    own = b.column(2).to_numpy()[lo:hi].view(np.uint64)[doc] if len(doc) else np.zeros(0, np.uint64)
+                    key = V.mix64(own + V.ragged(np.bincount(doc, minlength=hi - lo)).astype(np.uint64) * np.uint64(V.BASE))
+                by = np.lexsort((key, doc))
+                by = by[V.ragged(np.bincount(doc, minlength=hi - lo)) < per_text]
+                at = pa.array(doc[by] + lo)
+                yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in w[by]], pa.binary()), b.column(1).take(at), b.column(2).take(at), pa.array(key[by].view(np.int64))], names=["window", "lang", "order", "key"])
+
+    # At most about per_language * per_text windows of fixed size for each language reach the driver.
+    table = rows.mapInArrow(releasing(cut), "window binary, lang string, order long, key long").toArrow().sort_by([(c, "ascending") for c in ("order", "key", "lang")])
     languages = sorted(r["lang"] for r in counts)
-    rng, parts, target = np.random.default_rng(3), [], []
-    for lo, hi, buf, offs in V.slices(table.column("text").combine_chunks()):
-        w, doc, _ = windows_of(buf, offs)
-        key = rng.random(len(w))
-        order = np.lexsort((key, doc))
-        order = order[V.ragged(np.bincount(doc, minlength=hi - lo)) < 3]  # three windows a text, from anywhere in it
-        parts.append(w[order])
-        of = table.column("lang").slice(lo, hi - lo).to_pylist()
-        target += [languages.index(of[d]) for d in doc[order].tolist()]
+    parts = [np.frombuffer(b"".join(table.column("window").to_pylist()), np.uint8).reshape(-1, WINDOW + _REACH - 1)] if table.num_rows else []
+    target = [languages.index(x) for x in table.column("lang").to_pylist()]
     network = ByteNetwork(languages)
     if target:
         network.train(np.concatenate(parts), np.array(target))
