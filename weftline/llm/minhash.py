@@ -38,8 +38,6 @@ MULT = np.uint64(0xD6E8FEB86659FD93)
 PAD = np.uint64(0xFFFFFFFFFFFFFFFF)
 #: Members of an inverted list that one task compares with one another.
 BLOCK = 512
-#: Groups that the members of one hub are dealt to where hubs are picked.
-SALTS = 32
 #: Stands for a null id where one row of a class is named.
 _LAST = (1 << 63) - 1
 
@@ -149,12 +147,6 @@ def _both_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b")
 
 
-def _reached(rows: DataFrame, hubs: DataFrame) -> DataFrame:
-    """Rows of the given hubs; the rows of one hub are dealt to SALTS groups, as one may have a large share of all."""
-    salted = hubs.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return rows.withColumn("salt", F.pmod(F.xxhash64("sig"), F.lit(SALTS)).cast("int")).join(salted, ["hub", "salt"]).drop("salt")
-
-
 def _members(value) -> np.ndarray:
     return np.frombuffer(value.as_buffer(), np.uint64)
 
@@ -361,7 +353,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, k: int =
     # Only hubs whose lists reach over several components are looked at further, with all their members.
     members = to_hub.select("sig", "hub").distinct()
     reach = rooted(members, roots, "sig").groupBy("hub").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 != r2").select("hub")
-    close = checkpointed(_differences(estimated(_reached(members, reach).select(F.col("sig").alias("a"), F.col("hub").alias("b"))), sets, percent))
+    close = checkpointed(_differences(estimated(members.join(reach, "hub", "left_semi").select(F.col("sig").alias("a"), F.col("hub").alias("b"))), sets, percent))
     roots = joined(roots, close.where("link and a != b").select("a", "b"))
 
     def in_blocks(rows: DataFrame, key: str, is_open: str) -> DataFrame:
@@ -379,7 +371,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, k: int =
     by_hub = in_blocks(close.select(F.col("a").alias("sig"), F.col("b").alias("hub"), "n", "differ", F.lit(False).alias("far")), "hub", "r1 != r2")
     near_links = dealt(by_hub, "hub", "n", "differ").mapInArrow(releasing(lambda batches: _near_links(batches, percent)), "a binary, b binary")
 
-    open_lists = _reached(to_hub, reach).select("sig", "value", "hub")
+    open_lists = to_hub.join(reach, "hub", "left_semi").select("sig", "value", "hub")
     marked = open_lists.join(close.select(F.col("a").alias("sig"), F.col("b").alias("hub"), F.lit(False).alias("far")), ["sig", "hub"], "left").select("sig", "value", F.coalesce("far", F.lit(True)).alias("far"))
     by_value = in_blocks(marked, "value", "r1 != r2 and any_far").join(postings.select("sig", "n", "sketch"), "sig")
     hopeful = dealt(by_value, "value", "far", "n", "sketch").mapInArrow(releasing(lambda batches: _far_pairs(batches, k, percent, floor)), "a binary, b binary").distinct()
