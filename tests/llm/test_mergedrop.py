@@ -63,6 +63,16 @@ def test_tables(spark):
     assert round_trips(df.limit(0)).count() == 0
 
 
+def test_repeated_rows_a_long_unit_and_no_rows(spark):
+    long = "abc" * 20_000
+    rows = [(5, "some text"), (5, "some text"), (6, long), (None, long)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    encoded = encode_documents(df, seed=2)
+    assert len({tuple(r.ids) for r in encoded.where("doc_id = 5").collect()}) == 1
+    assert sorted(map(str, decode_documents(encoded).collect())) == sorted(map(str, df.collect()))
+    assert encode_documents(df.limit(0)).collect() == []
+
+
 def test_each_occurrence_is_segmented_by_itself():
     enc, plain = (DropoutEncoder(default_path(), 20, d) for d in (0.1, 0.0))
     word, times = " international", 3000

@@ -368,7 +368,11 @@ def _prepared(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def encode_documents(docs: DataFrame, seed: int = 0, dropout: float = 0.1, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, ids) of every row. Null and empty texts have no ids; a null id counts as 0 in the key."""
+    """(doc_id, ids) of every row. Null and empty texts have no ids; a null id counts as 0 in the key.
+
+    Rows that repeat id and text have the same ids, once a row; an empty table gives an empty
+    result; texts may be of any length, one unit alone included; other columns play no part.
+    """
     path = path or default_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
