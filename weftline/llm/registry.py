@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from weftline.llm.backoff import op6_backoff
+from weftline.llm.divergence import OP11_SQL, op11_divergence
 from weftline.llm.fuzzyhash import op3_fingerprints
 from weftline.llm.language import op8_language_id
 from weftline.llm.media import op10_media
@@ -12,6 +13,7 @@ from weftline.llm.packing import op2_packing
 from weftline.llm.substrings import op4_suffix_dedup
 from weftline.llm.templates import op5_line_templates
 from weftline.llm.toxicity import op1_toxicity
+from weftline.llm.variants import op12_variants
 
 
 def queries() -> dict:
@@ -26,8 +28,10 @@ def queries() -> dict:
         "op8_language_id": op8_language_id,
         "op9_minhash": op9_minhash,
         "op10_media": op10_media,
+        "op11_divergence": op11_divergence,
+        "op12_variants": op12_variants,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op11_divergence": OP11_SQL}
