@@ -10,6 +10,7 @@ from weftline.llm.media import op10_media
 from weftline.llm.mergedrop import op7_merge_dropout
 from weftline.llm.minhash import op9_minhash
 from weftline.llm.packing import op2_packing
+from weftline.llm.pagegraph import op13_html
 from weftline.llm.substrings import op4_suffix_dedup
 from weftline.llm.templates import op5_line_templates
 from weftline.llm.toxicity import op1_toxicity
@@ -30,6 +31,7 @@ def queries() -> dict:
         "op10_media": op10_media,
         "op11_divergence": op11_divergence,
         "op12_variants": op12_variants,
+        "op13_html": op13_html,
     }
 
 
