@@ -86,7 +86,7 @@ def test_settings_are_typed_and_checked(tmp_path):
             config(**sections)
     with pytest.raises(settings.ConfigError):
         settings.load(tmp_path / "none.yaml")
-    assert settings.masked("secret") == "se***" and settings.masked("abc") == "***" and settings.masked("") == ""
+    assert settings.masked("secret") == "***" and settings.masked("abc") == "***" and settings.masked("") == ""
 
 
 # fetching

@@ -9,6 +9,7 @@ from pathlib import Path
 from typing import Any, get_type_hints
 
 from weftline.functions import lexicon as lexicons
+from weftline.functions.selectors import SelectorError, compiled
 from weftline.functions.text import CORE_FIELDS, MISSING
 
 #: Fixed value: seconds between two requests, at the least.
@@ -228,6 +229,14 @@ def load(path: str | Path, root: str | Path | None = None, env: str | Path | Non
     return build(raw, root, read_env(Path(env) if env else root / ".env"))
 
 
+def _is_selector(text: str) -> bool:
+    """True for a selector that can be read, and for none."""
+    try:
+        return not text.strip() or bool(compiled(text))
+    except SelectorError:
+        return False
+
+
 def checked(c: Config) -> Config:
     """c, if every rule holds; ConfigError names all that do not."""
     web = ("http://", "https://")
@@ -238,6 +247,7 @@ def checked(c: Config) -> Config:
         "portal.external_link_policy must be fetch, portal or skip": c.portal.external_link_policy in ("fetch", "portal", "skip"),
         "portal.api_url must be an http(s) address in api mode": c.portal.mode != "api" or c.portal.api_url.startswith(web),
         "portal.detail_url_template must be given in api mode": c.portal.mode != "api" or bool(c.portal.detail_url_template),
+        "portal.detail_link_selector must be a CSS selector": _is_selector(c.portal.detail_link_selector),
         "portal.page_start must be 1 or more": c.portal.page_start >= 1,
         "portal.page_end must be 0 or not under page_start": c.portal.page_end == 0 or c.portal.page_end >= c.portal.page_start,
         f"request.interval_seconds must be {LEAST_INTERVAL} or more": c.request.interval_seconds >= LEAST_INTERVAL,
@@ -266,5 +276,5 @@ def checked(c: Config) -> Config:
 
 
 def masked(secret: str) -> str:
-    """A secret as it may be shown: its first two characters at most."""
-    return "" if not secret else secret[:2] + "***" if len(secret) > 4 else "***"
+    """Whether a secret is set, and nothing of it."""
+    return "***" if secret else ""

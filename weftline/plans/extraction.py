@@ -46,14 +46,20 @@ def html_text(spark, d):
 
 
 def html_title(spark, d):
-    return clean_pages(table(spark, d, "pages"), "page_id", "url", "html").select("page_id", "title")
+    return clean_pages(table(spark, d, "pages"), "page_id", "url", "html", ("title",))
 
 
 def html_links(spark, d):
-    links = clean_pages(table(spark, d, "pages"), "page_id", "url", "html").select("page_id", F.explode("links").alias("l"))
+    links = clean_pages(table(spark, d, "pages"), "page_id", "url", "html", ("links",)).select("page_id", F.explode("links").alias("l"))
     return links.select("page_id", "l.url", "l.title")
 
 
+def html_selected_links(spark, d):
+    """Links of the items of a page's menu but the first, by a selector of several steps."""
+    pages = clean_pages(table(spark, d, "pages"), "page_id", "url", "html", ("links",), "body > nav li:not(:first-child) a[href^='/'], div.news-list li.item a[href]")
+    return pages.select("page_id", F.posexplode("links").alias("place", "l")).select("page_id", "place", "l.url", "l.title")
+
+
 def regex_first_evidence(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text")
     return T.once(docs, h=T.match_first(F.col("text"), _YEARS)).where("h is not null").select("doc_id", "h.value", "h.evidence")
@@ -174,7 +180,7 @@ def chinese_rules(spark, d):
 
 
 def page_completeness(spark, d):
-    pages = clean_pages(table(spark, d, "pages"), "page_id", "url", "html")
+    pages = clean_pages(table(spark, d, "pages"), "page_id", "url", "html", ("title", "text", "links"))
     got = pages.select(F.coalesce(F.regexp_extract("text", r"(\d{4})", 1), F.lit("")).alias("year"), "title", F.when(F.size("links") > 0, "yes").otherwise("").alias("links"))
     from weftline.operators.records import completeness
 
@@ -206,6 +212,7 @@ QUERIES = {
     "html_text": (html_text, None),
     "page_completeness": (page_completeness, None),
     "html_title": (html_title, "SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(regexp_extract(html, '<h1[^>]*>([^<]*)</h1>', 1), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&'), '[ \\t\\r\\f\\v]+', ' ', 'g')) AS title FROM pages"),
+    "html_selected_links": (html_selected_links, "WITH m AS (SELECT page_id, regexp_extract(url, '^https?://[^/]+') AS host, regexp_extract(html, '<nav>(.*?)</nav>', 1, 's') AS nav FROM pages), l AS (SELECT page_id, host, regexp_extract_all(nav, '<a href=\"([^\"]*)\">', 1)[2:] AS href, regexp_extract_all(nav, '<a href=\"[^\"]*\">([^<]*)</a>', 1)[2:] AS title FROM m), e AS (SELECT page_id, host, unnest(href) AS href, unnest(title) AS title, generate_subscripts(href, 1) AS i FROM l) SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS INT) AS place, host || href AS url, title FROM e WHERE NOT contains(lower(href), '/login') AND NOT contains(lower(href), '/logout')"),
     "html_links": (html_links, "WITH l AS (SELECT page_id, url AS page, unnest(regexp_extract_all(html, '<a href=\"([^\"]*)\">', 1)) AS href, unnest(regexp_extract_all(html, '<a href=\"[^\"]*\">([^<]*)</a>', 1)) AS title FROM pages) SELECT page_id, regexp_extract(page, '^https?://[^/]+') || href AS url, title FROM l WHERE starts_with(href, '/') AND NOT contains(lower(href), '/login') AND NOT contains(lower(href), '/logout')"),
     "regex_first_evidence": (regex_first_evidence, _first_sql()),
     "lexicon_match": (lexicon_match, _MATCH_SQL),

@@ -74,7 +74,7 @@ def _trigram_sql(parts: list[str]) -> str:
 def _articles(spark, d):
     """Documents in the shape that search reads."""
     docs = table(spark, d, "documents")
-    return docs.select(F.col("doc_id").cast("string").alias("article_key"), F.col("source").alias("article_title"), F.col("lang").alias("city"), F.left("text", F.lit(400)).alias("evidence"), F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("crawl_time"), F.col("source").alias("source_url"))
+    return docs.select(F.col("doc_id").cast("string").alias("article_key"), F.col("source").alias("article_title"), F.col("lang").alias("city"), F.col("text").alias("evidence"), F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("crawl_time"), F.col("source").alias("source_url"))
 
 
 def search_page(spark, d):
@@ -89,7 +89,7 @@ def search_substring(spark, d):
     return found.select("article_key", "score")
 
 
-_ARTICLES = "(SELECT CAST(doc_id AS VARCHAR) AS article_key, doc_id, source, lang, concat_ws(' ', trim(source), trim(source), trim(lang), nullif(trim(left(text, 400)), '')) AS t, text FROM documents)"
+_ARTICLES = "(SELECT CAST(doc_id AS VARCHAR) AS article_key, doc_id, source, lang, concat_ws(' ', trim(source), trim(source), trim(lang), nullif(trim(text), '')) AS t, text FROM documents)"
 _SEARCH_PAGE = f"""WITH k AS (SELECT article_key, lang, doc_id, regexp_extract_all(strip_accents(lower(t)), '[\\p{{L}}\\p{{N}}]+') AS w FROM {_ARTICLES}), r AS (SELECT *, len(w) AS dl, len(list_filter(w, lambda x: x = 'the')) AS f FROM k),
     s AS (SELECT count(*) AS n, avg(dl) AS avgdl, count(*) FILTER (f > 0) AS df FROM r)
     SELECT article_key, round(raw, 6) AS score FROM (SELECT article_key, doc_id, -(greatest(ln((n - df + 0.5) / (df + 0.5)), 1e-6) * f * 2.2 / (f + 1.2 * (0.25 + 0.75 * dl / avgdl))) AS raw FROM r, s WHERE f > 0 AND lang LIKE '%en%') ORDER BY raw, doc_id DESC LIMIT 7 OFFSET 2"""
@@ -161,7 +161,7 @@ QUERIES = {
     "count_matching": (count_matching, "SELECT count(*) AS n FROM documents WHERE lower(text) LIKE '%license%'"),
     "trigram_search": (trigram_search, _trigram_sql(["tion", "the"])),
     "search_page": (search_page, _SEARCH_PAGE),
-    "search_substring": (search_substring, "SELECT CAST(doc_id AS VARCHAR) AS article_key, 0.0::DOUBLE AS score FROM documents WHERE contains(lower(source), 'rc3') OR contains(lower(lang), 'rc3') OR contains(lower(left(text, 400)), 'rc3') ORDER BY doc_id DESC LIMIT 9"),
+    "search_substring": (search_substring, "SELECT CAST(doc_id AS VARCHAR) AS article_key, 0.0::DOUBLE AS score FROM documents WHERE contains(lower(source), 'rc3') OR contains(lower(lang), 'rc3') OR contains(lower(text), 'rc3') ORDER BY doc_id DESC LIMIT 9"),
     "highlights": (highlights, "SELECT doc_id, concat_ws(',', CASE WHEN contains(lang, 'en') OR contains(lang, 'src1') OR contains(lang, 'thing') THEN 'L' END, CASE WHEN contains(source, 'en') OR contains(source, 'src1') OR contains(source, 'thing') THEN 'S' END, CASE WHEN contains(text, 'en') OR contains(text, 'src1') OR contains(text, 'thing') THEN 'T' END) AS labels FROM documents"),
     "snippet": (snippet, _SNIPPET),
     "hit_projection": (hit_projection, f"SELECT doc_id, CASE WHEN quality = ' - ' THEN '(无标题)' ELSE source END AS title, CASE WHEN trim(quality) = '-' THEN '{MISSING}' ELSE quality END AS quality FROM {LABELLED_SQL}"),

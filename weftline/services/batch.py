@@ -61,7 +61,7 @@ def extracted(pages: DataFrame, lexicon: dict, site_patterns: dict[str, list[str
 
     pages hold detail_url, list_url, title, publish_date, html_path, crawl_time and html.
     """
-    clean = clean_pages(pages, "detail_url", "detail_url", "html").select("detail_url", F.col("title").alias("page_title"), "text", F.size("images").alias("n_images"))
+    clean = clean_pages(pages, "detail_url", "detail_url", "html", ("title", "text", "images")).select("detail_url", F.col("title").alias("page_title"), "text", F.size("images").alias("n_images"))
     rows = pages.drop("html", "images").join(clean, "detail_url")
     title = F.when(F.length(F.trim("page_title")) > 0, F.col("page_title")).otherwise(F.coalesce("title", F.lit("")))
     rows = rows.withColumn("article_title", title).withColumn("content_kind", X.content_kind(F.lit("html"), F.col("text"), F.col("n_images")))
