@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import json
+import os
+import time
 import uuid
 import zipfile
-from collections.abc import Sequence
+from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass, field
 from xml.sax.saxutils import escape
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.operators.records import keep_last, scan_order, unknown_fields, upsert, with_status
@@ -18,6 +21,10 @@ from weftline.functions.text import CORE_FIELDS
 COLUMNS = ("article_key", *CORE_FIELDS, "article_title", "publish_date", "source_url", "list_url", "raw_html_path", "crawl_time", "extract_method", "content_kind", "evidence", "review_status")
 REVIEW_COLUMNS = ("article_key", *CORE_FIELDS, "source_url", "content_kind", "extract_method", "evidence", "review_status")
 
+#: Buckets of a new table; rebucket() gives a table others.
+BUCKETS = 16
+_BUCKET = "_bucket"
+
 
 def projected(df: DataFrame, columns: Sequence[str] = COLUMNS) -> DataFrame:
     """The columns in order, as strings; null and absent ones are empty."""
@@ -28,72 +35,207 @@ class Conflict(RuntimeError):
     """Another writer made the version first."""
 
 
+@dataclass(frozen=True)
+class State:
+    """One version of the table: of each bucket that holds rows, the folder of data that holds them."""
+
+    version: int = 0
+    buckets: int = 0
+    parts: Mapping[int, str] = field(default_factory=dict)
+
+
 class Store:
-    """Snapshots under one folder; a snapshot is complete before the pointer to it is written."""
+    """A table of snapshots, kept as a log of versions over bucketed Parquet.
+
+    Rows are dealt to buckets by a hash of source_url. A version is one small file that names,
+    for each bucket, the folder its rows stand in; data never changes once it is named. A
+    change writes the buckets that it touches anew, in a folder of its own, and then
+    publishes the next version. The file of a version is written beside the log and put
+    in its place whole, only where no other writer has, so readers see complete versions
+    and a writer that dies at any step leaves nothing that stops others; expire() removes
+    what it left. A writer that finds its version taken goes on from the newer one: as it is,
+    if that one changed other buckets, and from the start if not.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, buckets: int = BUCKETS) -> None:
+        self.spark, self.folder, self._buckets = spark, folder.rstrip("/"), buckets
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        self._path = hadoop.Path
+        self._fs = hadoop.Path(self.folder).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    # the log
+
+    def _names(self, folder: str) -> list[str]:
+        at = self._path(f"{self.folder}/{folder}")
+        return [f.getPath().getName() for f in self._fs.listStatus(at)] if self._fs.exists(at) else []
+
+    def _marker(self, version: int) -> str:
+        return f"{self.folder}/versions/{version:08d}.json"
+
+    def _versions(self) -> list[int]:
+        return sorted(int(n[:8]) for n in self._names("versions") if n[:8].isdigit() and n[8:] == ".json")
+
+    def state(self, version: int | None = None) -> State:
+        """A version of the table; the newest where none is named."""
+        if version is None:
+            version = max(self._versions(), default=0)
+        if not version:
+            return State(buckets=self._buckets)
+        stream = self._fs.open(self._path(self._marker(version)))
+        try:
+            raw = json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+        return State(version, raw["buckets"], {int(b): name for b, name in raw["parts"].items()})
+
+    def _publish(self, state: State) -> None:
+        """Makes state the version that it says; Conflict if there is one already."""
+        text = json.dumps({"buckets": state.buckets, "parts": state.parts}).encode()
+        part, marker = self._path(f"{self.folder}/pending/{uuid.uuid4().hex}"), self._path(self._marker(state.version))
+        self._fs.mkdirs(marker.getParent())
+        out = self._fs.create(part, False)
+        out.write(bytearray(text))
+        out.close()
+        taken = Conflict(f"version {state.version} was written by another")
+        if self._fs.getScheme() == "file":  # a rename there replaces a file without a word, a link does not
+            paths = [p.toUri().getPath() for p in (part, marker)]
+            try:
+                os.link(*paths)
+            except FileExistsError as e:
+                raise taken from e
+            finally:
+                self._fs.delete(part, False)
+            return
+        options = self.spark._jvm.org.apache.hadoop.fs
+        context = options.FileContext.getFileContext(self._fs.getUri(), self.spark._jsc.hadoopConfiguration())
+        none = self.spark.sparkContext._gateway.new_array(options.Options.Rename, 0)
+        try:
+            context.rename(part, marker, none)
+        except Exception as e:
+            self._fs.delete(part, False)
+            if "exist" in str(e).lower():
+                raise taken from e
+            raise
 
-    def __init__(self, spark: SparkSession, folder: str) -> None:
-        self.spark, self.folder = spark, folder.rstrip("/")
-        path = spark._jvm.org.apache.hadoop.fs.Path(self.folder)
-        self._fs, self._path = path.getFileSystem(spark._jsc.hadoopConfiguration()), spark._jvm.org.apache.hadoop.fs.Path
+    def _commit(self, base: State, changed: Mapping[int, str | None], tries: int = 50) -> int:
+        """Publishes base with buckets changed (None: empty); goes on from newer versions that left these buckets alone."""
+        for _ in range(tries):
+            parts = {b: n for b, n in {**base.parts, **changed}.items() if n is not None}
+            try:
+                self._publish(State(base.version + 1, base.buckets, parts))
+                return base.version + 1
+            except Conflict:
+                newer = self.state()
+                if newer.buckets != base.buckets or any(newer.parts.get(b) != base.parts.get(b) for b in changed):
+                    raise
+                base = newer
+        raise Conflict(f"version {base.version + 1} was written by others again and again")
 
-    def _versions(self) -> dict[int, str]:
-        """Names of the snapshots by version; a marker without a name yet is not there yet."""
-        at = self._path(f"{self.folder}/versions")
-        if not self._fs.exists(at):
-            return {}
-        lines = self.spark.read.text(f"{self.folder}/versions").select(F.regexp_extract("_metadata.file_name", r"^(\d+)$", 1).alias("n"), "value")
-        return {int(r.n): r.value for r in lines.where("n != '' and value != ''").collect()}
+    # rows
 
     @property
     def version(self) -> int:
         return max(self._versions(), default=0)
 
-    def read(self) -> DataFrame:
-        known = self._versions()
-        if not known:
-            return self.spark.createDataFrame([], ", ".join(f"{c} string" for c in COLUMNS))
-        return self.spark.read.parquet(f"{self.folder}/data/{known[max(known)]}")
+    def _bucket(self, buckets: int) -> Column:
+        return F.pmod(F.xxhash64("source_url"), F.lit(buckets)).cast("int")
+
+    def read(self, state: State | None = None, only: Iterable[int] | None = None) -> DataFrame:
+        """The rows of a version, the newest if none is given; only: of these buckets."""
+        state = state or self.state()
+        parts = {b: n for b, n in state.parts.items() if only is None or b in set(only)}
+        kinds = ", ".join(f"{c} string" for c in COLUMNS)
+        if not parts:
+            return self.spark.createDataFrame([], kinds)
+        return self.spark.read.schema(kinds).parquet(*(f"{self.folder}/data/{n}/{_BUCKET}={b}" for b, n in sorted(parts.items())))
+
+    def _put(self, rows: DataFrame, buckets: int) -> tuple[str, set[int]]:
+        """Writes rows by bucket to a new folder; returns its name and the buckets that have rows."""
+        name = uuid.uuid4().hex
+        dealt = projected(rows).withColumn(_BUCKET, self._bucket(buckets))
+        dealt.repartition(buckets, _BUCKET).write.partitionBy(_BUCKET).parquet(f"{self.folder}/data/{name}")
+        return name, {int(n.partition("=")[2]) for n in self._names(f"data/{name}") if n.startswith(f"{_BUCKET}=")}
 
     def write(self, df: DataFrame, after: int | None = None) -> int:
-        """A new snapshot, made from version `after`; returns its version.
+        """A new snapshot of all rows, made from version `after` (the newest where it is not given); returns its version.
 
-        The marker of a version is created only where there is none, so of two writers that
-        started from one version the second fails with Conflict, and nothing is lost.
+        Conflict if there is a later one by now.
         """
-        version, name = (self.version if after is None else after) + 1, uuid.uuid4().hex
-        df.write.parquet(f"{self.folder}/data/{name}")
-        try:
-            out = self._fs.create(self._path(f"{self.folder}/versions/{version:08d}"), False)
-        except Exception as e:
-            if "exists" in str(e):
-                raise Conflict(f"version {version} was written by another") from e
-            raise
-        out.write(bytearray(name.encode()))
-        out.close()
-        return version
+        base = self.state(after)
+        name, filled = self._put(df, base.buckets)
+        self._publish(State(base.version + 1, base.buckets, dict.fromkeys(sorted(filled), name)))
+        return base.version + 1
 
-    def upsert(self, records: DataFrame, order: Sequence = (), tries: int = 5) -> int:
+    def upsert(self, records: DataFrame, order: Sequence = (), tries: int = 20) -> int:
         """Records in place of those of their source_url; of several new ones the last by order counts.
 
-        Where another writer was faster, the upsert is done again over what that one wrote.
+        Records are worked out once, into the folder of the writer, whatever other writers
+        do; only buckets that have new records are read and written.
         """
-        new = keep_last(projected(records), ["source_url"], list(order) or [F.desc("crawl_time")])
+        buckets = self.state().buckets
+        staged, touched = self._put(keep_last(projected(records), ["source_url"], list(order) or [F.desc("crawl_time")]), buckets)
+        new = self.spark.read.schema(", ".join(f"{c} string" for c in COLUMNS)).parquet(*(f"{self.folder}/data/{staged}/{_BUCKET}={b}" for b in sorted(touched))) if touched else self.read(State())
         for left in range(tries, 0, -1):
-            version = self.version
+            base = self.state()
+            if base.buckets != buckets:
+                raise Conflict("the table has other buckets by now")
+            if not set(touched) & set(base.parts):  # nothing to merge with: the records are the buckets
+                name, filled = staged, touched
+            else:
+                name, filled = self._put(upsert(self.read(base, touched), new, "source_url"), buckets)
             try:
-                return self.write(upsert(self.read(), new, "source_url"), version)
+                version = self._commit(base, {b: name if b in filled else None for b in touched})
             except Conflict:
                 if left == 1:
                     raise
+                continue
+            if name != staged:
+                self._fs.delete(self._path(f"{self.folder}/data/{staged}"), True)
+            return version
         raise AssertionError
 
-    def set_status(self, key: str, status: str) -> int:
+    def set_status(self, key: str, status: str, tries: int = 20) -> int:
         """The review status of one article; returns how many rows have the key."""
-        rows = self.read()
-        n = rows.where(F.col("article_key") == key).count()
-        if n:
-            self.write(with_status(rows, F.col("article_key") == key, status))
-        return n
+        for left in range(tries, 0, -1):
+            base = self.state()
+            chosen = F.col("article_key") == key
+            found = self.read(base).where(chosen).groupBy(self._bucket(base.buckets).alias("b")).count().collect()  # at most one row a bucket
+            if not found:
+                return 0
+            touched = [r.b for r in found]
+            name, filled = self._put(with_status(self.read(base, touched), chosen, status), base.buckets)
+            try:
+                self._commit(base, {b: name if b in filled else None for b in touched})
+                return sum(r["count"] for r in found)
+            except Conflict:
+                if left == 1:
+                    raise
+        raise AssertionError
+
+    def rebucket(self, buckets: int) -> int:
+        """The same rows in another number of buckets, each one file a bucket, as a table that has grown wants; returns the version."""
+        base = self.state()
+        name, filled = self._put(self.read(base), buckets)
+        self._publish(State(base.version + 1, buckets, dict.fromkeys(sorted(filled), name)))
+        return base.version + 1
+
+    def expire(self, keep: int = 10, grace_seconds: float = 86_400) -> int:
+        """Removes versions but the last `keep`, and what no version names: old data and the leavings of writers that died.
+
+        Nothing that is younger than the grace goes, as its writer or a reader may be at
+        work. Returns how many folders of data went.
+        """
+        versions = self._versions()
+        for v in versions[: max(0, len(versions) - max(1, keep))]:
+            self._fs.delete(self._path(self._marker(v)), False)
+        named = {n for v in self._versions() for n in self.state(v).parts.values()}
+        oldest, gone = (time.time() - grace_seconds) * 1000, 0
+        for folder in ("data", "pending"):
+            at = self._path(f"{self.folder}/{folder}")
+            for f in self._fs.listStatus(at) if self._fs.exists(at) else ():
+                if f.getPath().getName() not in named and f.getModificationTime() <= oldest:
+                    gone += bool(self._fs.delete(f.getPath(), True)) and folder == "data"
+        return gone
 
     def scan(self) -> DataFrame:
         """All rows, the newest first."""
