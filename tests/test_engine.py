@@ -213,3 +213,18 @@ def test_streaming_upserts(spark, tmp_path):
         ingest_manifests(spark, str(source), store, records_of, str(tmp_path / "ckpt")).awaitTermination()
     assert [(r.source_url, r.article_title) for r in store.read().collect()] == [("u", "two")]
     assert store.version == 2
+
+
+def test_row_numbers_without_the_driver(spark):
+    import random
+
+    from weftline.operators.numbering import numbered
+
+    df = spark.range(1_000_000).selectExpr("(id * 7919) % 1000003 as k", "id % 3 as t")
+    rows = numbered(df, ["k"], "n")
+    assert rows.selectExpr("min(n)", "max(n)", "count(distinct n)").first() == (0, 999_999, 1_000_000)
+    assert rows.alias("a").join(rows.alias("b"), F.expr("a.n + 1 = b.n")).where("a.k > b.k").count() == 0
+    picked = {r.k for r in R.review_sample(df, ["k"], 0.0005, 42).select("k").collect()}
+    by_rank = sorted((i * 7919) % 1000003 for i in range(1_000_000))
+    assert picked == {by_rank[i] for i in random.Random(42).sample(range(1_000_000), 500)}
+    assert numbered(df.limit(0), ["k"]).count() == 0 and R.review_sample(df.limit(0), ["k"], 0.5, 1).count() == 0

@@ -23,6 +23,7 @@ from weftline.services.search import CacheTable, Result, SearchService, fetch_wi
 from weftline.services.server import build_server
 from weftline.sources import crawl as C
 from weftline.sources import fetch as W
+from weftline.operators.results import ResultTable
 from weftline.sources.store import COLUMNS, Conflict, Store, export_csv, export_xlsx, read_csv
 
 LIST = "<ul>" + "".join(f'<li class="item"><a href="/a{i}.html">标题{i}</a><span>2025-06-0{i}</span></li>' for i in (1, 2, 3)) + "</ul>"
@@ -208,13 +209,70 @@ def test_images_are_read_once(spark, tmp_path):
             raise ValueError
         return data.decode().upper()
 
+    table = ResultTable(spark, tmp_path / "texts")
     images = spark.createDataFrame([("a", 0, b"one"), ("a", 1, b"two"), ("b", 0, b"one"), ("b", 1, b"bad"), ("c", 0, b"old")], "article_key string, place int, data binary")
-    cache = images.where("article_key = 'c'").select(F.sha1("data").alias("sha1"), F.lit("known").alias("text"))
-    rows, texts = X.recognised(images, cache, recognise)
-    got = {(r.article_key, r.place): (r.text, r.cached) for r in rows.collect()}
-    assert got == {("a", 0): ("ONE", False), ("a", 1): ("TWO", False), ("b", 0): ("ONE", False), ("b", 1): (None, False), ("c", 0): ("known", True)}
-    assert sorted(p.read_bytes() for p in folder.iterdir()) == [b"bad", b"one", b"two"]
-    assert sorted(r.text for r in texts.collect()) == ["ONE", "TWO", "known"]
+    X.recognised_once(images.where("article_key = 'c'"), table, recognise).count()
+    rows = X.recognised_once(images, table, recognise)
+    for _ in range(2):  # a second action asks nothing
+        got = {(r.article_key, r.place): (r.text, r.cached) for r in rows.collect()}
+        assert got == {("a", 0): ("ONE", False), ("a", 1): ("TWO", False), ("b", 0): ("ONE", False), ("b", 1): (None, False), ("c", 0): ("OLD", True)}
+    assert sorted(p.read_bytes() for p in folder.iterdir()) == [b"bad", b"old", b"one", b"two"]
+    again = X.recognised_once(images, table, recognise)
+    assert again.where("cached").count() == 4 and len(list(folder.iterdir())) == 5  # what could not be read is tried again
+
+
+def test_a_failed_task_asks_nothing_again(spark, tmp_path):
+    asked_ = tmp_path / "asked"
+    asked_.mkdir()
+
+    def ask(text):
+        import os
+        import uuid
+
+        (asked_ / uuid.uuid4().hex).write_text(text, encoding="utf-8")
+        if text == "p7" and not (asked_ / "died").exists():
+            (asked_ / "died").write_text("")
+            os._exit(1)  # the worker dies in the middle of its task
+        return text.upper() + "\n"
+
+    wanted = spark.range(10).selectExpr("sha2(cast(id as string), 256) as key", "concat('p', id) as payload").coalesce(1)
+    table = ResultTable(spark, tmp_path / "replies")
+    dead = tmp_path / "replies" / "journal" / "dead"
+    dead.mkdir(parents=True)
+    key_of_3 = wanted.where("payload = 'p3'").first().key
+    (dead / key_of_3).write_text("left by a run that died", encoding="utf-8")
+    try:
+        got = table.answers(wanted, ask)
+    except Exception:  # a local master does not try a task again
+        got = ResultTable(spark, tmp_path / "replies").answers(wanted, ask)
+    for _ in range(2):
+        assert sorted(r.value for r in got.collect()) == sorted([f"P{i}\n" for i in range(10) if i != 3] + ["left by a run that died"])
+    texts = sorted(p.read_text(encoding="utf-8") for p in asked_.iterdir() if p.name != "died")
+    assert texts == sorted([f"p{i}" for i in range(10) if i != 3] + ["p7"])  # p7 had no answer when its worker died
+    table.compact()
+    assert table.known().count() == 10 and list((tmp_path / "replies" / "journal").glob("*")) == []
+
+
+def test_the_batch_asks_once(spark, tmp_path):
+    calls = tmp_path / "calls"
+    calls.mkdir()
+
+    def note(kind, answer):
+        def run(data):
+            import uuid
+
+            (calls / f"{kind}-{uuid.uuid4().hex}").write_text("x")
+            return answer
+
+        return run
+
+    c = config(tmp_path, ocr={"enabled": True}, llm={"enabled": True, "provider": "ollama", "model": "m"})
+    b = batch.Batch(spark, c, portal(), fast(), model=note("model", "{}"), recognise=note("image", "图片"), login=lambda client: None, today=date(2026, 1, 1))
+    b.fetch()
+    for _ in range(2):
+        result = b.extract()
+    count = lambda kind: sum(p.name.startswith(kind) for p in calls.iterdir())
+    assert count("image") == 1 and count("model") == 1 and result.counters["ocr_cached"] == 1
 
 
 # batch

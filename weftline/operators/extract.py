@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from weftline.functions import lexicon as L
 from weftline.functions.text import CORE_FIELDS, MISSING, fold_missing, is_missing, match_first, squeezed, stripped
+from weftline.operators.lineage import checkpointed
+from weftline.operators.results import ResultTable
 
 # Organisation words after a city, cue words, suffixes and titles.
 CITY_FALSE_SUFFIXES = ("大学", "学院", "公司", "集团", "银行", "研究院", "研究所", "设计院", "医院", "中学", "小学", "航空", "理工", "师范", "民族")
@@ -165,12 +167,8 @@ def prompts(title: Column, body: Column, unknown: Column, limit: int = 6000) ->
     return F.concat(F.lit("fields: "), F.array_join(unknown, ", "), F.lit("\ntitle: "), F.coalesce(title, F.lit("")), F.lit("\nbody: "), prompt_text(body, limit))
 
 
-def asked(df: DataFrame, prompt: str, model: Callable[[str], str], retries: int = 1, name: str = "reply") -> DataFrame:
-    """df with the model's reply to each prompt; null for a null prompt, or where every try failed.
-
-    The model is called on executors, once a row and try; an error costs the row its reply, no more.
-    """
-    columns = df.columns
+def asking(model: Callable[[str], str], retries: int = 1) -> Callable[[str | None], str | None]:
+    """The model with more tries after an error; null for a null prompt, or where every try failed."""
 
     def ask(text: str | None) -> str | None:
         for _ in range(retries + 1 if text is not None else 0):
@@ -180,6 +178,25 @@ def asked(df: DataFrame, prompt: str, model: Callable[[str], str], retries: int
                 continue
         return None
 
+    return ask
+
+
+def asked(df: DataFrame, prompt: str, model: Callable[[str], str], retries: int = 1, name: str = "reply", results: ResultTable | None = None, named: str = "") -> DataFrame:
+    """df with the model's reply to each prompt; null for a null prompt, or where every try failed.
+
+    The model is called on executors; an error costs the row its reply, no more. With
+    results, each distinct prompt is asked for once and its reply is kept there, before df
+    goes on; named says which model and settings the replies are of. Without, the model is
+    called once a row and try, whenever df is worked out.
+    """
+    ask = asking(model, retries)
+    if results is not None:
+        # What led to the prompts is kept, as it is read twice: to ask, and to go on with the replies.
+        keyed = checkpointed(df.withColumn("_key", F.when(F.col(prompt).isNotNull(), F.sha2(F.concat_ws("\n", F.lit(named), prompt), 256))))
+        replies = results.answers(keyed.select(F.col("_key").alias("key"), F.col(prompt).alias("payload")), ask)
+        return keyed.join(replies.select(F.col("key").alias("_key"), F.col("value").alias(name)), "_key", "left").drop("_key")
+    columns = df.columns
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             replies = pa.array([ask(t) for t in b.column(columns.index(prompt)).to_pylist()], pa.string())
@@ -189,30 +206,16 @@ def asked(df: DataFrame, prompt: str, model: Callable[[str], str], retries: int
     return df.mapInArrow(run, f"{kinds}, `{name}` string")
 
 
-def recognised(images: DataFrame, cache: DataFrame, recognise: Callable[[bytes], str]) -> tuple[DataFrame, DataFrame]:
-    """(image rows with text and `cached`, cache with the new texts).
+def recognised_once(images: DataFrame, results: ResultTable, recognise: Callable[[bytes], str]) -> DataFrame:
+    """Image rows (article_key, place, data) with sha1, text and `cached`, for data.
 
-    images hold article_key, place, data; cache holds sha1, text. An image is known by its
-    bytes: one that the cache has, or that occurs again, is not read again. An image that
-    cannot be read has no text and is not cached.
+    An image is known by its bytes: one that results hold, or that occurs again, is not
+    read again. An image that cannot be read has no text.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts = []
-            for data in b.column(1).to_pylist():
-                try:
-                    texts.append(recognise(data))
-                except Exception:
-                    texts.append(None)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], names=["sha1", "text"])
-
     named = images.withColumn("sha1", F.sha1("data"))
-    new = named.join(cache, "sha1", "left_anti").groupBy("sha1").agg(F.first("data").alias("data"))
-    fresh = new.mapInArrow(run, "sha1 string, text string").where("text is not null")
-    known = cache.select("sha1", "text", F.lit(True).alias("cached")).unionByName(fresh.withColumn("cached", F.lit(False)))
-    rows = named.join(known, "sha1", "left").select("article_key", "place", "sha1", "text", F.coalesce("cached", F.lit(False)).alias("cached"))
-    return rows, known.select("sha1", "text")
+    texts = results.answers(named.select(F.col("sha1").alias("key"), F.col("data").alias("payload")), recognise)
+    texts = texts.select(F.col("key").alias("sha1"), F.col("value").alias("text"), "cached")
+    return named.join(texts, "sha1", "left").select("article_key", "place", "sha1", "text", F.coalesce("cached", F.lit(False)).alias("cached"))
 
 
 def cache_counts(cached: Column) -> dict[str, Column]:
@@ -239,7 +242,7 @@ def image_hits(df: DataFrame, title: str, text: str, image_text: str, lexicon: d
     return found.select(*columns, F.struct(*marked).alias(name))
 
 
-def two_stage(df: DataFrame, title: str, text: str, lexicon: dict, model: Callable[[str], str] | None = None, below: int = len(CORE_FIELDS), retries: int = 1, image_text: str | None = None, more: dict[str, list[str]] | None = None) -> DataFrame:
+def two_stage(df: DataFrame, title: str, text: str, lexicon: dict, model: Callable[[str], str] | None = None, below: int = len(CORE_FIELDS), retries: int = 1, image_text: str | None = None, more: dict[str, list[str]] | None = None, results: ResultTable | None = None, named: str = "") -> DataFrame:
     """Rules first, then the model for what they left unknown, then the text of images.
 
     df gains rule_hits, model_hits and image_hits, the core fields, extract_method,
@@ -253,7 +256,7 @@ def two_stage(df: DataFrame, title: str, text: str, lexicon: dict, model: Callab
         df = df.withColumn("model_hits", none)
     else:
         wanted = needs_model(n_hits(F.col("rule_hits")), F.size("_unknown"), below)
-        df = asked(df.withColumn("_prompt", F.when(wanted, prompts(F.col(title), F.col(text), F.col("_unknown")))), "_prompt", model, retries, "_reply")
+        df = asked(df.withColumn("_prompt", F.when(wanted, prompts(F.col(title), F.col(text), F.col("_unknown")))), "_prompt", model, retries, "_reply", results, named)
         said = reply_hits(F.col("_reply"), F.col(text))
         # Of a reply only fields that were asked for count.
         df = df.withColumn("_said", said).withColumn("model_hits", F.struct(*[F.when(F.array_contains("_unknown", f), F.col("_said")[f]).alias(f) for f in CORE_FIELDS])).drop("_said", "_prompt", "_reply")

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import math
 import random
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.functions.text import CORE_FIELDS, MISSING, fold_missing
+from weftline.operators.numbering import numbered
 
 METHODS = ("rule", "llm", "hybrid", "none")
 KINDS = ("html", "ocr", "mixed")
@@ -127,13 +129,19 @@ def sample_indices(n: int, rate: float, seed: int) -> list[int]:
 def review_sample(df: DataFrame, order: Sequence[str], rate: float, seed: int) -> DataFrame:
     """The rows of df, in the given order, whose numbers the seed picks; the order must name each row.
 
-    Only the columns of the order are sorted and numbered; whole rows are joined to the picks.
+    Only the columns of the order are sorted and numbered; whole rows are joined to the
+    picks, which a task makes as a table (they follow one another from the seed).
     """
-    spark = df.sparkSession
-    keys = df.select(*order).orderBy(*order)
-    numbered = spark.createDataFrame(keys.rdd.zipWithIndex().map(lambda x: (x[1], *x[0])), f"_row long, {', '.join(f'`{c}` {df.schema[c].dataType.simpleString()}' for c in order)}")
-    picks = spark.createDataFrame([(i,) for i in sample_indices(df.count(), rate, seed)], "_row long")
-    return df.join(numbered.join(picks, "_row").drop("_row"), list(order), "left_semi")
+    keys = numbered(df.select(*order), order)
+    n = keys.count()
+
+    def picked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _ in batches:
+            picks = pa.array(sample_indices(n, rate, seed), pa.int64())
+            yield from pa.table({"_row": picks}).to_batches(max_chunksize=1 << 16)
+
+    picks = df.sparkSession.range(1, numPartitions=1).mapInArrow(picked, "_row long")
+    return df.join(keys.join(picks, "_row").drop("_row"), list(order), "left_semi")
 
 
 def scan_order(df: DataFrame, newest: str = "crawl_time", then: str = "source_url") -> DataFrame:

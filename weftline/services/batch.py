@@ -9,6 +9,7 @@ import sys
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
+from itertools import islice
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,12 +21,15 @@ from weftline.functions import text as T
 from weftline.functions.html import clean_pages
 from weftline.operators import extract as X
 from weftline.operators import records as R
+from weftline.operators.results import ResultTable
 from weftline.services import report
 from weftline.sources import crawl as C
 from weftline.sources import fetch as W
 from weftline.sources.store import Store, export_csv, export_review, export_xlsx, summary_json
 
 STAGES = ("fetch", "extract", "export")
+#: References that are looked up in the store together.
+_REFS = 200
 # Exit codes.
 OK, FAILED, USAGE, BAD_CONFIG, NO_LOGIN, INTERRUPTED = 0, 1, 2, 3, 4, 130
 
@@ -56,7 +60,7 @@ class StageResult:
         return json.dumps(dataclasses.asdict(self) | {"counters": dict(sorted(self.counters.items()))}, ensure_ascii=False)
 
 
-def extracted(pages: DataFrame, lexicon: dict, site_patterns: dict[str, list[str]] | None = None, model: Callable[[str], str] | None = None, below: int = len(T.CORE_FIELDS), image_text: str | None = None) -> DataFrame:
+def extracted(pages: DataFrame, lexicon: dict, site_patterns: dict[str, list[str]] | None = None, model: Callable[[str], str] | None = None, below: int = len(T.CORE_FIELDS), image_text: str | None = None, results: ResultTable | None = None, named: str = "") -> DataFrame:
     """Article rows of manifest entries with html, in one plan: clean, extract, shape.
 
     pages hold detail_url, list_url, title, publish_date, html_path, crawl_time and html.
@@ -65,7 +69,7 @@ def extracted(pages: DataFrame, lexicon: dict, site_patterns: dict[str, list[str
     rows = pages.drop("html", "images").join(clean, "detail_url")
     title = F.when(F.length(F.trim("page_title")) > 0, F.col("page_title")).otherwise(F.coalesce("title", F.lit("")))
     rows = rows.withColumn("article_title", title).withColumn("content_kind", X.content_kind(F.lit("html"), F.col("text"), F.col("n_images")))
-    found = X.two_stage(rows, "article_title", "text", lexicon, model, below, image_text=image_text, more=site_patterns)
+    found = X.two_stage(rows, "article_title", "text", lexicon, model, below, image_text=image_text, more=site_patterns, results=results, named=named)
     return found.withColumns({"article_key": T.article_key(F.col("detail_url")), "source_url": F.col("detail_url"), "raw_html_path": F.col("html_path"), "review_status": F.lit("pending")})
 
 
@@ -86,16 +90,25 @@ class Batch:
         """New articles into the archive and the manifest; one that fails is noted and passed over."""
         result = StageResult("fetch")
         self.login(self.client)  # without a login nothing is fetched
-        known = {r.source_url for r in self.store.existing_urls().toLocalIterator()}
-        for ref in W.all_refs(self.client, search):
-            result.add("refs_found")
-            if ref["detail_url"] in known:
-                result.add("skipped_existing")
-                continue
-            self._detail(ref, result)
+        refs = iter(W.all_refs(self.client, search))
+        while some := list(islice(refs, _REFS)):
+            new = self._fresh(some)
+            result.add("refs_found", len(some))
+            if len(new) < len(some):
+                result.add("skipped_existing", len(some) - len(new))
+            for ref in new:
+                self._detail(ref, result)
         result.artifacts += [self.config.extract.raw_html_dir, str(self.archive.manifest)]
         return result.finished()
 
+    def _fresh(self, refs: Sequence[Mapping[str, str]]) -> list[Mapping[str, str]]:
+        """Those of a few references that are not stored yet; stored URLs are joined to them, never listed."""
+        if not refs:
+            return []
+        asked = self.spark.createDataFrame([(r["detail_url"],) for r in refs], "detail_url string")
+        new = {r.detail_url for r in self.store.fresh(asked).collect()}
+        return [r for r in refs if r["detail_url"] in new]
+
     def _detail(self, ref: Mapping[str, str], result: StageResult) -> None:
         entry = W.fetch_detail(self.client, self.archive, ref, _now())
         self.archive.append(entry)
@@ -124,12 +137,8 @@ class Batch:
             images = rows.join(files, "image_path").select(F.col("detail_url").alias("article_key"), "place", "data")
         else:
             images = self.spark.createDataFrame([], empty)
-        cached = self.config.path(e.ocr_cache_dir)
-        cache = self.spark.read.parquet(str(cached / "texts")) if (cached / "texts").exists() else self.spark.createDataFrame([], "sha1 string, text string")
-        found, texts = X.recognised(images, cache, self.recognise)
-        found = found.cache()
+        found = X.recognised_once(images, ResultTable(self.spark, self.config.path(e.ocr_cache_dir)), self.recognise)
         counts = found.agg(*[c.alias(n) for n, c in X.cache_counts(F.col("cached")).items()]).first()
-        texts.join(cache, "sha1", "left_anti").write.mode("append").parquet(str(cached / "texts"))
         merged = found.where(F.length(F.trim(F.coalesce("text", F.lit("")))) > 0).groupBy("article_key").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("place", "text"))), lambda x: F.trim(x["text"])), "\n").alias("image_text"))
         self._images = counts.asDict()
         return pages.join(merged.withColumnRenamed("article_key", "detail_url"), "detail_url", "left")
@@ -149,7 +158,7 @@ class Batch:
             result.counters |= self._images
         lexicon = self.config.lexicon
         model = self.model if self.config.llm.enabled else None
-        rows = extracted(pages, lexicon, self._site_patterns(), model, self.config.extract.llm_trigger_below, image_text)
+        rows = extracted(pages, lexicon, self._site_patterns(), model, self.config.extract.llm_trigger_below, image_text, ResultTable(self.spark, self.config.path(self.config.storage.folder) / "replies"), f"{self.config.llm.provider} {self.config.llm.model} {self.config.llm.temperature}")
         standards = {f: list(lexicon.get(g, ())) for f, g in (("degree", "degree"), ("city", "cities"), ("grade", "grade"))}
         checked = R.verdict(rows.withColumn("issues", R.issues(["source_url", "raw_html_path", "crawl_time"], standards, self.year))).cache()
         n = {
@@ -204,11 +213,9 @@ class Batch:
         text = query.raw_text or " ".join(query.keywords)
         candidates = self.spark.range(1).select(keyword_candidates(F.lit(text)).alias("c")).first().c
         refs, keyword, pages = fetch_with_candidates(list_page, candidates, self.config.search.max_fetch_pages)
-        known = {r.source_url for r in self.store.existing_urls().toLocalIterator()}
-        before, result = len(known), StageResult("fetch")
-        for ref in refs:
-            if keyword in ref["title"] and ref["detail_url"] not in known:
-                self._detail(ref, result)
+        before, result = self.store.existing_urls().count(), StageResult("fetch")
+        for ref in self._fresh([r for r in refs if keyword in r["title"]]):
+            self._detail(ref, result)
         if result.counters.get("details_fetched"):
             self.extract()
         after = self.store.existing_urls().count()
