@@ -80,3 +80,27 @@ def test_letters_cover_a_text_with_a_repetitive_stretch():
                 assert likeness(a, b) > 0.5
                 # A changed part takes its share of the letters, wherever it stands.
                 assert likeness(a, c) < 1 - len(back) / len(text) / 2
+
+
+def test_a_line_more_in_a_list_changes_little():
+    rnd = random.Random(5)
+    word = lambda: "".join(rnd.choices("abcdefghijk", k=rnd.randrange(2, 9)))
+    line = "the same fixed line at the end of every block\n"
+    blocks = [" ".join(word() for _ in range(6)) + "\n" + line for _ in range(400)]
+    for parts, more in ((blocks, line), ([line] * 100, line), ([line] * 400, line), (["spam "] * 900, "spam "), (blocks + [line] * 400, line)):
+        text = "".join(parts)
+        for at in (0, len(parts) // 2, len(parts) // 3, len(parts)):
+            edited = "".join(parts[:at]) + more + "".join(parts[at:])
+            a, b = fingerprints([text.encode(), edited.encode()])
+            assert likeness(a, b) > 0.9, (at, a, b)
+    text, edited = "".join(blocks), "".join([word() + "\n", *blocks])
+    assert likeness(*fingerprints([text.encode(), edited.encode()])) > 0.9
+
+
+def test_very_long_texts():
+    rnd = random.Random(6)
+    words = ["".join(rnd.choices("abcdefghijk", k=rnd.randrange(2, 9))) for _ in range(3000)]
+    text = " ".join(rnd.choices(words, k=500_000))
+    half = len(text) // 2
+    a, b, c = fingerprints([x.encode() for x in (text, text[:half] + " one more word" + text[half:], text[:half])])
+    assert 32 <= len(a.split(":")[1]) <= 64 and likeness(a, b) > 0.9 and likeness(a, c) > 0.3

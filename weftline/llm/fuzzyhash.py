@@ -1,14 +1,18 @@
 """Document fingerprints by context-triggered piecewise hashing.
 
-A rolling hash over 7 bytes cuts a text where its low k bits are zero, about every 2**k
-bytes; each chunk gives one of 64 letters. k comes from the length, is lowered while there
-are fewer than 32 cuts, and then raised while there are over 63, or over 31 at k + 1, so
-letters cover the whole text. From its fifth place in a text on, a window of 7 bytes is
-hashed with the number of the place, so that a repetitive stretch is cut as often as any
-other. A fingerprint is `k:letters at k:letters at k + 1`,
-so texts of somewhat different size still share a block size. Two fingerprints are
-compared at the block sizes they share by the edit distance (insertions and deletions)
-of their letters, and only if these have a run in common.
+A hash of the last 8 bytes cuts a text where its low k bits are zero, about every 2**k
+bytes; each chunk gives one of 64 letters. A window that stood three times within the
+3 * 2**k bytes before is a repeat: it cuts where its distance from the last window that is
+none is 1/2, 3/2, 5/2 ... times 2**k, so that a long stretch that repeats itself takes its
+share of the letters, and the line that each block of a list ends with is cut nowhere. All
+this looks at a window and the bytes just before it, so an edit changes letters near it and
+no others, and one line more in a list, wherever it is put, is as one more at its end. k
+comes from the length, is lowered while there are fewer than 32 cuts, and then raised while
+there are over 63, or over 31 at k + 1, so letters cover the whole text. A fingerprint is
+`k:letters at k:letters at k + 1:letters at k + 2`, so texts of somewhat different size
+still share block sizes. Two fingerprints are compared at the block sizes they share by
+the edit distance (insertions and deletions) of their letters, and only if these have a
+run in common.
 """
 
 from __future__ import annotations
@@ -24,12 +28,13 @@ from pyspark.sql import functions as F
 from weftline.llm import textvec as V
 from weftline.llm.shared import buckets
 
-ROLL = 7
+#: Bytes of a window.
+ROLL = 8
 LEAST_K = 2
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 LONGEST = 64
-#: Places of one window in a text that are hashed without their number.
-PLAIN_PLACES = 4
+#: A window that stood so often within as many times the block size is a repeat.
+TWINS = 3
 COMMON_RUN = 7
 _ALPHABET = np.frombuffer(LETTERS.encode(), np.uint8)
 
@@ -48,22 +53,64 @@ def fingerprints(texts: list[bytes]) -> list[str]:
     return out
 
 
-def _tell_repeats_apart(roll: np.ndarray) -> None:
-    """Changes the hashes of one text, in place, where a window has stood PLAIN_PLACES times before."""
-    n = len(roll)
-    if n <= PLAIN_PLACES:
-        return
-    bits = np.uint64(n.bit_length())
-    key = (roll >> bits << bits) | np.arange(n, dtype=np.uint64)
+def _since(roll: np.ndarray) -> np.ndarray:
+    """How many places ago each window of one text stood for the TWINS-th last time; very many where it did not."""
+    out = np.full(len(roll), np.iinfo(np.int64).max)
+    bits = np.uint64(max(1, len(roll).bit_length()))
+    key = (roll >> bits << bits) | np.arange(len(roll), dtype=np.uint64)
     key.sort()
-    window = key >> bits
-    # Windows that stand more often than that are equal to the one so many before them.
-    late = np.flatnonzero(window[PLAIN_PLACES:] == window[:-PLAIN_PLACES]) + PLAIN_PLACES
-    if len(late):
-        number = late - np.searchsorted(window, window[late])
-        place = (key[late] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    place = (key & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    key >>= bits
+    again = np.flatnonzero(key[TWINS:] == key[:-TWINS]) + TWINS
+    out[place[again]] = place[again] - place[again - TWINS]
+    return out
+
+
+class _Text:
+    """The windows of one text: their hashes, and how long ago each stood before."""
+
+    def __init__(self, roll: np.ndarray) -> None:
+        self.roll, self.since = roll, _since(roll)
+        self.known: dict[int, np.ndarray] = {}
+
+    def hashes(self, level: int) -> np.ndarray:
+        """Hashes of the windows at a block size of 2**level."""
+        if level not in self.known:
+            out = self.roll
+            repeat = np.flatnonzero(self.since <= TWINS << level)
+            if len(repeat):
+                last = np.arange(len(out))
+                last[repeat] = 0
+                far = repeat - np.maximum.accumulate(last)[repeat]
+                out = out.copy()
+                with np.errstate(over="ignore"):
+                    out[repeat] = V.mix64(out[repeat] + far.astype(np.uint64) * np.uint64(V.BASE)) << np.uint64(level) | ((far + (1 << level >> 1)) & ((1 << level) - 1)).astype(np.uint64)
+            self.known[level] = out
+        return self.known[level]
+
+    def cuts(self, level: int) -> np.ndarray:
+        """Ends of chunks."""
+        return np.flatnonzero((self.hashes(level) & np.uint64((1 << level) - 1)) == 0) + 1
+
+    def letters(self, level: int, cuts: np.ndarray) -> str:
+        n = len(self.roll)
+        bounds = np.concatenate([[0], cuts, [n] if n and (not len(cuts) or cuts[-1] < n) else []]).astype(np.int64)
         with np.errstate(over="ignore"):
-            roll[place] = V.mix64(roll[place] + number.astype(np.uint64) * np.uint64(V.BASE))
+            total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(V.mix64(self.hashes(level)))])
+            each = V.mix64(total[bounds[1:]] - total[bounds[:-1]] + np.uint64(V.BASE))
+        return _ALPHABET[(each & np.uint64(63)).astype(np.int64)].tobytes().decode()
+
+    def fingerprint(self) -> str:
+        level = max(LEAST_K, int(np.ceil(np.log2(max(len(self.roll), 1) / LONGEST))))
+        one = self.cuts(level)
+        while len(one) < LONGEST // 2 and level > LEAST_K:
+            level -= 1
+            one = self.cuts(level)
+        two = self.cuts(level + 1)
+        while len(one) >= LONGEST or len(two) >= LONGEST // 2:
+            level += 1
+            one, two = two, self.cuts(level + 1)
+        return ":".join([str(level), self.letters(level, one), self.letters(level + 1, two), self.letters(level + 2, self.cuts(level + 2))])
 
 
 def _batch(texts: list[bytes]) -> list[str]:
@@ -75,45 +122,7 @@ def _batch(texts: list[bytes]) -> list[str]:
     place = np.arange(len(buf) - ROLL + 1)
     roll = np.zeros(len(buf), np.uint64)
     roll[ROLL - 1 :] = V.substring_hash(prefix, place, place + ROLL)
-    for s, e in zip(start.tolist(), (start + lens).tolist(), strict=True):
-        _tell_repeats_apart(roll[s:e])
-    k = np.maximum(LEAST_K, np.ceil(np.log2(np.maximum(lens, 1) / LONGEST)).astype(np.int64))
-    k += (np.int64(LONGEST) << k) < lens
-    low = np.maximum(LEAST_K, k - 3)
-    mask = np.repeat((np.uint64(1) << low.astype(np.uint64)) - np.uint64(1), lens)
-    at = V.ragged(lens) + np.repeat(start, lens)
-    cut = at[(roll[at] & mask) == 0] + 1
-    first = np.searchsorted(cut, start + 1)
-    last = np.searchsorted(cut, start + lens, side="right")
-    signs: list[tuple[int, np.ndarray, np.ndarray]] = []
-    for i in range(len(texts)):
-        s, e, own, lowest, level = int(start[i]), int(start[i] + lens[i]), cut[first[i] : last[i]], int(low[i]), int(k[i])
-        hashes = roll[own - 1]
-        while level > LEAST_K:
-            if level < lowest:
-                own = np.flatnonzero((roll[s:e] & np.uint64((1 << level) - 1)) == 0) + s + 1
-                hashes, lowest = roll[own - 1], level
-            if np.count_nonzero((hashes & np.uint64((1 << level) - 1)) == 0) >= LONGEST // 2:
-                break
-            level -= 1
-        if level < lowest:
-            own = np.flatnonzero((roll[s:e] & np.uint64((1 << level) - 1)) == 0) + s + 1
-            hashes = roll[own - 1]
-        one = own[(hashes & np.uint64((1 << level) - 1)) == 0]
-        two = own[(hashes & np.uint64((2 << level) - 1)) == 0]
-        while len(one) >= LONGEST or len(two) >= LONGEST // 2:
-            level += 1
-            one, two = two, own[(hashes & np.uint64((2 << level) - 1)) == 0]
-        signs.append((level, *(np.concatenate([[s], c, [e] if not len(c) or c[-1] < e else []]).astype(np.int64) if e > s else np.array([s]) for c in (one, two))))
-    bounds = [b for _, x, y in signs for b in (x, y)]
-    begin, end = np.concatenate([b[:-1] for b in bounds]), np.concatenate([b[1:] for b in bounds])
-    letters = _ALPHABET[(V.substring_hash(prefix, begin, end) & np.uint64(63)).astype(np.int64)].tobytes().decode()
-    out, p = [], 0
-    for level, x, y in signs:
-        q, r = p + len(x) - 1, p + len(x) + len(y) - 2
-        out.append(f"{level}:{letters[p:q]}:{letters[q:r]}")
-        p = r
-    return out
+    return [_Text(roll[s:e]).fingerprint() for s, e in zip(start.tolist(), (start + lens).tolist(), strict=True)]
 
 
 def _squeezed(s: str) -> str:
@@ -147,18 +156,15 @@ def _ratio(a: str, b: str) -> float:
 
 
 def likeness(x: str, y: str) -> float:
-    """0 to 1; 1 for equal fingerprints, 0 for block sizes more than twice apart."""
+    """0 to 1; 1 for equal fingerprints, 0 for block sizes more than four times apart."""
     if x == y:
         return 1.0
-    kx, x1, x2 = x.split(":")
-    ky, y1, y2 = y.split(":")
-    if kx == ky:
-        return max(_ratio(x1, y1), _ratio(x2, y2) if min(len(x2), len(y2)) >= COMMON_RUN else 0.0)
-    if int(kx) == int(ky) + 1:
-        return _ratio(x1, y2)
-    if int(ky) == int(kx) + 1:
-        return _ratio(x2, y1)
-    return 0.0
+    kx, *xs = x.split(":")
+    ky, *ys = y.split(":")
+    shift = int(ky) - int(kx)
+    shared = list(zip(xs[max(shift, 0) :], ys[max(-shift, 0) :], strict=False))
+    # The finest counts; of the others those with letters enough to say something.
+    return max((_ratio(a, b) for i, (a, b) in enumerate(shared) if i == 0 or min(len(a), len(b)) >= COMMON_RUN), default=0.0)
 
 
 def _neighbours(table: pa.Table) -> pa.Table:

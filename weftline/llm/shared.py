@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import ctypes
-import tempfile
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -11,6 +10,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weftline.operators.lineage import checkpointed, shared_folder
+from weftline.operators.numbering import numbered
+
+__all__ = ["buckets", "checkpointed", "documents", "freed", "held_out", "ordered", "released", "releasing", "shared_folder"]
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -56,28 +60,6 @@ def freed(run: Callable) -> Callable:
     return one if run.__code__.co_argcount == 1 else two
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that the session names in spark.checkpoint.dir; a folder of this process where it names none.
-
-    The latter serves tests on one machine only: a session whose master is not local must name one.
-    """
-    context = spark.sparkContext
-    named = context.getConf().get("spark.checkpoint.dir")
-    if not named and not context.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
-    if not named and not context._jsc.sc().getCheckpointDir().isEmpty():
-        named = context._jsc.sc().getCheckpointDir().get()
-    return (named or tempfile.mkdtemp(prefix="weftline-")).rstrip("/")
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """df with its lineage cut, kept in the shared folder."""
-    context = df.sparkSession.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
-
-
 def buckets(spark: SparkSession) -> int:
     """As many buckets as the session has shuffle partitions, so that both grow with the input."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -87,12 +69,11 @@ def ordered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", car
     """(order_key, doc_id, text, carry) with a distinct order_key for every row; null text is empty.
 
     Where ids are distinct, the key is the id. Otherwise rows are numbered by id, then text,
-    a null id last. carry names columns that go along.
+    a null id last; rows are sorted by their ranges and never gathered. carry names columns
+    that go along.
     """
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), *carry)
     most, rows, named = base.groupBy("doc_id").count().agg(F.max("count"), F.sum("count"), F.sum(F.when(F.col("doc_id").isNotNull(), F.col("count")))).first()
     if (most or 0) <= 1 and rows == named:
         return base.select(F.col("doc_id").alias("order_key"), "*")
-    placed = base.orderBy(F.col("doc_id").asc_nulls_last(), "text").rdd.zipWithIndex().map(lambda x: (x[1], *x[0]))
-    kinds = "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in carry)
-    return checkpointed(docs.sparkSession.createDataFrame(placed, f"order_key long, doc_id long, text string{kinds}"))
+    return numbered(base, [F.col("doc_id").asc_nulls_last(), "text"], "order_key").select("order_key", "doc_id", "text", *carry)
