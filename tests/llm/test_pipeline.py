@@ -46,3 +46,27 @@ def test_stages_on_an_empty_table_repeated_ids_ties_and_more_columns(spark):
         assert docs.count() == (0 if n == 0 else docs.select("doc_id", "ids_crc32").count())
         if n:
             assert {r.doc_id for r in docs.collect()} == {900_001, None}
+
+
+def test_near_duplicates_go_row_by_row(spark):
+    t, u, v = (" ".join(f"{w}{i}" for i in range(30)) for w in ("alpha", "beta", "gamma"))
+    kind = "doc_id long, text string, lang string, source string, n_chars long"
+    for rows, want in (
+        ([(1, t), (None, t), (None, u)], [(1, t), (None, u)]),
+        ([(1, t), (5, t), (5, u)], [(1, t), (5, u)]),
+        ([(None, t), (None, t), (2, None), (2, ""), (2, None)], [(None, t), (2, None), (2, ""), (2, None)]),
+        ([(3, v + " end"), (3, v), (3, u), (4, v)], [(3, v), (3, u)]),
+    ):
+        docs = spark.createDataFrame([(i, x, "en", "s", len(x or "")) for i, x in rows], kind).repartition(3)
+        out = corpus_pipeline.near_dedup(spark, docs, SF)
+        assert out.columns == docs.columns
+        assert sorted(map(str, ((r.doc_id, r.text) for r in out.collect()))) == sorted(map(str, want))
+
+
+def test_one_null_id_leaves_the_plan_without_python_rows(spark):
+    from weftline.llm.shared import ordered
+
+    docs = spark.range(50).selectExpr("if(id = 7, null, id) as doc_id", "cast(id as string) as text")
+    rows = ordered(docs)
+    assert sorted(r.order_key for r in rows.collect()) == list(range(50)) and rows.where("doc_id is null").first().order_key == 49
+    assert "Python" not in rows._jdf.queryExecution().toString()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.shared import checkpointed
+from weftline.llm.shared import checkpointed, swept
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -30,6 +30,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     links, before = checkpointed(links), None
     for _ in range(rounds):
         links = checkpointed(_star(_star(links, True), False))
+        swept(links.sparkSession)
         now = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from weftline.llm import textvec as V
 from weftline.llm.components import components, joined, rooted
-from weftline.llm.shared import checkpointed, releasing
+from weftline.llm.shared import checkpointed, releasing, swept
 
 MULT = np.uint64(0xD6E8FEB86659FD93)
 PAD = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -325,6 +325,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, k: int =
         .select("sig", "named", "n", "sketch", F.aggregate("shared", F.lit(0).cast("long"), lambda s, x: s + x["df"]).alias("weight"), F.transform("shared_prefix", lambda x: x["value"]).alias("prefix"))
     )
     postings = checkpointed(postings)
+    swept(docs.sparkSession)
 
     # A row of each class, by its id and text: rows that share an id meet the class of their own text alone.
     wanted = postings.select(F.col("sig").alias("want"), F.col("named.id").alias("id"), F.col("named.text_hash").alias("text_hash"))
@@ -339,10 +340,12 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, k: int =
     texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("id"), F.xxhash64(body).alias("text_hash"), body.alias("body"))
     sets = texts.join(wanted, ["id", "text_hash"]).select("want", "body").mapInArrow(releasing(with_sets), "sig binary, members binary")
     sets = checkpointed(sets.dropDuplicates(["sig"]))
+    swept(docs.sparkSession)
 
     lists = postings.select("sig", "n", "weight", F.explode("prefix").alias("value"))
     hubs = lists.groupBy("value").agg(F.max(F.struct("weight", "sig")).alias("hub"), F.count("*").alias("size")).where("size > 1").select("value", F.col("hub.sig").alias("hub"), F.col("hub.weight").alias("hub_weight"))
     to_hub = checkpointed(lists.join(hubs, "value").select("sig", "value", "hub", "hub_weight"))
+    swept(docs.sparkSession)
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -357,12 +360,15 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, k: int =
     # Each class meets its heaviest hub first, so that most groups need one comparison a member.
     heaviest = to_hub.where("sig != hub").groupBy("sig").agg(F.max(F.struct("hub_weight", "hub")).alias("best")).select(F.col("sig").alias("a"), F.col("best.hub").alias("b"))
     roots = checkpointed(components(_confirmed(estimated(heaviest), sets, percent)))
+    swept(docs.sparkSession)
 
     # Only hubs whose lists reach over several components are looked at further, with all their members.
     members = to_hub.select("sig", "hub").distinct()
     reach = rooted(members, roots, "sig").groupBy("hub").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 != r2").select("hub")
     close = checkpointed(_differences(estimated(_reached(members, reach).select(F.col("sig").alias("a"), F.col("hub").alias("b"))), sets, percent))
+    swept(docs.sparkSession)
     roots = joined(roots, close.where("link and a != b").select("a", "b"))
+    swept(docs.sparkSession)
 
     def in_blocks(rows: DataFrame, key: str, is_open: str) -> DataFrame:
         """Rows of open groups with their blocks: a member of part p meets part q in block (min(p, q), max(p, q))."""
