@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftline.functions.text import CORE_FIELDS, MISSING, escaped, once
+from weftline.operators.lineage import checkpointed
 
 # Separators between query words, and words that carry no query.
 SEPARATORS = r"""(?U)[\s,，、;；/|+·。！？!?（）()\[\]【】"'“”‘’]+"""
@@ -241,6 +242,7 @@ def matching(articles: DataFrame, query: Query, tokenizer: str = "unicode61", in
     if phrases:
         docs = articles.withColumn("_index", index_text(fields=[c for c in CORE_FIELDS if c in available]))
         scored = index.scores(phrases) if index is not None else bm25(docs, "article_key", "_index", phrases, tokenizer=tokenizer)
+        scored = checkpointed(scored)  # asked for three times: is there any, how many, which page
         found = articles.where(allowed).join(scored, "article_key")
         if not found.isEmpty():
             return found.withColumn("full_text", F.lit(True))

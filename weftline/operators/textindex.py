@@ -1,84 +1,229 @@
-"""A stored inverted index: a query reads the postings of its own words only."""
+"""A stored inverted index, kept up to date by segments: a query reads the postings of its own words only.
+
+A segment holds the postings (term, key, places) and lengths of some rows, and the keys
+whose rows in older segments it takes away. An update writes one segment, of the rows that
+are new or whose text has changed, and takes away what it replaces and what is gone. Small
+segments are merged as they come: a segment is at least FAN times as large as the next, so
+there are few, and a row is written again a few times only. Statistics are kept with
+the version, so scores are those of an index built anew.
+
+The tokens are words, or, for the trigram tokenizer, all runs of three characters; there a
+substring is found by its trigrams side by side, from the rarest on.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from dataclasses import asdict, dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.functions.text import once
 from weftline.operators.search import gain, idf, text_tokens
+from weftline.operators.versionlog import VersionLog
 
 BUCKETS = 64
+#: How many times larger a segment is than the next one, at the least.
+FAN = 4
+_POSTINGS = "term string, key string, places array<int>, bucket int"
+
+
+@dataclass(frozen=True)
+class Segment:
+    """rows: those it was written with; gone: keys it takes away from older segments."""
+
+    name: str
+    rows: int
+    gone: int
+
+
+def trigrams(rows: DataFrame, text: str) -> DataFrame:
+    """rows with all runs of three characters of the text in its place, in order, in lower case."""
+    chars = once(rows, **{text: F.filter(F.split(F.lower(text), ""), lambda c: c != "")})
+
+    def run(c: Column, i: Column) -> Column:
+        return F.concat(c, F.get(text, i + 1), F.get(text, i + 2))  # null for the last two
+
+    return once(chars, **{text: F.array_compact(F.transform(text, run))})
 
 
 class TextIndex:
-    """Postings (term, key, places), lengths and statistics under one folder, for one version of the data.
+    """Segments under one folder; a version names its segments, from the oldest to the newest."""
 
-    A version's files are written whole before the row that names the version, so readers
-    see one or the other. Words are dealt to buckets, which are folders: a query reads the
-    buckets of its words, and in these the row groups that may hold them.
-    """
+    def __init__(self, spark: SparkSession, folder: str, tokenizer: str = "unicode61") -> None:
+        self.spark, self.folder, self.tokenizer = spark, folder.rstrip("/"), tokenizer
+        self._log = VersionLog(spark, self.folder)
 
-    def __init__(self, spark: SparkSession, folder: str) -> None:
-        self.spark, self.folder = spark, folder.rstrip("/")
+    def _state(self) -> dict:
+        """version (of the data), segments, n and total (rows, and tokens in all)."""
+        numbers = self._log.versions()
+        if not numbers:
+            return {"number": 0, "version": None, "segments": [], "n": 0, "total": 0}
+        raw = self._log.read(numbers[-1])
+        return raw | {"number": numbers[-1], "segments": [Segment(**s) for s in raw["segments"]]}
 
     def state(self) -> tuple[int, int, float] | None:
         """(version, rows, average length) of the index that stands; None without one."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/state")
-        if not path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
-            return None
-        row = self.spark.read.parquet(f"{self.folder}/state").orderBy(F.desc("version")).first()
-        return (row.version, row.n, row.avgdl) if row else None
+        s = self._state()
+        return (s["version"], s["n"], s["total"] / s["n"] if s["n"] else 0.0) if s["number"] else None
 
-    def build(self, docs: DataFrame, key: str, text: str, version: int) -> int:
-        """Index all of docs as the given version; returns the number of rows."""
-        tokens = once(docs.select(F.col(key).alias("key"), F.col(text).alias("t")), t=text_tokens(F.col("t")))
-        at = f"{self.folder}/v{version}"
-        places = tokens.select("key", F.posexplode("t").alias("place", "term"))
+    @property
+    def segments(self) -> list[Segment]:
+        return self._state()["segments"]
+
+    # reading
+
+    def _read(self, segments: Sequence[Segment], part: str, kinds: str) -> DataFrame:
+        """The rows of a part in several segments, with the place of their segment."""
+        out = self.spark.createDataFrame([], f"{kinds}, segment int")
+        for i, s in enumerate(segments):
+            out = out.unionByName(self.spark.read.schema(kinds).parquet(f"{self.folder}/segments/{s.name}/{part}").withColumn("segment", F.lit(i)))
+        return out
+
+    def _live(self, segments: Sequence[Segment], rows: DataFrame) -> DataFrame:
+        """rows of the segments without those that later segments take away."""
+        if not any(s.gone for s in segments):
+            return rows
+        gone = self._read(segments, "gone", "key string").groupBy("key").agg(F.max("segment").alias("until"))
+        return rows.join(gone, "key", "left").where("until is null or until <= segment").drop("until")
+
+    def _lengths(self, segments: Sequence[Segment]) -> DataFrame:
+        return self._live(segments, self._read(segments, "lengths", "key string, dl int, hash long"))
+
+    # writing
+
+    def _write(self, segments: Sequence[Segment], postings: DataFrame, lengths: DataFrame, gone: DataFrame | None) -> tuple[Segment, int]:
+        """A new segment and the tokens in it."""
+        name = uuid.uuid4().hex
+        at = f"{self.folder}/segments/{name}"
+        dealt = postings.select("term", "key", "places").withColumn("bucket", F.pmod(F.xxhash64("term"), F.lit(BUCKETS)).cast("int"))
+        dealt.repartition("bucket", F.pmod(F.xxhash64("key"), F.lit(16))).sortWithinPartitions("bucket", "term").write.partitionBy("bucket").parquet(f"{at}/postings")
+        lengths.select("key", "dl", "hash").write.parquet(f"{at}/lengths")
+        (self.spark.createDataFrame([], "key string") if gone is None else gone.select("key")).write.parquet(f"{at}/gone")
+        stats = self.spark.read.parquet(f"{at}/lengths").agg(F.count("*").alias("n"), F.coalesce(F.sum("dl"), F.lit(0)).alias("total")).first()
+        n_gone = 0 if gone is None else self.spark.read.parquet(f"{at}/gone").count()
+        return Segment(name, stats.n, n_gone), stats.total
+
+    def _tokens(self, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(postings, lengths) of rows (key, text, hash)."""
+        rows = rows.select("key", "hash", "text")
+        tokens = trigrams(rows, "text") if self.tokenizer == "trigram" else once(rows, text=text_tokens(F.col("text")))
+        places = tokens.select("key", F.posexplode("text").alias("place", "term"))
         # At most a text's places meet in one row.
         postings = places.groupBy("term", "key").agg(F.sort_array(F.collect_list("place")).alias("places"))
-        dealt = postings.withColumn("bucket", F.pmod(F.xxhash64("term"), F.lit(BUCKETS)).cast("int"))
-        dealt.repartition("bucket", F.pmod(F.xxhash64("key"), F.lit(16))).sortWithinPartitions("bucket", "term").write.mode("overwrite").partitionBy("bucket").parquet(f"{at}/postings")
-        tokens.select("key", F.size("t").alias("dl")).write.mode("overwrite").parquet(f"{at}/lengths")
-        stats = self.spark.read.parquet(f"{at}/lengths").agg(F.count("*").alias("n"), F.coalesce(F.avg("dl"), F.lit(0.0)).alias("avgdl")).first()
-        row = [(version, stats.n, stats.avgdl)]
-        self.spark.createDataFrame(row, "version int, n long, avgdl double").coalesce(1).write.mode("append").parquet(f"{self.folder}/state")
-        return stats.n
+        return postings, tokens.select("key", F.size("text").alias("dl"), "hash")
+
+    def build(self, docs: DataFrame, key: str, text: str, version: int) -> int:
+        """Index all of docs anew as the given version; returns the number of rows."""
+        state = self._state()
+        segment, total = self._write([], *self._tokens(self._rows(docs, key, text)), None)
+        self._publish(state["number"], version, [segment], segment.rows, total)
+        return segment.rows
+
+    def _rows(self, docs: DataFrame, key: str, text: str) -> DataFrame:
+        t = F.coalesce(F.col(text).cast("string"), F.lit(""))
+        return docs.select(F.col(key).cast("string").alias("key"), t.alias("text")).withColumn("hash", F.xxhash64("text", F.lit(self.tokenizer)))
+
+    def _publish(self, number: int, version: int, segments: Sequence[Segment], n: int, total: int) -> None:
+        self._log.publish(number + 1, {"version": version, "segments": [asdict(s) for s in segments], "n": n, "total": total})
 
     def maintain(self, docs: DataFrame, key: str, text: str, version: int) -> bool:
-        """Build the index if it is not of this version; says whether it was built."""
-        state = self.state()
-        if state and state[0] == version:
+        """Bring the index to this version of docs, whose keys are distinct; says whether there was anything to do.
+
+        Only rows whose text is not as it was are cut into tokens and written.
+        """
+        state = self._state()
+        if state["version"] == version:
             return False
-        self.build(docs, key, text, version)
+        if not state["number"]:
+            self.build(docs, key, text, version)
+            return True
+        segments, rows = state["segments"], self._rows(docs, key, text)
+        known = self._lengths(segments).select("key", "dl", F.col("hash").alias("old"))
+        both = rows.select("key", "hash").join(known, "key", "full").where("not (hash <=> old)")
+        changed = rows.join(both.where("hash is not null").select("key"), "key", "left_semi")
+        segment, added = self._write(segments, *self._tokens(changed), both.where("old is not null"))
+        if not segment.rows and not segment.gone:
+            self._publish(state["number"], version, segments, state["n"], state["total"])
+            return True
+        # The lengths of what went, read before they go.
+        gone = self.spark.read.schema("key string").parquet(f"{self.folder}/segments/{segment.name}/gone")
+        lost = known.join(gone, "key", "left_semi").agg(F.count("*").alias("n"), F.coalesce(F.sum("dl"), F.lit(0)).alias("total")).first()
+        merged = self._merged([*segments, segment])
+        self._publish(state["number"], version, merged, state["n"] + segment.rows - lost.n, state["total"] + added - lost.total)
         return True
 
-    def _places(self, word: str) -> DataFrame:
-        version = self.state()[0]
-        bucket = self.spark.range(1).select(F.pmod(F.xxhash64(F.lit(word)), F.lit(BUCKETS)).cast("int")).first()[0]
-        rows = self.spark.read.parquet(f"{self.folder}/v{version}/postings")
-        return rows.where((F.col("bucket") == bucket) & (F.col("term") == word)).select("key", "places")
-
-    def counts(self, phrase: Sequence[str]) -> DataFrame:
-        """(key, f): how often the phrase stands in each text that holds it."""
-        held = self._places(phrase[0])
-        for k, word in enumerate(phrase[1:], 1):
-            later = self._places(word).select("key", F.expr(f"transform(places, x -> x - {k})").alias("then"))
-            held = held.join(later, "key").select("key", F.array_intersect("places", "then").alias("places")).where(F.size("places") > 0)
-        return held.select("key", F.size("places").alias("f"))
-
-    def scores(self, phrases: Sequence[Sequence[str]], name: str = "article_key") -> DataFrame:
+    def _merged(self, segments: list[Segment]) -> list[Segment]:
+        """The segments, of which the newest are one if those before are not FAN times as large."""
+        weight = lambda s: s.rows + s.gone
+        first, total = len(segments) - 1, weight(segments[-1])
+        while first > 0 and weight(segments[first - 1]) < FAN * total:
+            first -= 1
+            total += weight(segments[first])
+        if first == len(segments) - 1:
+            return segments
+        some = segments[first:]
+        postings = self._live(some, self._read(some, "postings", _POSTINGS))
+        gone = self._read(some, "gone", "key string").select("key").distinct() if first else None  # nothing is older than the first
+        return [*segments[:first], self._write(some, postings, self._lengths(some), gone)[0]]
+
+    def expire(self, keep: int = 2) -> int:
+        """Removes versions but the last `keep` and the segments that none of these names; for when no writer is at work."""
+        numbers = self._log.versions()
+        for v in numbers[:-keep]:
+            self._log.fs.delete(self._log.path(self._log.file(v)), False)
+        named = {s["name"] for v in self._log.versions() for s in self._log.read(v)["segments"]}
+        old = [n for n in self._log.names("segments") if n not in named]
+        for n in old:
+            self._log.fs.delete(self._log.path(f"{self.folder}/segments/{n}"), True)
+        return len(old)
+
+    # asking
+
+    def _postings(self, words: Sequence[str]) -> DataFrame:
+        """(term, key, places) of the words; the buckets of others are not read."""
+        segments = self.segments
+        buckets = self.spark.createDataFrame([(w,) for w in words], "term string").select(F.pmod(F.xxhash64("term"), F.lit(BUCKETS)).cast("int").alias("b"))
+        wanted = sorted({r.b for r in buckets.collect()})
+        rows = self._read(segments, "postings", _POSTINGS)
+        return self._live(segments, rows.where(F.col("bucket").isin(wanted) & F.col("term").isin(list(words)))).select("term", "key", "places")
+
+    def _steps(self, phrase: Sequence[str] | str) -> list[tuple[int, str]]:
+        """Tokens of a phrase with their places in it; of a substring, as many trigrams as cover it."""
+        if self.tokenizer != "trigram":
+            return list(enumerate(phrase))
+        part = phrase.lower()
+        at = sorted({*range(0, len(part) - 2, 3), len(part) - 3})
+        return [(i, part[i : i + 3]) for i in at]
+
+    def counts(self, phrases: Sequence) -> list[DataFrame]:
+        """For each phrase (key, f): how often it stands in each row that holds it."""
+        steps = [self._steps(p) for p in phrases]
+        postings = self._postings(sorted({t for s in steps for _, t in s}))
+        # The rarest token of a phrase comes first, so what is joined on is small from the start.
+        several = sorted({t for s in steps if len(s) > 1 for _, t in s})
+        rare = {r.term: r["count"] for r in postings.where(F.col("term").isin(several)).groupBy("term").count().collect()} if several else {}
+        out = []
+        for s in steps:
+            held = None
+            for i, t in sorted(s, key=lambda x: rare.get(x[1], 0)):
+                at = postings.where(F.col("term") == t).select("key", F.expr(f"transform(places, x -> x - {i})").alias("at"))
+                held = at if held is None else held.join(at.withColumnRenamed("at", "also"), "key").select("key", F.array_intersect("at", "also").alias("at")).where(F.size("at") > 0)
+            out.append(held.select("key", F.size("at").alias("f")))
+        return out
+
+    def scores(self, phrases: Sequence, name: str = "article_key") -> DataFrame:
         """(name, score) of rows that hold all phrases, as bm25 gives them."""
-        version, n, average = self.state()
-        held = None
-        for i, phrase in enumerate(phrases):
-            rows = self.counts(phrase)
-            part = rows.withColumnRenamed("f", f"f{i}").withColumn(f"idf{i}", idf(F.lit(float(n)), F.lit(float(rows.count()))))
+        state = self._state()
+        n, average, held = state["n"], state["total"] / max(state["n"], 1), None
+        for i, rows in enumerate(self.counts(phrases)):
+            rows = rows.withColumnRenamed("f", f"f{i}")
+            part = rows.join(F.broadcast(rows.agg(F.count("*").alias(f"df{i}"))))  # one row
             held = part if held is None else held.join(part, "key")
-        held = held.join(self.spark.read.parquet(f"{self.folder}/v{version}/lengths"), "key")
+        held = held.join(self._lengths(state["segments"]).select("key", "dl"), "key")
         score = F.lit(0.0)
         for i in range(len(phrases)):
-            score = score - F.col(f"idf{i}") * gain(F.col(f"f{i}"), F.col("dl"), F.lit(average))
+            score = score - idf(F.lit(float(n)), F.col(f"df{i}")) * gain(F.col(f"f{i}"), F.col("dl"), F.lit(average))
         return held.select(F.col("key").alias(name), score.alias("score"))

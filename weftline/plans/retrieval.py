@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from weftline.functions.text import MISSING
 from weftline.operators import records as R
 from weftline.operators import search as S
+from weftline.operators.lineage import shared_folder
+from weftline.operators.textindex import TextIndex
 from weftline.plans.common import LABELLED_SQL, labelled, table
 
 
@@ -63,6 +67,23 @@ def trigram_search(spark, d):
     return _rounded(S.bm25(table(spark, d, "documents"), "doc_id", "text", ["tion", "the"], tokenizer="trigram"))
 
 
+def _indexed(spark, d, tokenizer):
+    """A stored index that was built over one language and then brought up to all documents."""
+    docs = table(spark, d, "documents")
+    index = TextIndex(spark, f"{shared_folder(spark)}/index-{uuid.uuid4().hex}", tokenizer)
+    index.maintain(docs.where("lang = 'en'"), "doc_id", "text", 1)
+    index.maintain(docs, "doc_id", "text", 2)
+    return index
+
+
+def indexed_search(spark, d):
+    return _rounded(_indexed(spark, d, "unicode61").scores([["the"], ["of", "the"]], "k").select(F.col("k").cast("long").alias("doc_id"), "score"))
+
+
+def indexed_trigrams(spark, d):
+    return _rounded(_indexed(spark, d, "trigram").scores(["tion", "ander"], "k").select(F.col("k").cast("long").alias("doc_id"), "score"))
+
+
 def _trigram_sql(parts: list[str]) -> str:
     fs = ", ".join(f"len(list_filter(range(1, length(t) + 1), lambda i: substr(t, i, {len(p)}) = '{p}')) AS f{i}" for i, p in enumerate(parts))
     ns = ", ".join(f"count(*) FILTER (f{i} > 0) AS n{i}" for i in range(len(parts)))
@@ -71,6 +92,14 @@ def _trigram_sql(parts: list[str]) -> str:
     SELECT doc_id, round(-({score}), 6) AS score FROM r, s WHERE {" AND ".join(f"f{i} > 0" for i in range(len(parts)))}"""
 
 
+def _apart_sql(parts: list[str]) -> str:
+    """As _trigram_sql, for parts that do not overlap themselves, whose places can be counted by what goes without them."""
+    out = _trigram_sql(parts)
+    for p in parts:
+        out = out.replace(f"len(list_filter(range(1, length(t) + 1), lambda i: substr(t, i, {len(p)}) = '{p}'))", f"(length(t) - length(replace(t, '{p}', ''))) // {len(p)}")
+    return out
+
+
 def _articles(spark, d):
     """Documents in the shape that search reads."""
     docs = table(spark, d, "documents")
@@ -159,6 +188,8 @@ QUERIES = {
     "like_fallback": (like_fallback, "SELECT doc_id, 0.0::DOUBLE AS score FROM documents WHERE lower(text) LIKE '%ander%' OR lower(source) LIKE '%ander%' OR lower(text) LIKE '%src3%' OR lower(source) LIKE '%src3%'"),
     "field_filter": (field_filter, "SELECT doc_id, lang, source FROM documents WHERE lower(lang) LIKE '%e%' AND lower(source) LIKE '%src1%'"),
     "count_matching": (count_matching, "SELECT count(*) AS n FROM documents WHERE lower(text) LIKE '%license%'"),
+    "indexed_search": (indexed_search, _bm25_sql([["the"], ["of", "the"]])),
+    "indexed_trigrams": (indexed_trigrams, _apart_sql(["tion", "ander"])),
     "trigram_search": (trigram_search, _trigram_sql(["tion", "the"])),
     "search_page": (search_page, _SEARCH_PAGE),
     "search_substring": (search_substring, "SELECT CAST(doc_id AS VARCHAR) AS article_key, 0.0::DOUBLE AS score FROM documents WHERE contains(lower(source), 'rc3') OR contains(lower(lang), 'rc3') OR contains(lower(text), 'rc3') ORDER BY doc_id DESC LIMIT 9"),

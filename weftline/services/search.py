@@ -157,7 +157,7 @@ class SearchService:
         self.config, self.store, self.clock = config, store, clock
         self.memory = S.ResultCache(c.l1_size)
         self.table = CacheTable(folder / "cache", c.cache_ttl_seconds, c.cache_max_rows, clock)
-        self.index = TextIndex(store.spark, str(folder / f"index-{c.fts_tokenizer}")) if c.fts_tokenizer == "unicode61" else None
+        self.index = TextIndex(store.spark, str(folder / f"index-{c.fts_tokenizer}"), c.fts_tokenizer)
         self.jobs, self.cooldowns = KeyedFiles(folder / "jobs"), KeyedFiles(folder / "cooldowns")
         self.fetch, self.login, self._threads = fetch, login, ThreadPoolExecutor(1, "fetch")
 
@@ -185,7 +185,7 @@ class SearchService:
 
     def _from_data(self, query: S.Query, version: int) -> Result:
         rows = self.store.read()
-        if self.index is not None and version:
+        if version:
             self.index.maintain(rows.withColumn("_index", S.index_text()), "article_key", "_index", version)
         found = S.matching(rows, query, self.config.search.fts_tokenizer, self.index if version else None)
         total = found.count()

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import os
 import time
 import uuid
 import zipfile
@@ -16,6 +15,9 @@ from pyspark.sql import functions as F
 
 from weftline.operators.records import keep_last, scan_order, unknown_fields, upsert, with_status
 from weftline.functions.text import CORE_FIELDS
+from weftline.operators.versionlog import Conflict, VersionLog
+
+__all__ = ["COLUMNS", "REVIEW_COLUMNS", "Conflict", "State", "Store", "export_csv", "export_review", "export_xlsx", "projected", "read_csv", "summary_json"]
 
 # The columns of the article table, in order.
 COLUMNS = ("article_key", *CORE_FIELDS, "article_title", "publish_date", "source_url", "list_url", "raw_html_path", "crawl_time", "extract_method", "content_kind", "evidence", "review_status")
@@ -31,10 +33,6 @@ def projected(df: DataFrame, columns: Sequence[str] = COLUMNS) -> DataFrame:
     return df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) if c in df.columns else F.lit("").alias(c) for c in columns])
 
 
-class Conflict(RuntimeError):
-    """Another writer made the version first."""
-
-
 @dataclass(frozen=True)
 class State:
     """One version of the table: of each bucket that holds rows, the folder of data that holds them."""
@@ -59,63 +57,22 @@ class Store:
 
     def __init__(self, spark: SparkSession, folder: str, buckets: int = BUCKETS) -> None:
         self.spark, self.folder, self._buckets = spark, folder.rstrip("/"), buckets
-        hadoop = spark._jvm.org.apache.hadoop.fs
-        self._path = hadoop.Path
-        self._fs = hadoop.Path(self.folder).getFileSystem(spark._jsc.hadoopConfiguration())
+        self._log = VersionLog(spark, self.folder)
+        self._fs, self._path, self._names = self._log.fs, self._log.path, self._log.names
 
     # the log
 
-    def _names(self, folder: str) -> list[str]:
-        at = self._path(f"{self.folder}/{folder}")
-        return [f.getPath().getName() for f in self._fs.listStatus(at)] if self._fs.exists(at) else []
-
-    def _marker(self, version: int) -> str:
-        return f"{self.folder}/versions/{version:08d}.json"
-
-    def _versions(self) -> list[int]:
-        return sorted(int(n[:8]) for n in self._names("versions") if n[:8].isdigit() and n[8:] == ".json")
-
     def state(self, version: int | None = None) -> State:
         """A version of the table; the newest where none is named."""
-        if version is None:
-            version = max(self._versions(), default=0)
+        version = self.version if version is None else version
         if not version:
             return State(buckets=self._buckets)
-        stream = self._fs.open(self._path(self._marker(version)))
-        try:
-            raw = json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
+        raw = self._log.read(version)
         return State(version, raw["buckets"], {int(b): name for b, name in raw["parts"].items()})
 
     def _publish(self, state: State) -> None:
         """Makes state the version that it says; Conflict if there is one already."""
-        text = json.dumps({"buckets": state.buckets, "parts": state.parts}).encode()
-        part, marker = self._path(f"{self.folder}/pending/{uuid.uuid4().hex}"), self._path(self._marker(state.version))
-        self._fs.mkdirs(marker.getParent())
-        out = self._fs.create(part, False)
-        out.write(bytearray(text))
-        out.close()
-        taken = Conflict(f"version {state.version} was written by another")
-        if self._fs.getScheme() == "file":  # a rename there replaces a file without a word, a link does not
-            paths = [p.toUri().getPath() for p in (part, marker)]
-            try:
-                os.link(*paths)
-            except FileExistsError as e:
-                raise taken from e
-            finally:
-                self._fs.delete(part, False)
-            return
-        options = self.spark._jvm.org.apache.hadoop.fs
-        context = options.FileContext.getFileContext(self._fs.getUri(), self.spark._jsc.hadoopConfiguration())
-        none = self.spark.sparkContext._gateway.new_array(options.Options.Rename, 0)
-        try:
-            context.rename(part, marker, none)
-        except Exception as e:
-            self._fs.delete(part, False)
-            if "exist" in str(e).lower():
-                raise taken from e
-            raise
+        self._log.publish(state.version, {"buckets": state.buckets, "parts": dict(state.parts)})
 
     def _commit(self, base: State, changed: Mapping[int, str | None], tries: int = 50) -> int:
         """Publishes base with buckets changed (None: empty); goes on from newer versions that left these buckets alone."""
@@ -135,7 +92,7 @@ class Store:
 
     @property
     def version(self) -> int:
-        return max(self._versions(), default=0)
+        return max(self._log.versions(), default=0)
 
     def _bucket(self, buckets: int) -> Column:
         return F.pmod(F.xxhash64("source_url"), F.lit(buckets)).cast("int")
@@ -225,10 +182,10 @@ class Store:
         Nothing that is younger than the grace goes, as its writer or a reader may be at
         work. Returns how many folders of data went.
         """
-        versions = self._versions()
+        versions = self._log.versions()
         for v in versions[: max(0, len(versions) - max(1, keep))]:
-            self._fs.delete(self._path(self._marker(v)), False)
-        named = {n for v in self._versions() for n in self.state(v).parts.values()}
+            self._fs.delete(self._path(self._log.file(v)), False)
+        named = {n for v in self._log.versions() for n in self.state(v).parts.values()}
         oldest, gone = (time.time() - grace_seconds) * 1000, 0
         for folder in ("data", "pending"):
             at = self._path(f"{self.folder}/{folder}")
