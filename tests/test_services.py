@@ -494,6 +494,13 @@ def test_jobs_and_cooldown(spark, store, tmp_path):
     assert off.request_fetch(off.query("x")).message == "fetching is disabled"
 
 
+def test_a_disabled_search_is_not_served():
+    from types import SimpleNamespace
+
+    with pytest.raises(settings.ConfigError):
+        build_server(SimpleNamespace(config=config(search={"enabled": False})), 0)
+
+
 def test_http_api(spark, store, tmp_path):
     (tmp_path / "web").mkdir()
     (tmp_path / "web" / "index.html").write_text("<p>hi</p>")

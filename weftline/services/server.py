@@ -11,6 +11,7 @@ from pathlib import Path
 from typing import Any
 from urllib.parse import parse_qs, urlsplit
 
+from weftline.config import ConfigError
 from weftline.functions.text import CORE_FIELDS
 from weftline.services.search import SearchService
 
@@ -93,6 +94,8 @@ def handler(service: SearchService, static: Path | None) -> type[BaseHTTPRequest
             if urlsplit(self.path).path.rstrip("/") != "/api/fetch":
                 raise Refused(HTTPStatus.NOT_FOUND, "no such route")
             size = _number(self.headers.get("Content-Length"), 0)
+            if size < 0:
+                raise Refused(HTTPStatus.BAD_REQUEST, "the body's length is negative")
             if size > MOST_BODY:
                 raise Refused(HTTPStatus.REQUEST_ENTITY_TOO_LARGE, "the body is too large")
             try:
@@ -110,6 +113,8 @@ def handler(service: SearchService, static: Path | None) -> type[BaseHTTPRequest
 
 
 def build_server(service: SearchService, port: int | None = None, static: str | Path | None = None) -> ThreadingHTTPServer:
-    """A server that is not started yet; port 0 takes a free one."""
+    """A server that is not started yet; port 0 takes a free one. ConfigError where search is disabled."""
     c = service.config.search
+    if not c.enabled:
+        raise ConfigError("search.enabled is false")
     return ThreadingHTTPServer((c.host, c.port if port is None else port), handler(service, Path(static) if static else None))
