@@ -118,6 +118,9 @@ def test_lists_by_dom_and_by_api():
     p = Portal(lambda url: json.dumps(payload if "currentPage=1" in url else {"data": {"records": []}}))
     api = config(portal={"mode": "api", "api_url": "https://h/api", "detail_url_template": "https://h/d/{notice_id}", "api_body": {"pageSize": 15, "start": 0}, "api_token_field": "t"})
     assert [r["detail_url"] for r in W.all_refs(W.Client(api, p, fast()), "词")] == ["https://h/d/7"]
+    for name in ("organization_id", "organizationId", "orgId"):  # what a record lacks comes from the settings
+        named = config(portal={"mode": "api", "api_url": "https://h/api", "detail_url_template": f"https://h/{{{name}}}/{{notice_id}}", "detail_org_id": "9"})
+        assert [r["detail_url"] for r in W.list_refs(W.Client(named, p, fast()), 1)] == ["https://h/9/7"]
     method, url, headers, _ = p.asked[0]
     assert method == "POST" and "searchValue=%E8%AF%8D" in url and "end=15" in url and "t=0." in url
     with pytest.raises(W.FetchError):
