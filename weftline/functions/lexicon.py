@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from pathlib import Path
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from weftline.functions.text import EVIDENCE_WINDOW, window
+from weftline.functions.text import EVIDENCE_WINDOW, let, window
 
 DEFAULT_PATH = Path(__file__).with_name("lexicon.yaml")
 
@@ -39,6 +39,11 @@ def alternation(builtin: Iterable[str], configured: Iterable[str]) -> str:
     return "|".join(sorted((w for w in items if w), key=lambda w: -len(w)))
 
 
+def _found(text: Column, spelling: str, width: int) -> Column:
+    """The evidence of a spelling's first place; null without one."""
+    return let(F.locate(spelling, text), lambda at: F.when(at > 0, window(text, at, F.lit(len(spelling)), width)))
+
+
 def matches(text: Column, group: Mapping[str, Sequence[str]], width: int = EVIDENCE_WINDOW) -> Column:
     """Array of (standard, evidence): one for each standard, by its longest spelling in the text."""
     by_standard: dict[str, list[str]] = {}
@@ -46,7 +51,7 @@ def matches(text: Column, group: Mapping[str, Sequence[str]], width: int = EVIDE
         by_standard.setdefault(standard, []).append(spelling)
     hits = []
     for standard, spellings in by_standard.items():
-        tries = [F.when(F.locate(s, text) > 0, window(text, F.locate(s, text), F.lit(len(s)), width)) for s in spellings]
+        tries = [_found(text, s, width) for s in spellings]
         evidence = F.coalesce(*tries)
         hits.append(F.when(evidence.isNotNull(), F.struct(F.lit(standard).alias("standard"), evidence.alias("evidence"))))
     if not hits:
@@ -61,13 +66,21 @@ def best(hits: Column) -> Column:
     return F.when(top.isNotNull(), F.struct(top["value"].alias("value"), top["evidence"].alias("evidence")))
 
 
+def _unfollowed(text: Column, spelling: str, suffixes: str, width: int) -> Column:
+    """The evidence of a spelling's first place without a suffix after it; null without one."""
+    parts = F.split(text, rf"\Q{spelling}\E(?!{suffixes})", 2)
+    return let(parts, lambda p: F.when(F.size(p) == 2, window(text, F.length(p[0]) + 1, F.lit(len(spelling)), width)))
+
+
+def _as_hit(value: str) -> Callable[[Column], Column]:
+    return lambda evidence: F.when(evidence.isNotNull(), F.struct(F.lit(value).alias("value"), evidence.alias("evidence")))
+
+
 def match_unless_followed(text: Column, group: Mapping[str, Sequence[str]], suffixes: Sequence[str], width: int = EVIDENCE_WINDOW) -> Column:
     """(value, evidence) of the first spelling, longest first, with an occurrence that no suffix follows."""
     quoted = "|".join(rf"\Q{s}\E" for s in suffixes)
     tries = []
     for spelling, standard in candidates(group):
-        p = rf"\Q{spelling}\E(?!{quoted})"
-        before = F.regexp_extract(text, f"(?s)^(.*?){p}", 1)
-        found = F.struct(F.lit(standard).alias("value"), window(text, F.length(before) + 1, F.lit(len(spelling)), width).alias("evidence"))
-        tries.append(F.when(text.rlike(p), found))
+        evidence = _unfollowed(text, spelling, quoted, width)
+        tries.append(let(evidence, _as_hit(standard)))
     return F.coalesce(*tries) if tries else F.lit(None).cast("struct<value:string,evidence:string>")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,13 +14,20 @@ MISSING_TOKENS = ("-", "—", "–", "－", "无", "N/A", "n/a", "NA", "null", "
 # Full-width punctuation that stays as it is.
 KEPT_PUNCTUATION = "，。？！；：、（）【】“”‘’《》"
 CORE_FIELDS = ("graduation_year", "grade", "degree", "major", "city", "employer", "position")
+# The characters of Unicode's White_Space property.
+WHITE_SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 EVIDENCE_WINDOW = 14
 SEGMENTS = ("headline", "meta", "body", "tail", "raw")
 
 
+def let(c: Column, use: Callable[[Column], Column]) -> Column:
+    """use(c), with c worked out once, however often it stands in there."""
+    return F.get(F.transform(F.array(c), use), F.lit(0))
+
+
 def stripped(c: Column) -> Column:
     """Without Unicode white space at both ends."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def squeezed(c: Column) -> Column:
@@ -74,46 +81,62 @@ def normalize(c: Column) -> Column:
 def segments(title: Column, text: Column) -> Column:
     """Struct of headline, meta, body, tail and raw, by the number of non-blank lines."""
     raw = F.coalesce(text, F.lit(""))
-    lines = F.filter(F.transform(F.split(raw, "\n", -1), stripped), lambda x: x != "")
-    n = F.size(lines)
-    middle = F.array_join(F.slice(lines, F.lit(3), F.greatest(n - 3, F.lit(0))), " ")
-    every = F.array_join(lines, " ")
-    return F.struct(
-        F.coalesce(title, F.lit("")).alias("headline"),
-        F.when(n == 0, "").when(n <= 2, F.element_at(lines, 1)).otherwise(F.array_join(F.slice(lines, 1, 2), " ")).alias("meta"),
-        F.when(n == 0, raw).when(n <= 2, every).otherwise(F.when(middle == "", every).otherwise(middle)).alias("body"),
-        F.when(n >= 3, F.element_at(lines, -1)).otherwise("").alias("tail"),
-        raw.alias("raw"),
-    )
+
+    def parts(lines: Column) -> Column:
+        n, every = F.size(lines), F.array_join(lines, " ")
+        # With four lines and more there is a middle, and as no line is blank it is not empty.
+        middle = F.array_join(F.slice(lines, F.lit(3), F.greatest(n - 3, F.lit(0))), " ")
+        return F.struct(
+            F.coalesce(title, F.lit("")).alias("headline"),
+            F.when(n == 0, "").when(n <= 2, F.element_at(lines, 1)).otherwise(F.array_join(F.slice(lines, 1, 2), " ")).alias("meta"),
+            F.when(n == 0, raw).when(n <= 3, every).otherwise(middle).alias("body"),
+            F.when(n >= 3, F.element_at(lines, -1)).otherwise("").alias("tail"),
+            raw.alias("raw"),
+        )
+
+    return let(F.filter(F.transform(F.split(raw, "\n", -1), stripped), lambda x: x != ""), parts)
 
 
 def window(text: Column, start: Column, length: Column, width: int = EVIDENCE_WINDOW) -> Column:
     """Stripped text around the 1-based match at start, width characters to each side."""
-    left = F.greatest(start - width, F.lit(1))
-    return stripped(F.substring(text, left, start + length + width - left))
+
+    def around(at: Column) -> Column:
+        left = F.greatest(at - width, F.lit(1))
+        return stripped(F.substring(text, left, at + length + width - left))
+
+    return let(start, around)
 
 
-_CONTEXT = re.compile(r"\(\?[=!<]|\\[bBAGzZ]|[\^$]")
+#: What makes a match depend on the text around it: looking around, anchors, possessive parts.
+_CONTEXT = re.compile(r"\(\?[=!<>]|\\[bBAGzZ]|[\^$]|[+*?}]\+")
 
 
 def match_first(text: Column, patterns: Sequence[str], width: int = EVIDENCE_WINDOW) -> Column:
     """Struct (value, evidence) of the first pattern that matches, null without one.
 
-    The value is group 1. Positions count code points. Where a pattern does not look
-    around, what it matched stands nowhere further left, so its place is found by search;
-    else the prefix before the match gives it.
+    The value is group 1. Positions count code points. Each pattern goes over the text once:
+    where it does not look around, what it matched stands nowhere further left, and gives
+    the value and, by search, the place; else the text is split at the match.
     """
-    text, tries = F.coalesce(text, F.lit("")), []
-    for p in patterns:
-        value = F.regexp_extract(text, p, 1)
-        if _CONTEXT.search(p) or _matches_nothing(p):
-            whole = F.regexp_extract(text, f"(?s)^.*?({p})", 1)
-            start, matched = F.length(F.regexp_extract(text, f"(?s)^(.*?)(?:{p})", 1)) + 1, text.rlike(p)
-        else:
-            whole = F.regexp_extract(text, p, 0)
-            start, matched = F.call_function("instr", text, whole), whole != ""
-        tries.append(F.when(matched, F.struct(value.alias("value"), window(text, start, F.length(whole), width).alias("evidence"))))
-    return F.coalesce(*tries)
+    text = F.coalesce(text, F.lit(""))
+    return F.coalesce(*[_match(text, p, width) for p in patterns])
+
+
+def _match(text: Column, p: str, width: int) -> Column:
+    def hit(value: Column, start: Column, length: Column) -> Column:
+        return F.struct(value.alias("value"), window(text, start, length, width).alias("evidence"))
+
+    if _matches_nothing(p):
+        before = F.length(F.regexp_extract(text, f"(?s)^(.*?)(?:{p})", 1))
+        return F.when(text.rlike(p), hit(F.regexp_extract(text, p, 1), before + 1, F.length(F.regexp_extract(text, f"(?s)^.*?({p})", 1))))
+    if _CONTEXT.search(p):
+
+        def split(parts: Column) -> Column:
+            before, after = F.length(parts[0]), F.length(parts[1])
+            return F.when(F.size(parts) == 2, hit(F.regexp_extract(text, p, 1), before + 1, F.length(text) - before - after))
+
+        return let(F.split(text, p, 2), split)
+    return let(F.regexp_extract(text, p, 0), lambda whole: F.when(whole != "", hit(F.regexp_extract(whole, p, 1), F.call_function("instr", text, whole), F.length(whole))))
 
 
 def _matches_nothing(pattern: str) -> bool:

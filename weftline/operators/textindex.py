@@ -25,6 +25,8 @@ from weftline.operators.search import gain, idf, text_tokens
 from weftline.operators.versionlog import VersionLog
 
 BUCKETS = 64
+#: Tokens that the files of a bucket hold on average.
+PER_FILE = 4_000_000
 #: How many times larger a segment is than the next one, at the least.
 FAN = 4
 _POSTINGS = "term string, key string, places array<int>, bucket int"
@@ -98,11 +100,13 @@ class TextIndex:
         """A new segment and the tokens in it."""
         name = uuid.uuid4().hex
         at = f"{self.folder}/segments/{name}"
-        dealt = postings.select("term", "key", "places").withColumn("bucket", F.pmod(F.xxhash64("term"), F.lit(BUCKETS)).cast("int"))
-        dealt.repartition("bucket", F.pmod(F.xxhash64("key"), F.lit(16))).sortWithinPartitions("bucket", "term").write.partitionBy("bucket").parquet(f"{at}/postings")
         lengths.select("key", "dl", "hash").write.parquet(f"{at}/lengths")
-        (self.spark.createDataFrame([], "key string") if gone is None else gone.select("key")).write.parquet(f"{at}/gone")
         stats = self.spark.read.parquet(f"{at}/lengths").agg(F.count("*").alias("n"), F.coalesce(F.sum("dl"), F.lit(0)).alias("total")).first()
+        # A bucket is as many files as its share of the tokens asks for, so that none grows with the corpus.
+        pieces = 1 + stats.total // (BUCKETS * PER_FILE)
+        dealt = postings.select("term", "key", "places").withColumn("bucket", F.pmod(F.xxhash64("term"), F.lit(BUCKETS)).cast("int"))
+        dealt.repartition("bucket", F.pmod(F.xxhash64("key"), F.lit(pieces))).sortWithinPartitions("bucket", "term").write.partitionBy("bucket").parquet(f"{at}/postings")
+        (self.spark.createDataFrame([], "key string") if gone is None else gone.select("key")).write.parquet(f"{at}/gone")
         n_gone = 0 if gone is None else self.spark.read.parquet(f"{at}/gone").count()
         return Segment(name, stats.n, n_gone), stats.total
 
