@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from weftline.functions import payload as P
 from weftline.functions import text as T
 from weftline.plans.common import table
 from weftline.sources import crawl as C
@@ -19,6 +20,29 @@ def json_records_explode(spark, d):
     return e.select("event_id", F.explode("r").alias("key", "value"))
 
 
+#: Payloads around the properties of an event: an array under a usual name; one that only a search
+#: finds, beside text that looks like one; one after an array of numbers; one too deep; one on top.
+_ENVELOPES = (
+    '{"data": {"records": [%1$s]}}',
+    '{"zz": {"note": "[{}]", "body": {"hits": [%1$s, {"title": "%2$s"}]}}}',
+    '{"rows": [1, 2], "a": {"c": [%1$s]}}',
+    '{"a": {"b": {"c": {"d": [%1$s]}}}}',
+    "[%1$s]",
+)
+
+
+def json_records_located(spark, d):
+    shape = F.element_at(F.array(*[F.format_string(e, "props", "event_type") for e in _ENVELOPES]), (F.col("event_id") % len(_ENVELOPES) + 1).cast("int"))
+    rows = P.record_rows(table(spark, d, "events").select("event_id", shape.alias("payload")), "payload", C.LIST_PATHS, levels=C.DEPTH)
+    return rows.select("event_id", "at", "place", P.first_filled(F.col("record"), ["title", "k"]).alias("value"))
+
+
+def json_envelope(spark, d):
+    payload = F.format_string('{"code": %s, "msg": "%s", "data": %s, "more": [%s]}', F.col("event_id").cast("string"), F.repeat("event_type", F.lit(30)), "props", "props")
+    e = T.once(table(spark, d, "events").select("event_id", payload.alias("payload")), e=P.envelope(F.col("payload")))
+    return e.select("event_id", F.array_join("e.names", ",").alias("names"), F.size("e.scalars").alias("n_scalars"), F.col("e.scalars")["code"].alias("code"), F.col("e.scalars")["msg"].alias("msg"))
+
+
 def payload_roundtrip(spark, d):
     e = table(spark, d, "events").select("event_id", F.to_json(F.struct("user_id", "event_type")).alias("j"))
     return e.select("event_id", F.from_json("j", "user_id long, event_type string").alias("r")).select("event_id", "r.*")
@@ -86,6 +110,10 @@ def api_query_window(spark, d):
 QUERIES = {
     "json_dig": (json_dig, "SELECT event_id, json_extract_string(props, '$.k') AS k, json_extract_string(props, '$.a[0].b') AS absent FROM events"),
     "json_records_explode": (json_records_explode, "SELECT event_id, 'user_id' AS key, CAST(user_id AS VARCHAR) AS value FROM events UNION ALL SELECT event_id, 'event_type', event_type FROM events"),
+    "json_records_located": (json_records_located, """WITH p AS (SELECT event_id, event_id % 5 AS s, event_type, CASE WHEN json_extract_string(props, '$.k') = '0' THEN '' ELSE json_extract_string(props, '$.k') END AS k FROM events)
+    SELECT event_id, CASE s WHEN 0 THEN 'data.records' WHEN 1 THEN 'zz.body.hits' WHEN 2 THEN 'a.c' ELSE '' END AS at, CAST(0 AS INT) AS place, coalesce(k, '') AS value FROM p WHERE s <> 3
+    UNION ALL SELECT event_id, 'zz.body.hits', CAST(1 AS INT), event_type FROM p WHERE s = 1"""),
+    "json_envelope": (json_envelope, "SELECT event_id, 'code,msg,data,more' AS names, CAST(2 AS INT) AS n_scalars, CAST(event_id AS VARCHAR) AS code, left(repeat(event_type, 30), 80) AS msg FROM events"),
     "payload_roundtrip": (payload_roundtrip, "SELECT event_id, user_id, event_type FROM events"),
     "paging_windows": (paging_windows, "SELECT o_orderkey, CAST(p AS INT) AS page, CAST((p - 1) * 15 AS INT) AS start, CAST(p * 15 AS INT) AS end FROM (SELECT o_orderkey, unnest(range(1, o_orderkey % 4 + 2)) AS p FROM orders)"),
     "api_query": (api_query, "SELECT o_orderkey, 'page=' || CAST(o_orderkey AS VARCHAR) || '&type=' || replace(url_encode(o_orderpriority), '%20', '+') || '&blank=' AS query FROM orders"),
