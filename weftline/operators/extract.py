@@ -12,6 +12,7 @@ from weftline.functions import lexicon as L
 from weftline.functions.text import CORE_FIELDS, MISSING, fold_missing, is_missing, match_first, squeezed, stripped
 from weftline.operators.lineage import checkpointed
 from weftline.operators.results import ResultTable
+from weftline.operators.spellings import with_hits
 
 # Organisation words after a city, cue words, suffixes and titles.
 CITY_FALSE_SUFFIXES = ("大学", "学院", "公司", "集团", "银行", "研究院", "研究所", "设计院", "医院", "中学", "小学", "航空", "理工", "师范", "民族")
@@ -22,6 +23,8 @@ TITLES = ("算法工程师", "开发工程师", "软件工程师", "前端工程
 LOCATION_PREFIXES = ("在", "于", "了", "的")
 CITY_FOLLOWERS = "的一某该这那"
 YEAR_PATTERNS = (r"(?U)(\d{4})\s*届", r"(?U)(\d{4})\s*级", r"(?U)(\d{4})\s*年\s*毕业")
+#: A group of more spellings than this is matched by an automaton, not by an expression for each.
+WIDE = 200
 HIT = "struct<value:string,evidence:string>"
 WORD = "一-龥A-Za-z0-9()（）·"
 
@@ -74,7 +77,10 @@ def extract(df: DataFrame, title: str, text: str, lexicon: dict, more: dict[str,
     lexical = ("grade", "degree", "major")
     df = df.withColumns({"_h": squeezed(F.coalesce(F.col(title), F.lit(""))), "_b": squeezed(F.coalesce(F.col(text), F.lit("")))})
     df = df.withColumn("_t", F.concat("_h", "_b"))
-    df = df.withColumns({f"_m_{f}": L.matches(F.col("_t"), lexicon.get(f, {})) for f in lexical})
+    for f in lexical:
+        group = lexicon.get(f, {})
+        wide = sum(1 + len(aliases) for aliases in group.values()) > WIDE
+        df = with_hits(df, "_t", group, f"_m_{f}") if wide else df.withColumn(f"_m_{f}", L.matches(F.col("_t"), group))
     df = df.withColumns(
         {f"_r_{f}": L.best(F.col(f"_m_{f}")) for f in lexical}
         | {f"_r_{f}": match_first(F.col("_b"), pats[f]) for f in ("employer", "position")}

@@ -8,6 +8,7 @@ from weftline.functions import lexicon as L
 from weftline.functions import text as T
 from weftline.functions.html import clean_pages
 from weftline.operators import extract as X
+from weftline.operators.spellings import with_hits
 from weftline.plans.common import LABELLED_SQL, LEXICON, labelled, table
 
 _SPELLINGS = L.candidates(LEXICON)
@@ -91,6 +92,23 @@ def lexicon_best(spark, d):
     return T.once(docs, h=L.best(F.col("m"))).where("h is not null").select("doc_id", F.col("h.value").alias("standard"), "h.evidence")
 
 
+#: By rule: all words of four letters that go consonant, vowel, consonant, vowel, by their first letter.
+_CONSONANTS, _VOWELS = "bcdfghjklmnpqrstvwxyz", "aeiou"
+_SYLLABLES = [c + v for c in _CONSONANTS for v in _VOWELS]
+_WIDE = {f"{c}-words": [c + v + s for v in _VOWELS for s in _SYLLABLES] for c in _CONSONANTS}
+
+
+def lexicon_wide(spark, d):
+    """A lexicon of 11,025 spellings over whole texts: the smallest spelling of each first letter, at its first place."""
+    docs = with_hits(table(spark, d, "documents").select("doc_id", "text"), "text", _WIDE)
+    return docs.select("doc_id", F.explode("hits").alias("h")).select("doc_id", "h.standard", "h.evidence")
+
+
+_WIDE_SQL = f"""WITH p AS (SELECT doc_id, substr(text, unnest(range(1, length(text) - 2)), 4) AS w FROM documents),
+    m AS (SELECT doc_id, left(w, 1) || '-words' AS standard, min(w) AS spelling FROM p WHERE regexp_full_match(w, '([{_CONSONANTS}][{_VOWELS}]){{2}}') GROUP BY ALL)
+    SELECT doc_id, standard, regexp_replace({_WINDOW.format(at="strpos(text, spelling)", n="4")}, '^\\s+|\\s+$', '', 'g') AS evidence FROM m JOIN documents USING (doc_id)"""
+
+
 def context_excluding_match(spark, d):
     hit = L.match_unless_followed(F.col("text"), {"on": ["ander"], "off": ["ed"]}, ("ing", "tion", "."))
     return table(spark, d, "documents").select("doc_id", hit["value"].alias("value"))
@@ -217,6 +235,7 @@ QUERIES = {
     "regex_first_evidence": (regex_first_evidence, _first_sql()),
     "lexicon_match": (lexicon_match, _MATCH_SQL),
     "lexicon_best": (lexicon_best, f"WITH m AS ({_MATCH_SQL}) SELECT doc_id, standard, evidence FROM m QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length(evidence) DESC, standard) = 1"),
+    "lexicon_wide": (lexicon_wide, _WIDE_SQL),
     "context_excluding_match": (context_excluding_match, "SELECT doc_id, CASE WHEN regexp_matches(regexp_replace(text, 'ander(ing|tion|\\.)', '#', 'g'), 'ander') THEN 'on' WHEN regexp_matches(regexp_replace(text, 'ed(ing|tion|\\.)', '#', 'g'), 'ed') THEN 'off' WHEN regexp_matches(regexp_replace(text, 'off(ing|tion|\\.)', '#', 'g'), 'off') THEN 'off' WHEN regexp_matches(regexp_replace(text, 'on(ing|tion|\\.)', '#', 'g'), 'on') THEN 'on' END AS value FROM documents"),
     "cue_suffix_extract": (cue_suffix_extract, f"SELECT doc_id, regexp_extract(text, '{_CUE}', 1) AS value FROM documents"),
     "hit_merge": (hit_merge, f"WITH a AS (SELECT doc_id, CASE WHEN lang = 'en' THEN 'english' END AS r, nullif({_FOLD}, '{T.MISSING}') AS m FROM {LABELLED_SQL}) SELECT doc_id, coalesce(m, r, '{T.MISSING}') AS value, coalesce(r, '{T.MISSING}') AS grade, CASE WHEN r IS NOT NULL AND m IS NOT NULL THEN 'hybrid' WHEN r IS NOT NULL THEN 'rule' WHEN m IS NOT NULL THEN 'llm' ELSE 'none' END AS method, concat_ws(' | ', 'grade=' || r || ' ← e', 'city=' || coalesce(m, r) || ' ← e') AS evidence FROM a"),
