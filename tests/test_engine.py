@@ -228,3 +228,14 @@ def test_row_numbers_without_the_driver(spark):
     by_rank = sorted((i * 7919) % 1000003 for i in range(1_000_000))
     assert picked == {by_rank[i] for i in random.Random(42).sample(range(1_000_000), 500)}
     assert numbered(df.limit(0), ["k"]).count() == 0 and R.review_sample(df.limit(0), ["k"], 0.5, 1).count() == 0
+
+
+def test_archive_replay_takes_the_first_page_of_a_path(spark, tmp_path):
+    from weftline.plans import registry
+
+    # Later pages come first in the table, in many partitions.
+    rows = spark.range(60).select((99 - F.col("id")).alias("page_id"), F.concat(F.lit("https://x/"), F.col("id") % 3).alias("url"), F.repeat(F.lit("h"), (4100 - F.col("id")).cast("int")).alias("html"))
+    rows.unionByName(spark.createDataFrame([(1, "https://x/0", "short"), (2, None, "h" * 5000), (3, "https://x/9", None)], "page_id long, url string, html string")).write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.page_id: (r.archived, r.n) for r in registry.queries()["archive_replay"](spark, str(tmp_path)).collect()}
+    assert len(got) == 63 and got[1] == (True, 4100 - 57) and got[2] == got[3] == (False, None)
+    assert all(got[99 - i] == (True, 4100 - 57 - i % 3) for i in range(60))

@@ -86,10 +86,13 @@ def url_class(spark, d):
 
 
 def archive_replay(spark, d):
-    """Entries of which some have an archived page, joined by the path that follows from the URL."""
+    """Entries of which some have an archived page, joined by the path that follows from the URL.
+
+    Of several pages under one path the first, by page_id, is the archived one.
+    """
     pages = table(spark, d, "pages")
     entries = pages.select("page_id", T.html_path(F.col("url")).alias("html_path"))
-    archive = pages.where(F.length("html") > 4000).select(T.html_path(F.col("url")).alias("html_path"), "html").dropDuplicates(["html_path"])
+    archive = pages.where(F.length("html") > 4000).groupBy(T.html_path(F.col("url")).alias("html_path")).agg(F.min(F.struct("page_id", "html"))["html"].alias("html"))
     return C.with_archive(entries, archive).select("page_id", "archived", F.length("html").cast("long").alias("n"))
 
 
