@@ -109,3 +109,10 @@ def test_links_by_selector_as_columns(spark):
 def test_deep_pages_take_linear_time():
     html = "<div class=a>" * 3000 + "<a href=x>"
     assert found("div.a div.a div.a div.a div.a div.a > a", html) == ["x"]
+
+
+def test_names_without_a_semicolon_are_no_references():
+    page = H.parse("<h1>a &amp; b&amp</h1><a href='/x?a=1&copy=2&amp;b=3'>R&ampD &notit; &eacute;t&eacute; &#39;&lt;</a><p>&amp;lt &am & &;</p>")
+    assert H.title_of(page) == "a & b&amp"
+    assert [(x["url"], x["title"]) for x in H.links_of(page, "https://h/")] == [("https://h/x?a=1&copy=2&b=3", "R&ampD &notit; été '<")]
+    assert list(page.children[2].texts()) == ["&lt &am & &;"]
