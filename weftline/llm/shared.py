@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import ctypes
-import gc
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -11,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.operators.lineage import checkpointed, shared_folder
+from weftline.operators.lineage import checkpointed, shared_folder, swept
 from weftline.operators.numbering import numbered
 
 __all__ = ["buckets", "checkpointed", "documents", "freed", "held_out", "ordered", "released", "releasing", "shared_folder", "swept"]
@@ -61,16 +60,6 @@ def freed(run: Callable) -> Callable:
     return one if run.__code__.co_argcount == 1 else two
 
 
-def swept(spark: SparkSession) -> None:
-    """Lets Spark remove the shuffle files and checkpoints that nothing refers to any more.
-
-    Its cleaner learns of them when the driver collects garbage, which a driver that holds
-    little does rarely; jobs of many rounds would keep all rounds on the executors' disks.
-    """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def buckets(spark: SparkSession) -> int:
     """As many buckets as the session has shuffle partitions, so that both grow with the input."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
