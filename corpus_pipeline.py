@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from weftline.llm.minhash import near_duplicates
 from weftline.llm.packing import packed
 from weftline.llm.shared import ordered, shared_folder
-from weftline.llm.substrings import as_text, remove_repeats
+from weftline.llm.substrings import remove_repeats
 from weftline.llm.templates import deduplicate_lines
 from weftline.llm.toxicity import train, without_toxic
 
@@ -65,8 +65,8 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     Rows that share an id, or have none, are ordered by their text and stay rows of their
     own; empty texts stay, and an empty table stays empty.
     """
-    cut = remove_repeats(docs, carry=("lang", "source")).where("n_removed = 0 or n_removed < n_bytes")
-    return _documents(as_text(cut))
+    cut = remove_repeats(docs, carry=("lang", "source"), as_text=True).where("n_removed = 0 or n_removed < n_bytes")
+    return _documents(cut)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -108,3 +108,20 @@ def test_one_group_in_several_indexes():
     finally:
         substrings._INDEXED, substrings._STREAMED = held, streamed
     assert [m.tolist() for m in marks] == expected
+
+
+def test_text_is_made_where_the_bytes_are(spark):
+    rnd = random.Random(5)
+    long = "".join(rnd.choice("abcdefé€") for _ in range(400))
+    rows = [(1, long), (2, "€" + long[3:] + "tail"), (3, None), (4, ""), (5, long)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("lang", F.lit("x"))
+    cut = remove_repeats(df, as_text=True, carry=("lang",))
+    assert {r.doc_id: r.text for r in cut.collect()} == {i: kept.decode("utf-8", "ignore") for i, _, _, _, _, kept in brute(rows)}
+    assert cut.schema["text"].dataType.simpleString() == "string" and cut.columns[-1] == "lang"
+    # One Python worker for each task of the last stage, not one for the bytes and one for the text.
+    from corpus_pipeline import suffix_dedup
+
+    docs = df.select("doc_id", "text", "lang", F.lit("s").alias("source"), F.lit(0).cast("long").alias("n_chars"))
+    plan = suffix_dedup(spark, docs, "")._jdf.queryExecution().optimizedPlan().toString()
+    last = plan[: plan.index("FlatMapCoGroupsInArrow")]
+    assert "MapInArrow" not in last

@@ -341,8 +341,8 @@ def _match_texts(table: pa.Table, length: int, parts: int, fold: bool) -> pa.Tab
     return pa.Table.from_batches([_blocks(*map(list, zip(*out, strict=True)))] if out else [], schema=_blocks([], [], [], []).schema)
 
 
-def _cut(docs: pa.Table, spans: pa.Table, with_bytes: bool, carry: tuple[str, ...]) -> pa.Table:
-    """The result rows of one document bucket."""
+def _cut(docs: pa.Table, spans: pa.Table, with_bytes: bool, as_text: bool, carry: tuple[str, ...]) -> pa.Table:
+    """The result rows of one document bucket; kept is put into Arrow slice by slice."""
     ids, whole = docs.column("order_key").to_numpy(), V.utf8(docs.column("text"))[1]
     first, last = np.zeros(0, np.int64), np.zeros(0, np.int64)
     if spans.num_rows and docs.num_rows:
@@ -352,7 +352,8 @@ def _cut(docs: pa.Table, spans: pa.Table, with_bytes: bool, carry: tuple[str, ..
         o = np.argsort(base + s)
         first, last = (base + s)[o], (base + e)[o]
     columns: list[list] = [[], [], [], []]
-    kept: list[bytes] = []
+    kind = pa.string() if as_text else pa.binary()
+    kept: list[pa.Array] = [pa.array([], kind)]
     for lo, hi, buf, offs in V.slices(docs.column("text").combine_chunks()):
         x = slice(*np.searchsorted(first, [whole[lo], whole[hi]]).tolist())
         cover = np.zeros(len(buf) + 1, np.int32)
@@ -367,12 +368,12 @@ def _cut(docs: pa.Table, spans: pa.Table, with_bytes: bool, carry: tuple[str, ..
         digests = [hashlib.sha256(k).hexdigest() for k in parts]
         for c, more in zip(columns, (np.diff(offs).tolist(), (total[offs[1:]] - total[offs[:-1]]).tolist(), per_doc.tolist(), digests), strict=True):
             c += more
-        kept += parts if with_bytes else [None] * (hi - lo)
+        kept.append(pa.array([k.decode("utf-8", "ignore") for k in parts] if as_text else parts if with_bytes else [None] * (hi - lo), kind))
     made = [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.string()), strict=True)]
-    return pa.table([docs.column("doc_id"), *made, pa.array(kept, pa.binary()), *(docs.column(c) for c in carry)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", *carry])
+    return pa.table([docs.column("doc_id"), *made, pa.chunked_array(kept, kind), *(docs.column(c) for c in carry)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text" if as_text else "kept", *carry])
 
 
-def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text", with_bytes: bool = True, carry: tuple[str, ...] = (), fold: bool = True) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text", with_bytes: bool = True, carry: tuple[str, ...] = (), fold: bool = True, as_text: bool = False) -> DataFrame:
     """One row per row of docs: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the bytes left), carry.
 
     Every byte under a `length`-byte string that also starts earlier (a smaller doc_id, or
@@ -380,7 +381,9 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
     Rows that repeat a doc_id, or have none, come in the order of their text, a null id
     last; equal rows count as one after the other. Overlaps count; matches never cross
     documents. An empty table gives an empty result; other columns play no part.
-    `length` must be over 64 and under 127. kept is null without with_bytes.
+    `length` must be over 64 and under 127. kept is null without with_bytes. With as_text it
+    is a string by the name of text, without the bytes of characters that were cut apart;
+    it is made where the bytes are, so that no second worker stands beside the one that cuts.
 
     With fold, windows' texts that are equal as a whole (by 64-bit hashes of the form, by
     bytes in a group) are known as repeats before the index; without it the index alone
@@ -401,20 +404,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
     matched = texts.groupBy("part").applyInArrow(freed(lambda t: _match_texts(t, length, parts, fold)), row)
     spans = found.where("kind = 1").select(block).unionByName(matched)
     kinds = "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in carry)
-    return by_document.cogroup(spans.groupBy("part")).applyInArrow(freed(lambda d, s: _cut(d, s, with_bytes, carry)), f"doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary{kinds}")
-
-
-def as_text(cut: DataFrame) -> DataFrame:
-    """Rows of remove_repeats with kept as a column text; bytes of characters that were cut apart are left out."""
-    columns = cut.columns
-    names = ["text" if c == "kept" else c for c in columns]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            text = pa.array([(k or b"").decode("utf-8", "ignore") for k in b.column("kept").to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([text if c == "kept" else b.column(c) for c in columns], names=names)
-
-    return cut.mapInArrow(run, ", ".join(f"{n} {'string' if n == 'text' else f.dataType.simpleString()}" for n, f in zip(names, cut.schema.fields, strict=True)))
+    return by_document.cogroup(spans.groupBy("part")).applyInArrow(freed(lambda d, s: _cut(d, s, with_bytes, as_text, carry)), f"doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, {'text string' if as_text else 'kept binary'}{kinds}")
 
 
 def op4_suffix_dedup(spark, sf_dir: str) -> DataFrame:
